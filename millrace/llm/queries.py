@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.llm import source_mix
+from millrace.llm import quality, source_mix
 
 QUERIES = {
+    "op3_quality_rules": quality.query,
     "op8_source_mix": source_mix.query,
 }
 ORACLES = {

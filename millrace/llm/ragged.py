@@ -2,7 +2,7 @@
 
 A *word* is a maximal run of bytes other than space and ``\\t\\n\\v\\f\\r``.
 All functions work on whole texts; a chunk holds whole rows only, so the memory
-in use is bounded by :data:`CHUNK_BYTES` or by the longest single text.
+in use is bounded by :data:`CHUNKBYTES` or by the longest single text.
 """
 
 from __future__ import annotations
@@ -12,11 +12,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNKBYTES = 4 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 _ODD = 0x9E3779B97F4A7C15
-_BYTE = np.random.Generator(np.random.PCG64(20)).integers(0, 2**64, 256, np.uint64) | np.uint64(1)
+BYTE = np.random.Generator(np.random.PCG64(20)).integers(0, 2**64, 256, np.uint64) | np.uint64(1)
 
 
 class _Powers:
@@ -81,7 +81,7 @@ class Texts:
         return np.diff(self.at)
 
     def word_hashes(self) -> np.ndarray:
-        return rolling(_BYTE[self.data], self.starts, self.ends)
+        return rolling(BYTE[self.data], self.starts, self.ends)
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Starts (word numbers in the chunk) and row numbers of all windows of ``size`` words inside a row."""
@@ -111,7 +111,7 @@ class Texts:
         return np.diff(total[self.bounds])
 
 
-def chunks(column: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Iterator[Texts]:
+def chunks(column: pa.Array | pa.ChunkedArray, limit: int = CHUNKBYTES) -> Iterator[Texts]:
     """Whole rows of a string column in pieces of about ``limit`` bytes; nulls are empty."""
     for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
         if len(part) == 0:

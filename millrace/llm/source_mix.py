@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 BLOCK_WORDS = 16
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 18
 
 _SPARK = {
     "size": r"coalesce(regexp_count(text, '[^\\x20\\x09-\\x0D]+'), 0)",
