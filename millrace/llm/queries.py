@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from millrace.llm import quality, source_mix
+from millrace.llm import quality, simhash, source_mix
 
 QUERIES = {
     "op3_quality_rules": quality.query,
+    "op4_simhash": simhash.query,
     "op8_source_mix": source_mix.query,
 }
 ORACLES = {
