@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from millrace.llm import quality, simhash, source_mix, substring_dedup
+from millrace.llm import quality, simhash, source_mix, substring_dedup, token_counts
 
 QUERIES = {
     "op3_quality_rules": quality.query,
     "op4_simhash": simhash.query,
+    "op6_token_counts": token_counts.query,
     "op7_substring_dedup": substring_dedup.query,
     "op8_source_mix": source_mix.query,
 }
