@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import quality, simhash, source_mix, substring_dedup, token_counts
+from millrace.llm import quality, simhash, source_mix, substring_dedup, token_counts, url_filter
 
 QUERIES = {
     "op3_quality_rules": quality.query,
@@ -10,7 +10,9 @@ QUERIES = {
     "op6_token_counts": token_counts.query,
     "op7_substring_dedup": substring_dedup.query,
     "op8_source_mix": source_mix.query,
+    "op9_url_filter": url_filter.query,
 }
 ORACLES = {
     "op8_source_mix": source_mix.ORACLE,
+    "op9_url_filter": url_filter.ORACLE,
 }
