@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from millrace.llm import quality, simhash, source_mix, substring_dedup, token_counts, url_filter
+from millrace.llm import licenses, quality, simhash, source_mix, substring_dedup, token_counts, url_filter
 
 QUERIES = {
+    "op1_license_scan": licenses.query,
     "op3_quality_rules": quality.query,
     "op4_simhash": simhash.query,
     "op6_token_counts": token_counts.query,
@@ -13,6 +14,7 @@ QUERIES = {
     "op9_url_filter": url_filter.query,
 }
 ORACLES = {
+    "op1_license_scan": licenses.ORACLE,
     "op8_source_mix": source_mix.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
 }
