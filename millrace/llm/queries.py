@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import licenses, quality, simhash, source_mix, substring_dedup, token_counts, url_filter
+from millrace.llm import licenses, quality, simhash, source_mix, substring_dedup, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_license_scan": licenses.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_substring_dedup": substring_dedup.query,
     "op8_source_mix": source_mix.query,
     "op9_url_filter": url_filter.query,
+    "op10_toxicity": toxicity.query,
 }
 ORACLES = {
     "op1_license_scan": licenses.ORACLE,

@@ -62,10 +62,10 @@ class Texts:
     def __init__(self, data: np.ndarray, bounds: np.ndarray, first: int = 0) -> None:
         self.data, self.bounds, self.first, self.rows = data, bounds, first, len(bounds) - 1
 
-    def split(self) -> Texts:
+    def split(self, between: np.ndarray = SPACE) -> Texts:
         """Find the words: ``starts``, ``ends`` and, for each row, its range ``at[row]:at[row + 1]``."""
         n = len(self.data)
-        self.space = SPACE[self.data]
+        self.space = between[self.data]
         before, after = np.ones(n, bool), np.ones(n, bool)
         before[1:] = self.space[:-1]
         after[:-1] = self.space[1:]
