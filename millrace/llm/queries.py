@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from millrace.llm import licenses, quality, simhash, source_mix, substring_dedup, token_counts, toxicity, url_filter
+from millrace.llm import decontaminate, licenses, quality, simhash, source_mix, substring_dedup, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_license_scan": licenses.query,
     "op3_quality_rules": quality.query,
     "op4_simhash": simhash.query,
+    "op5_decontaminate": decontaminate.query,
     "op6_token_counts": token_counts.query,
     "op7_substring_dedup": substring_dedup.query,
     "op8_source_mix": source_mix.query,

@@ -104,6 +104,16 @@ class Texts:
         ends[last] = self.bounds[1:]
         return starts, ends, rows
 
+    def joined(self, data: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all words with one space after each, and where each word starts."""
+        lengths = self.ends - self.starts
+        begin = np.cumsum(lengths + 1) - lengths - 1
+        inside = np.ones(int((lengths + 1).sum()), bool)
+        inside[begin + lengths] = False
+        plain = np.full(len(inside), 32, np.uint8)
+        plain[inside] = (self.data if data is None else data)[~self.space]
+        return plain, begin
+
     def per_row(self, values: np.ndarray) -> np.ndarray:
         """Sum of byte-wise ``values`` within each row."""
         total = np.zeros(len(values) + 1, np.int64)

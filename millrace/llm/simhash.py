@@ -44,11 +44,7 @@ def fingerprints(texts: pa.Array) -> np.ndarray:
         data = t.data + np.where((t.data >= 65) & (t.data <= 90), np.uint8(32), np.uint8(0))
         t.split()
         lengths = t.ends - t.starts
-        begin = np.cumsum(lengths + 1) - lengths - 1
-        inside = np.ones(int((lengths + 1).sum()), bool)
-        inside[begin + lengths] = False
-        plain = np.full(len(inside), 32, np.uint8)
-        plain[inside] = data[~t.space]
+        plain, begin = t.joined(data)
         text = plain.tobytes()
         counts = np.where(t.n_words >= SHINGLE, t.n_words - SHINGLE + 1, np.minimum(t.n_words, 1))
         rows = np.repeat(np.arange(t.rows), counts)
