@@ -1,23 +1,52 @@
-"""The corpus pipeline: each stage works on what the one before it kept."""
+"""The corpus pipeline: each stage works on all that the one before it kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm.source_mix import mix_sources
+from millrace.llm import decontaminate, line_dedup, quality, simhash, source_mix
+from millrace.llm.common import cut
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal and similar lines the first stays; documents without any line left go."""
+    return line_dedup.keep_lines(docs)
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays."""
+    return simhash.keep_first(docs)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that repeat a benchmark item go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each remaining document."""
-    return mix_sources(docs)
+    return source_mix.mix_sources(docs)
 
 
-STAGES = [("source mix", mix)]
+STAGES = [
+    ("quality rules", quality_stage),
+    ("line dedup", line_stage),
+    ("simhash near-dedup", simhash_stage),
+    ("benchmark decontamination", benchmark_stage),
+    ("source mix", mix_stage),
+]
+#: The method's verdicts, signatures and alignments aren't SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; every stage is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

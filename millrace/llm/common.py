@@ -25,11 +25,20 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/millrace-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again: its lineage ends there."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder and read it again: its lineage ends there,
+    and the shuffle files that it took are deleted as soon as it is written."""
+    spark = df.sparkSession
+    path, before = shared_dir(spark), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
     out._millrace_path = path
     return out
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from millrace.llm import decontaminate, licenses, quality, simhash, source_mix, substring_dedup, token_counts, toxicity, url_filter
+from millrace.llm import decontaminate, licenses, line_dedup, quality, simhash, source_mix, substring_dedup, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_license_scan": licenses.query,
+    "op2_line_dedup": line_dedup.query,
     "op3_quality_rules": quality.query,
     "op4_simhash": simhash.query,
     "op5_decontaminate": decontaminate.query,
