@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import all_scale_masks, scale_mask
 
-AUDIBLE = "onset AND coalesce(gain, 1.0) > 0"
+AUDIBLE = F.expr("onset AND coalesce(gain, 1.0) > 0")
 
 
 def sound(s: str = "s", bank: str = "bank") -> Column:

@@ -1 +1,124 @@
+"""Queries of :mod:`millrace.operators.validation`."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.operators import events as E
+from millrace.operators import validation as V
+from millrace.plans.registry import query
+from millrace.plans.views import LICENSES
+
+ALLOWED = ", ".join(f"'{x}'" for x in LICENSES)
+
+
+def _allowed(v):
+    rows = v("region").limit(1).select(F.explode(F.array(*map(F.lit, LICENSES))).alias("license"))
+    return F.broadcast(rows)  # nine rows
+
+
+@query(f"SELECT id, license FROM <sources_v> WHERE license IN ({ALLOWED})")
+def fil1_license_pass(v):
+    return V.license_gate(v("sources_v"), _allowed(v))[0].select("id", "license")
+
+
+@query(f"SELECT id, license FROM <sources_v> WHERE license NOT IN ({ALLOWED})")
+def fil1_license_rejects(v):
+    return V.license_gate(v("sources_v"), _allowed(v))[1].select("id", "license")
+
+
+@query("""SELECT id, list_filter([CASE WHEN NOT length(prompt) >= 40 THEN 'prompt_short' END, CASE WHEN NOT stage IN ('sft', 'rl') THEN 'stage' END, CASE WHEN NOT id % 17 <= id % 19 THEN 'density' END,
+  CASE WHEN NOT ((id % 4 = 0) = (id % 8 < 2)) THEN 'cocreate' END, CASE WHEN NOT (stage = 'rl' OR id % 10 <> 1) THEN 'contract' END], lambda x: x IS NOT NULL) AS reasons FROM <requests_v>""")
+def fil2_record_rules(v):
+    i = F.col("id")
+    rules = {
+        "prompt_short": F.length("prompt") >= 40, "stage": F.col("stage").isin("sft", "rl"), "density": i % 17 <= i % 19,
+        "cocreate": (i % 4 == 0) == (i % 8 < 2), "contract": (F.col("stage") == "rl") | (i % 10 != 1),
+    }
+    return V.with_reasons(v("requests_v"), rules).select("id", "reasons")
+
+
+_TOLD = "concat(CASE id % 5 WHEN 0 THEN 'use lpf (2) ' WHEN 1 THEN 'at 120 bpm ' WHEN 2 THEN 'in F# Lydian ' ELSE '' END, family)"
+_STYLE = "CASE id % 3 WHEN 0 THEN 'technical' WHEN 1 THEN 'musical' ELSE 'mood' END"
+
+
+@query(f"""WITH q AS (SELECT id, {_TOLD} AS told, {_STYLE} AS style FROM <requests_v>)
+SELECT id, CASE WHEN style = 'technical' THEN NULL WHEN regexp_matches(told, '{V.API_CALL}') THEN 'api_call' WHEN regexp_matches(told, '{V.PRECISE}') AND style <> 'musical' THEN 'precise' END AS reason FROM q""")
+def fil3_style_leak(v):
+    rows = v("requests_v").select("id", F.expr(_TOLD).alias("told"), F.expr(_STYLE).alias("style"))
+    return rows.select("id", V.style_leak("told", "style").alias("reason"))
+
+
+_PLAIN = "trim(regexp_replace(replace(lower(translate({0}, '‘’“”', '''''\"\"')), 'ß', 'ss'), '\\s+', ' ', 'g'))"
+
+
+@query(f"""WITH q AS (SELECT program_id, 'Please play “'|| coalesce(require, 'x') || '”  at ' || cast(tempo AS string) AS prompt, tempo, list_filter([require, CASE WHEN program_id % 7 = 0 THEN 'Ünknown' END], lambda x: x IS NOT NULL) AS quotes,
+  list_filter([require, forbid, CASE WHEN program_id % 11 = 0 THEN require END], lambda x: x IS NOT NULL) AS named, require, forbid, voices_min, voices_max, shape, space, key FROM <contracts_v>),
+r AS (SELECT *, (require IS NOT NULL)::int + (forbid IS NOT NULL AND forbid <> 'vocals')::int + (voices_min IS NOT NULL)::int + (tempo IS NOT NULL)::int + (key IS NOT NULL)::int AS strong, (shape IS NOT NULL)::int + (space IS NOT NULL)::int AS weak FROM q)
+SELECT program_id, list_filter([CASE WHEN NOT coalesce(len(list_filter(quotes, lambda q: NOT contains({_PLAIN.format('prompt')}, {_PLAIN.format('q')}))) = 0 AND prompt IS NOT NULL OR len(quotes) = 0, false) THEN 'quote' END, CASE WHEN NOT len(list_filter(named, lambda n: n NOT IN ('kick', 'bass', 'hi_hat', 'snare', 'vocals'))) = 0 THEN 'unknown_family' END,
+  CASE WHEN NOT len(list_distinct(named)) = len(named) THEN 'repeated_family' END, CASE WHEN NOT (voices_min IS NULL OR (voices_min <= voices_max AND (require IS NOT NULL)::int <= voices_max)) THEN 'voices' END, CASE WHEN NOT (strong >= 1 AND strong + weak >= 2) THEN 'too_few' END], lambda x: x IS NOT NULL) AS reasons FROM r""")
+def fil4_contract_rules(v):
+    c = v("contracts_v")
+    prompt = F.expr("concat('Please play “', coalesce(require, 'x'), '”  at ', cast(tempo AS string))")
+    rows = c.withColumn("prompt", prompt)
+    quotes = F.array_compact(F.array("require", F.when(F.col("program_id") % 7 == 0, "Ünknown")))
+    named = F.array_compact(F.array("require", "forbid", F.when(F.col("program_id") % 11 == 0, F.col("require"))))
+    n = lambda *xs: sum((F.col(x).isNotNull().cast("int") for x in xs), F.lit(0))
+    strong = n("require", "voices_min", "tempo", "key") + (F.col("forbid").isNotNull() & (F.col("forbid") != "vocals")).cast("int")
+    rules = V.contract_reasons(
+        "prompt", quotes, named, F.array(*map(F.lit, ("kick", "bass", "hi_hat", "snare", "vocals"))), n_strong=strong, n_weak=n("shape", "space"),
+        voices_min=F.col("voices_min"), voices_max=F.col("voices_max"), n_require=n("require"),
+    )
+    return V.with_reasons(rows, rules).select("program_id", "reasons")
+
+
+@query("SELECT program_id FROM <contracts_v> WHERE tempo IS NOT NULL AND key IS NOT NULL")
+def fil5_rl_policy(v):
+    return v("contracts_v").where("tempo IS NOT NULL AND key IS NOT NULL").select("program_id")
+
+
+@query("SELECT id FROM <tasks_v> WHERE category = 'atomic' OR (category = 'stack' AND id % 5 + 1 <= 3)")
+def fil6_warmup(v):
+    return v("tasks_v").where((F.col("category") == "atomic") | ((F.col("category") == "stack") & (F.col("id") % 5 + 1 <= 3))).select("id")
+
+
+@query("""WITH r AS (SELECT id // 2 AS id, split, stage, CASE WHEN id % 8 = 3 THEN 'c' END AS contract FROM <requests_v> WHERE family <> 'src1'),
+i AS (SELECT id, count(*) AS n, count(*) FILTER (split <> 'train') AS w, count(*) FILTER (stage = 'rl' AND contract IS NULL) AS c FROM r GROUP BY id)
+SELECT unnest(['empty', 'repeated_id', 'wrong_split', 'no_contract']) AS check, unnest([(count(*) = 0)::bigint, count(*) FILTER (n > 1), sum(w)::bigint, sum(c)::bigint]) AS violations FROM i""")
+def fil7_training_gate(v):
+    rows = v("requests_v").where("family <> 'src1'").select(F.expr("id div 2").alias("id"), "split", "stage", F.when(F.col("id") % 8 == 3, "c").alias("contract"))
+    return V.training_gate(rows)
+
+
+@query("""WITH b AS (SELECT program_id, s, count(*) AS n, count(*) FILTER (onset AND gain > 0) AS heard FROM <haps_v> GROUP BY ALL), p AS (SELECT program_id, sum(n)::bigint AS n, sum(heard) AS heard, count(*) FILTER (s NOT IN ('bd', 'gm_cello', 'hh', 'sd')) AS unknown FROM b GROUP BY program_id)
+SELECT program_id, n, CASE WHEN n > 100 THEN 'event_cap' WHEN heard = 0 THEN 'silent' WHEN unknown > 0 THEN 'unknown_sound' ELSE 'ok' END AS status FROM p""")
+def fil8_run_status(v):
+    catalog = v("region").limit(1).select(F.explode(F.array(*map(F.lit, ("bd", "gm_cello", "hh", "sd")))).alias("sound"))
+    return E.run_status(v("haps_v"), F.broadcast(catalog), cap=100)
+
+
+@query("SELECT vec_id, len(embedding) >= 32 AND len(list_filter(embedding[1:32], lambda x: x <> 0)) > 0 AS passes FROM embeddings")
+def fil9_clip_gate(v):
+    return v("embeddings").select("vec_id", V.clip_gate("embedding", 16, 2).alias("passes"))
+
+
+@query("""WITH b AS (SELECT family, count(*) AS n, count(*) FILTER (id % 51 = 0) AS excluded FROM <sources_v> GROUP BY family)
+SELECT family, n, excluded, CASE WHEN family = 'src0' THEN excluded <= floor(n / 100) AND n - excluded >= 2 ELSE excluded = 0 END AS usable FROM b""")
+def fil10_tolerance(v):
+    return V.tolerance(v("sources_v").withColumn("failed", F.col("id") % 51 == 0), group="family", failed="failed", tolerant="src0")
+
+
+@query(r"""SELECT conv_id, turn, tokens + 12 <= 60 AND tokens > 0 AS fits FROM <chat_v>""")
+def fil11_length_gate(v):
+    return v("chat_v").select("conv_id", "turn", ((F.col("tokens") + 12 <= 60) & (F.col("tokens") > 0)).alias("fits"))
+
+
+@query("""SELECT job_id, retry, CASE WHEN accepted THEN 'accepted attempt' ELSE 'rejected attempt' END AS status, split_part(model_id, '-', 1) AS provider, coalesce(nullif(split_part(model_id, '-', 2), ''), 'none') AS model
+FROM <attempts_v> LEFT JOIN <jobs_v> USING (job_id) WHERE contains(lower(model_id), 'urg')""")
+def fil12_browser(v):
+    rows = v("attempts_v").join(v("jobs_v"), "job_id", "left").withColumn("candidate", F.lit(False))
+    found = V.matches(rows.select("job_id", "retry", "accepted", "model_id", "candidate"), "URG")
+    return found.select(
+        "job_id", "retry", V.status_of_attempt("accepted", "job_id", "candidate").alias("status"), F.split_part("model_id", F.lit("-"), F.lit(1)).alias("provider"),
+        F.coalesce(F.nullif(F.split_part("model_id", F.lit("-"), F.lit(2)), F.lit("")), F.lit("none")).alias("model"),
+    )
