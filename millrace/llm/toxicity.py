@@ -70,19 +70,30 @@ def inputs(s: dict[str, np.ndarray], tables: dict[str, np.ndarray]) -> np.ndarra
     ]).astype(np.float32)
 
 
-def weights(t: Texts, s: dict[str, np.ndarray], toxic: np.ndarray, prior: float = 8.0) -> dict[str, np.ndarray]:
-    """For each kind of table: log odds, by texts, of the label where a place occurs."""
-    rows = np.repeat(np.arange(t.rows), t.n_words)
-    share = toxic.mean()
-    out = {}
-    for kind in ("word", "head3", "head4", "head5", "piece"):
-        own = rows[s["piece_rows"]] if kind == "piece" else rows
-        seen = np.unique(own * TABLE + s[kind])
-        text, place = seen // TABLE, seen % TABLE
-        yes = np.bincount(place[toxic[text]], minlength=TABLE)
-        no = np.bincount(place[~toxic[text]], minlength=TABLE)
-        out[kind] = np.log(((yes + prior * share) / (toxic.sum() + prior * share)) / ((no + prior * (1 - share)) / ((~toxic).sum() + prior * (1 - share)))).astype(np.float32)
-    return out
+KINDS = ("word", "head3", "head4", "head5", "piece")
+
+
+class Weights:
+    """For each kind of table: log odds, by texts, of the label where a place occurs. Texts come in chunks."""
+
+    def __init__(self, prior: float = 8.0) -> None:
+        self.prior, self.texts = prior, np.zeros(2, np.int64)
+        self.seen = {kind: np.zeros((2, TABLE), np.int64) for kind in KINDS}
+
+    def add(self, t: Texts, s: dict[str, np.ndarray], toxic: np.ndarray) -> None:
+        rows = np.repeat(np.arange(t.rows), t.n_words)
+        self.texts += np.bincount(toxic, minlength=2)
+        for kind in KINDS:
+            own = rows[s["piece_rows"]] if kind == "piece" else rows
+            seen = np.unique(own * TABLE + s[kind])
+            text, place = seen // TABLE, seen % TABLE
+            for label in (0, 1):
+                self.seen[kind][label] += np.bincount(place[toxic[text] == label], minlength=TABLE)
+
+    def tables(self) -> dict[str, np.ndarray]:
+        prior = self.prior * self.texts / self.texts.sum()
+        rate = lambda kind, label: (self.seen[kind][label] + prior[label]) / (self.texts[label] + prior[label])
+        return {kind: np.log(rate(kind, 1) / rate(kind, 0)).astype(np.float32) for kind in KINDS}
 
 
 def windows(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,8 +113,7 @@ class Model:
         self.net: BiGru | None = None
         self.middle, self.slope = 0.0, 1.0
 
-    def window_logits(self, t: Texts, x: np.ndarray, block: int = 4096):
-        first, lengths, rows = windows(t)
+    def window_logits(self, x: np.ndarray, first: np.ndarray, lengths: np.ndarray, block: int = 4096) -> np.ndarray:
         xf = (x @ self.net.p["wf"] + self.net.p["bf"]).astype(np.float32)
         xb = (x @ self.net.p["wb"] + self.net.p["bb"]).astype(np.float32)
         if not len(x):
@@ -116,10 +126,11 @@ class Model:
                 part = full[lo : min(lo + block, b)]
                 places = np.minimum(first[part, None] + np.arange(STEPS), len(xf) - 1)
                 out[part] = self.net.logits(xf, xb, places, lengths[part])
-        return out, rows, first, lengths
+        return out
 
     def text_logits(self, t: Texts) -> np.ndarray:
-        out, rows, _, _ = self.window_logits(t, inputs(slots(t), self.tables))
+        first, lengths, rows = windows(t)
+        out = self.window_logits(inputs(slots(t), self.tables), first, lengths)
         best = np.full(t.rows, -np.inf)
         np.maximum.at(best, rows, out)
         return best
@@ -137,16 +148,27 @@ class Model:
         if not all((toxic & (fold == f)).any() and (~toxic & (fold == f)).any() for f in (0, 1)):
             return model
         rng = np.random.default_rng(seed)
-        whole = lambda keep: _letters(next(chunks(pa.array([x for x, k in zip(texts, keep, strict=True) if k], pa.large_string()), 1 << 40)))
-        stats = whole(fold == 0)
-        model.tables = weights(stats, slots(stats), toxic[fold == 0])
-        t, y = whole(fold == 1), toxic[fold == 1]
-        x = inputs(slots(t), model.tables)
-        first, lengths, rows = windows(t)
-        pad = np.vstack([x, np.zeros((STEPS, x.shape[1]), np.float32)])
-        total = np.concatenate([[0.0], np.cumsum(np.maximum(x[:, :2], 0).sum(1))])
+
+        def parts(of: int):
+            own, label = [x for x, f in zip(texts, fold, strict=True) if f == of], toxic[fold == of].astype(np.int64)
+            for t in chunks(pa.array(own, pa.large_string()), 1 << 20):
+                yield _letters(t), label[t.first : t.first + t.rows]
+
+        counted = Weights()
+        for t, label in parts(0):
+            counted.add(t, slots(t), label)
+        model.tables = counted.tables()
+        held = [(inputs(slots(t), model.tables), *windows(t), t.rows) for t, _ in parts(1)]
+        y = toxic[fold == 1]
+        at, row_at, columns = 0, 0, []
+        for x, first, lengths, rows, n in held:
+            columns.append((first + at, lengths, rows + row_at))
+            at, row_at = at + len(x), row_at + n
+        first, lengths, rows = (np.concatenate(c) for c in zip(*columns, strict=True))
+        pad = np.vstack([*(h[0] for h in held), np.zeros((STEPS, held[0][0].shape[1]), np.float32)])
+        total = np.concatenate([[0.0], np.cumsum(np.maximum(pad[:, :2], 0).sum(1))])
         score = total[first + lengths] - total[first]
-        net = model.net = BiGru(x.shape[1], seed=seed)
+        net = model.net = BiGru(pad.shape[1], seed=seed)
         for _ in range(rounds):
             order = np.lexsort((-score, rows))
             place = np.arange(len(rows)) - np.searchsorted(rows[order], rows[order])
@@ -156,8 +178,8 @@ class Model:
             importance = np.where(label == 1, 0.5 * (1 - label).sum() / max(label.sum(), 1), 1).astype(np.float32)
             batch_x = pad[first[chosen, None] + np.arange(STEPS)]
             net.train(batch_x, lengths[chosen], label, importance, epochs=3, seed=seed)
-            score = model.window_logits(t, x)[0]
-        best = np.full(t.rows, -np.inf)
+            score = np.concatenate([model.window_logits(x, f, n) for x, f, n, _, _ in held])
+        best = np.full(len(y), -np.inf)
         np.maximum.at(best, rows, score)
         order = np.argsort(-best)
         hits = np.cumsum(y[order])
@@ -168,7 +190,7 @@ class Model:
         return model
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, *, sample: int = 4000) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, *, sample: int = 2000) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
     held = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(3))
     learn = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", "toxic").where(held != 1)
