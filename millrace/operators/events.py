@@ -35,7 +35,7 @@ def telemetry(events: DataFrame, cycles: int) -> DataFrame:
 def fingerprints(events: DataFrame, cycles: int) -> DataFrame:
     """(program_id, cycle, print, controls): hashes of what each non-empty cycle plays."""
     heard = events.where(AUDIBLE).withColumn("cycle", F.floor("begin_at").cast("int")).where((F.col("cycle") >= 0) & (F.col("cycle") < cycles))
-    decimals = lambda c, n: F.coalesce(F.format_string(f"%.{n}f", F.round(c, n)), F.lit("-"))
+    decimals = lambda c, n: F.when(c.isNull(), "-").otherwise(F.format_string(f"%.{n}f", F.round(c, n)))
     core = F.concat_ws(",", decimals(F.col("begin_at") - F.col("cycle"), 6), decimals(F.col("end_at") - F.col("begin_at"), 6), F.coalesce("s", F.lit("-")), decimals(F.col("note"), 4))
     both = F.concat_ws(",", core, F.coalesce("bank", F.lit("-")), decimals(F.col("gain"), 4))
     digest = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), "|"), 256)

@@ -29,5 +29,5 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
-for _module in ("text", "validation", "dedup", "events", "scoring", "retrieval", "jobs", "evaluation", "files"):
+for _module in ("text", "validation", "dedup", "events", "scoring", "retrieval", "jobs", "evaluation", "stream"):
     import_module(f"millrace.plans.{_module}_queries")
