@@ -61,7 +61,7 @@ def _views(e: str) -> dict[str, str]:
         "attempts_v": """SELECT l_orderkey AS job_id, cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS int) AS retry,
             l_returnflag = 'A' AND l_linestatus = 'F' AS accepted, concat('f', cast(l_partkey % 7 AS string)) AS feedback, l_quantity AS tokens FROM <lineitem>""",
         "tasks_v": "SELECT id, prompt, family, author_id, CASE id % 4 WHEN 0 THEN 'atomic' WHEN 1 THEN 'stack' WHEN 2 THEN 'arrange' ELSE 'cocreate' END AS category FROM <requests_v> WHERE split = 'benchmark'",
-        "predictions_v": """SELECT id, concat('<think>', author_id, '</think>', chr(10), '```js', chr(10), 'n(', cast(id AS string), ')', chr(10), CASE WHEN id % 3 = 0 THEN '' ELSE '```' END) AS completion FROM <tasks_v> WHERE id % 5 <> 0
+        "predictions_v": """SELECT id, concat('<think>', author_id, '</think>', chr(10), '```js', chr(10), 'n(', cast(id AS string), ')', chr(10), CASE WHEN id % 3 = 0 THEN '' ELSE '```' END) AS completion FROM <tasks_v> WHERE id % 7 <> 0
             UNION ALL SELECT id + 1000000000 AS id, 'extra' AS completion FROM <tasks_v> WHERE id % 11 = 0""",
         "rollouts_v": f"""SELECT user_id AS task_id, event_id AS ordinal, CASE WHEN user_id % 10 = 0 THEN {dbl("0.5")} ELSE round(least(value / {dbl(200)}, {dbl(1)}), 4) END AS total, event_type AS component,
             round(least(value / {dbl(100)}, {dbl(1)}), 4) AS component_value, event_id % 200 AS step, ts FROM <events>""",
