@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import all_scale_masks, scale_mask
 
-AUDIBLE = F.expr("onset AND coalesce(gain, 1.0) > 0")
+def audible() -> Column:
+    return F.expr("onset AND coalesce(gain, 1.0) > 0")
+
 
 
 def sound(s: str = "s", bank: str = "bank") -> Column:
@@ -22,7 +24,7 @@ def sound(s: str = "s", bank: str = "bank") -> Column:
 
 def telemetry(events: DataFrame, cycles: int) -> DataFrame:
     """Counts, rates, sounds, pitches, syncopation and gains of each program's audible events."""
-    heard = events.where(AUDIBLE)
+    heard = events.where(audible())
     quarter = F.col("begin_at") * 4
     off = F.abs(quarter - F.rint(quarter)) > 1e-6
     return heard.groupBy("program_id").agg(
@@ -34,7 +36,7 @@ def telemetry(events: DataFrame, cycles: int) -> DataFrame:
 
 def fingerprints(events: DataFrame, cycles: int) -> DataFrame:
     """(program_id, cycle, print, controls): hashes of what each non-empty cycle plays."""
-    heard = events.where(AUDIBLE).withColumn("cycle", F.floor("begin_at").cast("int")).where((F.col("cycle") >= 0) & (F.col("cycle") < cycles))
+    heard = events.where(audible()).withColumn("cycle", F.floor("begin_at").cast("int")).where((F.col("cycle") >= 0) & (F.col("cycle") < cycles))
     decimals = lambda c, n: F.when(c.isNull(), "-").otherwise(F.format_string(f"%.{n}f", F.round(c, n)))
     core = F.concat_ws(",", decimals(F.col("begin_at") - F.col("cycle"), 6), decimals(F.col("end_at") - F.col("begin_at"), 6), F.coalesce("s", F.lit("-")), decimals(F.col("note"), 4))
     both = F.concat_ws(",", core, F.coalesce("bank", F.lit("-")), decimals(F.col("gain"), 4))
@@ -61,7 +63,7 @@ def evolution(prints: DataFrame, cycles: int, size: int = 8) -> DataFrame:
 
 def sections(events: DataFrame, cycles: int, parts: int = 4) -> DataFrame:
     """Onsets and distinct sounds of each of ``parts`` equal slices of a program."""
-    heard = events.where(AUDIBLE).withColumn("part", F.least(F.lit(parts - 1), F.floor(F.col("begin_at") * parts / cycles)))
+    heard = events.where(audible()).withColumn("part", F.least(F.lit(parts - 1), F.floor(F.col("begin_at") * parts / cycles)))
     one = lambda k: F.struct(F.count_if(F.col("part") == k).alias("onsets"), F.array_sort(F.collect_set(F.when(F.col("part") == k, sound()))).alias("sounds"))
     return heard.groupBy("program_id").agg(F.array(*(one(k) for k in range(parts))).alias("sections"))
 
@@ -72,7 +74,7 @@ def pitch_class(note: Column) -> Column:
 
 def scale_adherence(events: DataFrame, keys: DataFrame) -> DataFrame:
     """Share of a program's pitched audible onsets that lie in its key; null without a key, 0 without pitches."""
-    notes = events.where(AUDIBLE).where("note IS NOT NULL").groupBy("program_id", pitch_class(F.col("note")).alias("pc")).agg(F.count(F.lit(1)).alias("n"))
+    notes = events.where(audible()).where("note IS NOT NULL").groupBy("program_id", pitch_class(F.col("note")).alias("pc")).agg(F.count(F.lit(1)).alias("n"))
     joined = keys.select("program_id", scale_mask("key").alias("mask")).join(notes, "program_id", "left")
     inside = F.call_function("getbit", F.col("mask"), F.coalesce("pc", F.lit(0))) == 1
     return joined.groupBy("program_id").agg(F.when(F.max("mask").isNotNull(), F.coalesce(F.sum(F.when(inside, F.col("n")).otherwise(0)) / F.sum("n"), F.lit(0.0))).alias("adherence"))
@@ -106,6 +108,6 @@ def instruments(events: DataFrame, cycles: int) -> DataFrame:
 def run_status(events: DataFrame, catalog: DataFrame, cap: int = 20_000) -> DataFrame:
     """Verdict on each program's run: too many events, nothing audible, unknown sounds, or ok."""
     known = catalog.select("sound", F.lit(True).alias("known"))
-    by = events.groupBy("program_id", F.col("s").alias("sound")).agg(F.count(F.lit(1)).alias("n"), F.count_if(AUDIBLE).alias("heard"))
+    by = events.groupBy("program_id", F.col("s").alias("sound")).agg(F.count(F.lit(1)).alias("n"), F.count_if(audible()).alias("heard"))
     got = by.join(known, "sound", "left").groupBy("program_id").agg(F.sum("n").alias("n"), F.sum("heard").alias("heard"), F.count_if(F.col("known").isNull() & F.col("sound").isNotNull()).alias("unknown"))
     return got.select("program_id", "n", F.when(F.col("n") > cap, "event_cap").when(F.col("heard") == 0, "silent").when(F.col("unknown") > 0, "unknown_sound").otherwise("ok").alias("status"))

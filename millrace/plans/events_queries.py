@@ -94,7 +94,7 @@ def registry_tables(v):
 
 
 def families_of(v):
-    return M.sound_families(v("haps_v").where(E.AUDIBLE).select(E.sound().alias("sound")), *registry_tables(v))
+    return M.sound_families(v("haps_v").where(E.audible()).select(E.sound().alias("sound")), *registry_tables(v))
 
 
 @query(PAIRS)

@@ -11,7 +11,6 @@ from millrace.operators import scoring as S
 from millrace.plans.events_queries import ADHERENCE, CYCLES, HEARD, LOW, PAIRS, PRINTS, SOUND, TELEMETRY, VOICES, _MASKS, families_of
 from millrace.plans.registry import query
 
-_P = F.col("program_id")
 #: What each program was asked for, made from its id.
 ROLES = "CASE program_id % 3 WHEN 0 THEN {arr}'drums_core', 'bass'{end} WHEN 1 THEN {arr}'chords_pad'{end} ELSE {arr}'arp_lead', 'perc_tops', 'fx_texture'{end} END"
 CATEGORY = "CASE program_id % 4 WHEN 0 THEN 'atomic' WHEN 1 THEN 'arrange' ELSE 'stack' END"
@@ -26,7 +25,7 @@ def facts(v):
     rows = programs.withColumn("parsed", T.completion("completion")["reason"].isNull()).withColumn("thinking", T.completion("completion")["thinking"])
     rows = rows.join(E.telemetry(haps, CYCLES), "program_id").join(E.variation(prints, CYCLES), "program_id").join(windows, "program_id")
     rows = rows.join(E.scale_adherence(haps, programs), "program_id").withColumn("roles", F.expr(ROLES_SPARK)).withColumn("category", F.expr(CATEGORY))
-    return rows.withColumn("ran", _P % 13 != 0).withColumn("short_loop", _P % 9 == 0).withColumn("bpm", F.col("cpm") * 4 + F.when(_P % 8 == 0, 9.0).otherwise(0.0))
+    return rows.withColumn("ran", F.col("program_id") % 13 != 0).withColumn("short_loop", F.col("program_id") % 9 == 0).withColumn("bpm", F.col("cpm") * 4 + F.when(F.col("program_id") % 8 == 0, 9.0).otherwise(0.0))
 
 
 _PRINTS16 = PRINTS.replace("cycle < 12", "cycle < 16")
@@ -48,7 +47,7 @@ _EVOLVE = "list_avg(list_transform(windows, lambda x: greatest(0.0, least(1.0, (
 
 def plan_parts(rows):
     """The plan score's nullable components."""
-    instructions = S.mean_of(S.yes(F.abs(F.col("cpm") * 4 - F.col("bpm")) < 0.01), S.yes(F.array_contains("methods", "lpf")), F.when(_P % 2 == 0, S.yes(F.array_contains("methods", "arrange"))))
+    instructions = S.mean_of(S.yes(F.abs(F.col("cpm") * 4 - F.col("bpm")) < 0.01), S.yes(F.array_contains("methods", "lpf")), F.when(F.col("program_id") % 2 == 0, S.yes(F.array_contains("methods", "arrange"))))
     return rows.select(
         "*", S.yes((F.col("gain_max") > 0) & (F.col("gain_max") <= 2)).alias("mix_proxy"), instructions.alias("instructions"), S.role_coverage(F.col("roles"), F.col("sound_sources"), F.col("pitches")).alias("covered"),
         F.when((F.col("category") != "atomic") & ~F.col("short_loop"), S.evolution_score(F.col("windows"))).alias("evolution"), F.col("adherence").alias("harmony"),
@@ -62,7 +61,7 @@ _MEAN = "list_avg(list_filter([mix_proxy, instructions, covered, evolution, harm
 @query("SELECT program_id, CASE WHEN program_id % 7 = 5 THEN 'format' WHEN program_id % 13 = 0 THEN 'execution' ELSE 'passed' END AS gate FROM <programs_v>")
 def sco1_gate(v):
     parsed = T.completion("completion")["reason"].isNull()
-    return v("programs_v").select("program_id", F.when(~parsed, "format").when(_P % 13 == 0, "execution").otherwise("passed").alias("gate"))
+    return v("programs_v").select("program_id", F.when(~parsed, "format").when(F.col("program_id") % 13 == 0, "execution").otherwise("passed").alias("gate"))
 
 
 @query(f"SELECT program_id, round(mix_proxy, 6) AS mix_proxy, round(instructions, 6) AS instructions, round(covered, 6) AS covered, round(evolution, 6) AS evolution, round(harmony, 6) AS harmony, round(CASE WHEN parsed AND ran THEN {_MEAN} ELSE 0.0 END, 6) AS total FROM ({_PLAN})")
@@ -114,7 +113,7 @@ def contract_checks(rows):
         "k_tempo": F.when(c("tempo").isNotNull(), S.yes(F.abs(c("cpm") * 4 - c("tempo")) <= 1)),
         "k_key": F.when(c("asked_key").isNotNull(), S.yes(c("adherence") >= 0.9)),
         "k_shape": S.yes(S.shaped(c("sections"), c("shape"))), "k_space": S.yes(S.spaced(c("events_per_cycle"), c("space"))),
-        "k_preserve": F.when(_P % 10 == 3, S.yes(F.contains("completion", F.lit("stack(s(")))),
+        "k_preserve": F.when(F.col("program_id") % 10 == 3, S.yes(F.contains("completion", F.lit("stack(s(")))),
     })
     stated, keys = T.tempo_claims("thinking"), T.key_claims("thinking")
     tempo_ok = F.when(F.size(stated) > 0, S.yes(F.exists(stated, lambda b: F.abs(b - c("cpm") * 4) <= 1)))
@@ -192,5 +191,5 @@ def sco10_evaluate(v):
     plan = plan_parts(facts(v))
     plan = plan.select("program_id", S.gated(F.col("parsed"), F.col("ran"), S.mean_of(*map(F.col, ("mix_proxy", "instructions", "covered", "evolution", "harmony")))).alias("plan_total"))
     rows = contract_totals(contract_checks(contract_rows(v))).join(plan, "program_id")
-    reward = F.when(_P % 2 == 0, F.col("total")).otherwise(F.col("plan_total"))
+    reward = F.when(F.col("program_id") % 2 == 0, F.col("total")).otherwise(F.col("plan_total"))
     return rows.groupBy("category").agg(F.count(F.lit(1)).alias("tasks"), F.count_if(F.col("parsed") & F.col("ran")).alias("ran"), F.round(F.avg(reward), 6).alias("mean_reward"))

@@ -63,8 +63,8 @@ def _views(e: str) -> dict[str, str]:
         "tasks_v": "SELECT id, prompt, family, author_id, CASE id % 4 WHEN 0 THEN 'atomic' WHEN 1 THEN 'stack' WHEN 2 THEN 'arrange' ELSE 'cocreate' END AS category FROM <requests_v> WHERE split = 'benchmark'",
         "predictions_v": """SELECT id, concat('<think>', author_id, '</think>', chr(10), '```js', chr(10), 'n(', cast(id AS string), ')', chr(10), CASE WHEN id % 3 = 0 THEN '' ELSE '```' END) AS completion FROM <tasks_v> WHERE id % 7 <> 0
             UNION ALL SELECT id + 1000000000 AS id, 'extra' AS completion FROM <tasks_v> WHERE id % 11 = 0""",
-        "rollouts_v": f"""SELECT user_id AS task_id, event_id AS ordinal, CASE WHEN user_id % 10 = 0 THEN {dbl("0.5")} ELSE round(least(value / {dbl(200)}, {dbl(1)}), 4) END AS total, event_type AS component,
-            round(least(value / {dbl(100)}, {dbl(1)}), 4) AS component_value, event_id % 200 AS step, ts FROM <events>""",
+        "rollouts_v": f"""SELECT user_id AS task_id, event_id AS ordinal, CASE WHEN user_id % 10 = 0 THEN {dbl("0.5")} ELSE floor(least(value / {dbl(200)}, {dbl(1)}) * {dbl(10000)}) / {dbl(10000)} END AS total, event_type AS component,
+            floor(least(value / {dbl(100)}, {dbl(1)}) * {dbl(10000)}) / {dbl(10000)} AS component_value, event_id % 200 AS step, ts FROM <events>""",
         "log_v": "SELECT user_id % 10 AS run, event_id AS step, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS metric FROM <events> WHERE event_type = 'click'",
         "saves_v": "SELECT user_id % 10 AS run, event_id AS step FROM <events> WHERE event_type = 'purchase'",
         "chat_v": f"SELECT conv_id, turn, role, text, {_WORDS[e]} AS tokens FROM <conversations>",
