@@ -16,12 +16,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+_own: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``; where that is unset, in a temporary one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="millrace-"))
+        base = _own[0]
     return f"{base.rstrip('/')}/millrace-{uuid.uuid4().hex}"
 
 
