@@ -5,16 +5,24 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` (a temporary folder where that is unset) and read it again."""
-    spark = df.sparkSession
+_own: list[str] = []
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``; below a temporary one where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/settled-{uuid.uuid4().hex}"
+        if not _own:
+            _own.append(tempfile.mkdtemp(prefix="millrace-"))
+        base = _own[0]
+    return f"{base.rstrip('/')}/settled-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a folder of its own and read it again: its lineage ends there."""
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -80,11 +80,11 @@ def win10_reassign(v):
     return jobs.join(moved, "job_id", "left").select("job_id", F.coalesce("assigned", "model_id").alias("model_id"))
 
 
-@query("SELECT task_id, step // 25 AS window, round(avg(total), 6) AS mean, round(avg(total) - lag(avg(total)) OVER (PARTITION BY task_id ORDER BY step // 25), 6) AS change FROM <rollouts_v> GROUP BY task_id, step // 25")
+@query("SELECT task_id, step // 25 AS window, round(avg(total), 10) AS mean, round(avg(total) - lag(avg(total)) OVER (PARTITION BY task_id ORDER BY step // 25), 10) AS change FROM <rollouts_v> GROUP BY task_id, step // 25")
 def win11_reward_windows(v):
     by = v("rollouts_v").groupBy("task_id", F.floor(F.col("step") / 25).alias("window")).agg(F.avg("total").alias("m"))
     change = F.col("m") - F.lag("m").over(W.partitionBy("task_id").orderBy("window"))
-    return by.select("task_id", "window", F.round("m", 6).alias("mean"), F.round(change, 6).alias("change"))
+    return by.select("task_id", "window", F.round("m", 10).alias("mean"), F.round(change, 10).alias("change"))
 
 
 @query("SELECT job_id, max(retry) AS attempts FROM <attempts_v> GROUP BY job_id HAVING NOT arg_max(accepted, retry) AND max(retry) < 4")

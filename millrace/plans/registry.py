@@ -29,5 +29,17 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
+def raw_query(sql: str | None = None):
+    """Register ``f(spark, sf_dir)``."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = _oracle(sql)
+        return f
+
+    return register
+
+
 for _module in ("text", "validation", "dedup", "events", "scoring", "retrieval", "jobs", "evaluation", "stream"):
     import_module(f"millrace.plans.{_module}_queries")

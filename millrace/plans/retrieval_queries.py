@@ -30,9 +30,9 @@ def win4_best_stem(v):
     return R.best_stem(R.candidates(v("voices_v"), v("stems_v")))
 
 
-@query(f"SELECT task_id, role FROM <voices_v> WHERE task_id NOT IN (SELECT task_id FROM ({JOINED}) WHERE structural_variation > 0.8 AND id % 3 = 0)")
+@query(f"SELECT task_id, role FROM <voices_v> WHERE task_id NOT IN (SELECT task_id FROM ({JOINED}) WHERE structural_variation > 0.8 AND id % 11 = 0)")
 def win4_missing_roles(v):
-    found = R.candidates(v("voices_v"), v("stems_v")).where("structural_variation > 0.8 AND id % 3 = 0").select("task_id")
+    found = R.candidates(v("voices_v"), v("stems_v")).where("structural_variation > 0.8 AND id % 11 = 0").select("task_id")
     return v("voices_v").join(found, "task_id", "left_anti").select("task_id", "role")
 
 

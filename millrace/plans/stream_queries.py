@@ -1 +1,121 @@
+"""Queries of :mod:`millrace.streaming`, :mod:`millrace.sources` and :mod:`millrace.functions.records`."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.functions import records as R
+from millrace.operators.tables import scratch
+from millrace.plans.registry import query, raw_query
+from millrace.plans.views import view
+from millrace.sources import records as S
+from millrace.streaming import journals as J
+
+
+def _events(spark, sf_dir):
+    """The event table as a stream of files."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+
+
+def _done(started) -> None:
+    started.awaitTermination()
+
+
+@raw_query("SELECT DISTINCT user_id AS task_id, event_type AS model_id FROM events")
+def str1_journal_ingest(spark, sf_dir):
+    """Each (task, model) of the stream once, in a parquet sink."""
+    out = scratch(spark)
+    stream = _events(spark, sf_dir).select(F.col("user_id").alias("task_id"), F.col("event_type").alias("model_id"))
+    _done(J.ingest(stream, f"{out}/rows", f"{out}/state", keys=["task_id", "model_id"]))
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+
+
+@raw_query("SELECT event_type AS model_id, count(*) AS attempts, count(*) FILTER (value > 100) AS accepted, greatest(0, 1500 - count(*) FILTER (value > 100)) AS shortfall FROM events GROUP BY event_type")
+def str2_running_progress(spark, sf_dir):
+    out = scratch(spark)
+    targets = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_type").alias("model_id")).distinct().withColumn("target", F.lit(1500))
+    stream = _events(spark, sf_dir).select(F.col("event_type").alias("model_id"), (F.col("value") > 100).alias("accepted"))
+    got = J.running_progress(stream, targets).drop("target")
+
+    def work(batch, number):
+        batch.write.mode("overwrite").parquet(f"{out}/progress")
+
+    _done(got.writeStream.outputMode("complete").foreachBatch(work).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start())
+    return spark.read.parquet(f"{out}/progress")
+
+
+@raw_query()
+def str3_accept_first(spark, sf_dir):
+    """Requests accepted by a stream of batches; equal to batch acceptance in the order of arrival."""
+    out = scratch(spark)
+    rows = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/documents.parquet").schema).parquet(f"{sf_dir}/documents.parquet*")
+    stream = rows.select(F.col("doc_id").alias("id"), F.regexp_extract("text", r"^(\S+\s+){0,23}\S+", 0).alias("prompt"))
+    _done(J.each_batch(stream, f"{out}/state", J.accept_into(f"{out}/bank")))
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(f"{out}/bank").select("id")
+
+
+@raw_query("SELECT event_id AS id, user_id AS prompt_id FROM events")
+def str4_periodic_export(spark, sf_dir):
+    out = scratch(spark)
+    stream = _events(spark, sf_dir).select(F.col("event_id").alias("id"), F.col("user_id").alias("prompt_id"))
+    _done(J.each_batch(stream, f"{out}/state", J.export_into(f"{out}/rows")))
+    return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(f"{out}/rows")
+
+
+@query("SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, component, count(*) AS n, round(avg(total), 6) AS mean FROM <rollouts_v> GROUP BY ALL")
+def str5_rollout_monitor(v):
+    return J.rollout_monitor(v("rollouts_v")).withColumn("mean", F.round("mean", 6))
+
+
+@raw_query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0")
+def src1_strict_records(spark, sf_dir):
+    """Orders written as JSON lines, some with an unknown field or a NaN, and read strictly."""
+    out = scratch(spark)
+    line = F.expr("""CASE WHEN o_orderkey % 5 = 0 THEN concat('{"o_orderkey":', o_orderkey, ',"extra":1}') WHEN o_orderkey % 7 = 0 THEN concat('{"o_orderkey":', o_orderkey, ',"o_totalprice":NaN}') ELSE to_json(struct(o_orderkey, o_totalprice)) END""")
+    view(spark, sf_dir, "orders").select(line.alias("value")).write.text(f"{out}/lines")
+    schema = view(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").schema
+    return S.read_records(spark, f"{out}/lines", schema)[0]
+
+
+@raw_query("SELECT id, prompt, stage, split FROM <requests_v> WHERE id % 2 = 0")
+def src3_src4_bank_round_trip(spark, sf_dir):
+    """A bank written by stage and split and read again."""
+    out = scratch(spark)
+    rows = view(spark, sf_dir, "requests_v").where("id % 2 = 0").select("id", "prompt", "stage", "split")
+    S.write_bank(rows, f"{out}/bank")
+    return S.read_bank(spark, f"{out}/bank", rows.schema).select("id", "prompt", "stage", "split")
+
+
+@raw_query("SELECT true AS same, count(*) AS n FROM lineitem")
+def src9_fingerprint(spark, sf_dir):
+    """A table's fingerprint is that of the same rows in another order."""
+    rows = view(spark, sf_dir, "lineitem")
+    same = S.fingerprint(rows) == S.fingerprint(rows.repartition(7, "l_partkey"))
+    return rows.agg(F.lit(same).alias("same"), F.count(F.lit(1)).alias("n"))
+
+
+_MARKDOWN = "concat('# ', family, chr(10), chr(10), '```js', chr(10), 'a(', cast(id AS string), ')', chr(10), '```', chr(10), 'text', chr(10), '```python', chr(10), 'no', chr(10), '```', chr(10), '```js', chr(10), 'b', chr(10), 'c', chr(10), '```', chr(10))"
+
+
+@query("SELECT id, 4 AS line, 'a(' || id || ')' AS code FROM <sources_v> UNION ALL SELECT id, 11 AS line, 'b' || chr(10) || 'c' AS code FROM <sources_v>")
+def par3_udf5_fenced_code(v):
+    return R.fenced_code(v("sources_v").select("id", F.expr(_MARKDOWN).alias("text"))).select("id", "line", "code")
+
+
+@query("SELECT id, CASE WHEN id % 3 = 0 THEN family ELSE 'p' END AS code FROM <sources_v> UNION ALL SELECT id, 'second' AS code FROM <sources_v> WHERE id % 2 = 0")
+def par4_json_examples(v):
+    one = "concat('{\"code\":\"', CASE WHEN id % 3 = 0 THEN family ELSE '' END, '\",\"pattern\":\"p\"}')"
+    text = F.expr(f"CASE WHEN id % 2 = 0 THEN concat('[', {one}, ',{{\"pattern\":\"second\"}},{{\"code\":\" \"}}]') ELSE {one} END".replace("{{", "{").replace("}}", "}"))
+    return R.json_examples(v("sources_v").select("id", text.alias("text"))).select("id", "code")
+
+
+@query(r"SELECT doc_id, len(regexp_extract_all(text, '\S+')) AS n, len(regexp_extract_all(text, '\S+')) AS counted FROM documents")
+def udf1_token_counter(v):
+    count = R.token_counter(lambda: __import__("re").compile(r"[^ \t\n\r\f\v]+").findall and (lambda t, find=__import__("re").compile(r"[^ \t\n\r\f\v]+").findall: len(find(t))))
+    return v("documents").select("doc_id", R.word_tokens("text").cast("bigint").alias("n"), count("text").alias("counted"))
+
+
+@query("""SELECT doc_id, sha256('{"a": ' || doc_id || ', "b": "' || source || '"}') AS h FROM documents""")
+def udf6_canonical_hash(v):
+    return v("documents").select("doc_id", R.canonical_hash()(F.to_json(F.struct(F.col("source").alias("b"), F.col("doc_id").alias("a")))).alias("h"))
