@@ -65,7 +65,7 @@ def read_required_csv(spark: SparkSession, path: str, required: list[str]) -> tu
     if missing := sorted(set(required) - set(names)):
         raise ValueError(f"{path}: columns {missing} are missing")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_bad"]])
-    rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("columnNameOfCorruptRecord", "_bad").csv(path)
+    rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("columnPruning", False).option("columnNameOfCorruptRecord", "_bad").csv(path)
     bad = F.col("_bad").isNotNull()
     for c in required:
         bad = bad | F.col(c).isNull() | (F.trim(F.col(c)) == "")
