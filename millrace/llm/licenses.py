@@ -35,8 +35,8 @@ def spaced_words(text: str = "text") -> Column:
     plain = F.coalesce(F.col(text), F.lit(""))
     for c in ODD:
         plain = F.replace(plain, F.lit(c), F.lit("é"))
-    joined = F.lower(F.regexp_replace(plain, GAPS, "  "))
-    return F.regexp_replace(F.concat(F.lit("  "), joined, F.lit("  ")), "^ {2,4}| {2,4}$", " ")
+    joined = F.trim(F.lower(F.regexp_replace(plain, GAPS, "  ")))
+    return F.when(joined == "", "").otherwise(F.concat(F.lit(" "), joined, F.lit(" ")))
 
 
 def _n(text: Column) -> Column:
@@ -134,7 +134,7 @@ def _oracle() -> str:
     return rf"""
 WITH rules(rule, label, kw, rx, priority, weight) AS (VALUES {values}),
 d AS (
-  SELECT doc_id, regexp_replace('  ' || lower(regexp_replace({plain}, '{GAPS}', '  ', 'g')) || '  ', '^ {{2,4}}| {{2,4}}$', ' ', 'g') AS s FROM documents),
+  SELECT doc_id, CASE WHEN j = '' THEN '' ELSE ' ' || j || ' ' END AS s FROM (SELECT doc_id, trim(lower(regexp_replace({plain}, '{GAPS}', '  ', 'g'))) AS j FROM documents)),
 b AS (SELECT *, regexp_extract_all(s, '{BASE}') AS found, string_split_regex(s, '{BASE}') AS pieces FROM d),
 h AS (
   SELECT doc_id, rule, label, priority, weight, regexp_extract_all(s, rx) AS found, string_split_regex(s, rx) AS pieces

@@ -2,7 +2,8 @@
 
 Each text gives a vector of rule statistics. Trees of random splits are grown on
 a bounded sample of labelled rows (at most ``sample`` rows, by a seeded hash of
-doc_id); a text that few splits isolate is an anomaly. The anomaly score above
+doc_id; bad ones make up a tenth of it at most, so that they stay anomalies); a
+text that few splits isolate is an anomaly. The anomaly score above
 which a text is rejected is calibrated on the labelled rows that pass the base
 rules: it is the score that best tells good from bad (share of bad rejected plus
 share of good kept), raised where needed to keep at least ``keep_good`` of the
@@ -168,7 +169,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = 8192, keep_good: fl
         return None, np.inf
     rows, good = np.array(got["v"].tolist()), got["quality"].to_numpy() == 1
     passed, rows = rows[:, 0] == 0, rows[:, 1:]
-    forest = IsolationForest(rows, seed=seed)
+    few = np.cumsum(~good) <= max(good.sum() // 9, 256 * ~good.any())
+    forest = IsolationForest(rows[good | few], seed=seed)
     scores = forest.score(rows)
     return forest, threshold(scores[good & passed], scores[~good & passed], keep_good)
 

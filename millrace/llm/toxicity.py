@@ -10,8 +10,8 @@ score is that of its highest window among all overlapping windows of
 :data:`STEPS` words, scaled so that 0.7 is the best cut between the labels of the rows learned from.
 
 At most ``sample`` rows of each label are learned from, taken by a seeded hash of
-doc_id. Null and empty texts are one window without words. Where a label is
-missing, every score is 0. Each row is scored by itself; further columns are ignored.
+doc_id. Null and empty texts, and those without a letter, score 0. Where a label
+is missing, every score is 0. Each row is scored by itself; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -97,7 +97,7 @@ class Weights:
 
 
 def windows(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, number of words and row of each window; every text has one at least."""
+    """First word, number of words and row of each window; a text without words has an empty one."""
     n = t.n_words
     counts = np.where(n > STEPS, -(-(n - STEPS) // STRIDE) + 1, 1)
     rows = np.repeat(np.arange(t.rows), counts)
@@ -133,6 +133,7 @@ class Model:
         out = self.window_logits(inputs(slots(t), self.tables), first, lengths)
         best = np.full(t.rows, -np.inf)
         np.maximum.at(best, rows, out)
+        best[t.n_words == 0] = -np.inf
         return best
 
     def scores(self, column: pa.Array) -> np.ndarray:
@@ -140,7 +141,7 @@ class Model:
             return np.zeros(len(column))
         found = [np.zeros(0), *(self.text_logits(_letters(t)) for t in chunks(column, 1 << 21))]
         z = self.slope * (np.concatenate(found) - self.middle) + np.log(CUT / (1 - CUT))
-        return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+        return np.where(np.isneginf(z), 0.0, 1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
     @classmethod
     def fit(cls, texts: list[str], toxic: np.ndarray, fold: np.ndarray, rounds: int = 4, seed: int = 7) -> Model:
