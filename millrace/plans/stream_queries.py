@@ -119,3 +119,24 @@ def udf1_token_counter(v):
 @query("""SELECT doc_id, sha256('{"a": ' || doc_id || ', "b": "' || source || '"}') AS h FROM documents""")
 def udf6_canonical_hash(v):
     return v("documents").select("doc_id", R.canonical_hash()(F.to_json(F.struct(F.col("source").alias("b"), F.col("doc_id").alias("a")))).alias("h"))
+
+
+@raw_query("SELECT cast(o_orderkey AS varchar) AS o_orderkey, o_orderpriority AS name FROM orders WHERE o_orderkey % 3 <> 0")
+def src6_src7_csv_round_trip(spark, sf_dir):
+    """Orders written as CSV, some with a blank name, and read with both columns required."""
+    out = scratch(spark)
+    name = F.when(F.col("o_orderkey") % 3 == 0, " ").otherwise(F.col("o_orderpriority"))
+    S.write_csv(view(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), name.alias("name")), f"{out}/csv")
+    return S.read_required_csv(spark, f"{out}/csv", ["o_orderkey", "name"])[0]
+
+
+@raw_query("SELECT source || '.json' AS name, CASE WHEN source = 'src3' THEN 'changed' WHEN count(*) > 0 AND source = 'src4' THEN 'missing' ELSE 'ok' END AS status FROM documents GROUP BY source")
+def src8_pinned_files(spark, sf_dir):
+    """A file for each source, checked against a manifest of which two entries don't fit."""
+    out = scratch(spark)
+    texts = view(spark, sf_dir, "documents").groupBy("source").agg(F.count(F.lit(1)).cast("string").alias("value"))
+    texts.where("source <> 'src4'").repartition("source").write.partitionBy("source").text(f"{out}/files")
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{out}/files")
+    named = found.select(F.col("source"), F.sha2("content", 256).alias("digest"), "length")
+    manifest = texts.select("source", F.sha2(F.concat(F.when(F.col("source") == "src3", "x").otherwise(F.col("value")), F.lit("\n")), 256).alias("sha256"))
+    return S.file_status(manifest, named, "source").select(F.concat("source", F.lit(".json")).alias("name"), "status")

@@ -79,11 +79,20 @@ def write_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).csv(path)
 
 
-def pinned_files(spark: SparkSession, path: str, manifest: DataFrame, *, most_bytes: int = 2 << 20) -> DataFrame:
-    """(name, status) of the manifest's files (name, sha256): ok, missing, too large or changed."""
-    found = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("digest"))
+MOST_BYTES = 2 << 20
+
+
+def file_status(manifest: DataFrame, found: DataFrame, key: str, *, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """(key, status) of the manifest's entries (key, sha256) against files found (key, digest, length)."""
     status = F.when(F.col("length").isNull(), "missing").when(F.col("length") > most_bytes, "too large").when(F.col("digest") != F.col("sha256"), "changed").otherwise("ok")
-    return manifest.join(found, "name", "left").select("name", status.alias("status"))
+    return manifest.join(found, key, "left").select(key, status.alias("status"))
+
+
+def pinned_files(spark: SparkSession, path: str, manifest: DataFrame, *, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """(name, status) of the manifest's files (name, sha256): ok, missing, too large or changed."""
+    files = spark.read.format("binaryFile").load(path)
+    found = files.select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("digest"))
+    return file_status(manifest, found, "name", most_bytes=most_bytes)
 
 
 def fingerprint(rows: DataFrame, buckets: int = 64) -> str:
