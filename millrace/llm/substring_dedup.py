@@ -39,6 +39,7 @@ WINDOW = 13
 LEVELS = (1, 2, 4, 8, 13)
 BUCKETS = 4096
 TREE_SUFFIXES = 1 << 20
+CHUNK_BYTES = 4 << 20
 LAST = np.iinfo(np.int64).max
 
 
@@ -46,7 +47,7 @@ def _scan(batches):
     """Chunks of whole rows with their ids, from batches of (doc_id, text)."""
     for batch in batches:
         ids = batch.column(0).fill_null(LAST).to_numpy(zero_copy_only=False)
-        for t in chunks(batch.column(1)):
+        for t in chunks(batch.column(1), CHUNK_BYTES):
             yield t.split(), ids[t.first : t.first + t.rows]
 
 

@@ -113,7 +113,7 @@ class Model:
         self.net: BiGru | None = None
         self.middle, self.slope = 0.0, 1.0
 
-    def window_logits(self, x: np.ndarray, first: np.ndarray, lengths: np.ndarray, block: int = 4096) -> np.ndarray:
+    def window_logits(self, x: np.ndarray, first: np.ndarray, lengths: np.ndarray, block: int = 2048) -> np.ndarray:
         xf = (x @ self.net.p["wf"] + self.net.p["bf"]).astype(np.float32)
         xb = (x @ self.net.p["wb"] + self.net.p["bb"]).astype(np.float32)
         if not len(x):
@@ -139,7 +139,7 @@ class Model:
     def scores(self, column: pa.Array) -> np.ndarray:
         if self.net is None:
             return np.zeros(len(column))
-        found = [np.zeros(0), *(self.text_logits(_letters(t)) for t in chunks(column, 1 << 21))]
+        found = [np.zeros(0), *(self.text_logits(_letters(t)) for t in chunks(column, 1 << 19))]
         z = self.slope * (np.concatenate(found) - self.middle) + np.log(CUT / (1 - CUT))
         return np.where(np.isneginf(z), 0.0, 1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
