@@ -2,7 +2,7 @@
 
 A *word* is a maximal run of bytes other than space and ``\\t\\n\\v\\f\\r``.
 All functions work on whole texts; a chunk holds whole rows only, so the memory
-in use is bounded by :data:`CHUNKBYTES` or by the longest single text.
+in use is bounded by :data:`CHUNK_BYTES` or by the longest single text.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNKBYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 _ODD = 0x9E3779B97F4A7C15
@@ -121,7 +121,7 @@ class Texts:
         return np.diff(total[self.bounds])
 
 
-def chunks(column: pa.Array | pa.ChunkedArray, limit: int = CHUNKBYTES) -> Iterator[Texts]:
+def chunks(column: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Iterator[Texts]:
     """Whole rows of a string column in pieces of about ``limit`` bytes; nulls are empty."""
     for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
         if len(part) == 0:
