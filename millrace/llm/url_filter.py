@@ -24,6 +24,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.common import cut
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 MOST_BITS = 1 << 28
@@ -34,7 +36,7 @@ class Cascade:
 
     def __init__(self, keys: DataFrame, *, most_bits: int = MOST_BITS) -> None:
         self.levels: list[tuple[Column, int, int]] = []
-        known = keys.groupBy("key").agg(F.max("listed").alias("listed"))
+        known = cut(keys.groupBy("key").agg(F.max("listed").alias("listed")))
         sizes = known.agg(F.count_if("listed"), F.count(F.lit(1))).first()
         n, other = sizes[0], sizes[1] - sizes[0]
         while n:
