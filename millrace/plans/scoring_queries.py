@@ -8,7 +8,8 @@ from millrace.functions import text as T
 from millrace.operators import events as E
 from millrace.operators import families as M
 from millrace.operators import scoring as S
-from millrace.plans.events_queries import ADHERENCE, CYCLES, HEARD, LOW, PAIRS, PRINTS, SOUND, TELEMETRY, VOICES, _MASKS, families_of
+from millrace.operators.tables import settle
+from millrace.plans.events_queries import ADHERENCE, CYCLES, HEARD, LOW, PAIRS, PRINTS, SOUND, TELEMETRY, VOICES, _MASKS, registry_tables
 from millrace.plans.registry import query
 
 #: What each program was asked for, made from its id.
@@ -20,7 +21,7 @@ ROLES_DUCK, ROLES_SPARK = ROLES.format(arr="[", end="]"), ROLES.format(arr="arra
 def facts(v):
     """One row per program: its run's summaries beside what was asked for."""
     haps, programs = v("haps_v"), v("programs_v")
-    prints = E.fingerprints(haps, CYCLES)
+    prints = settle(E.fingerprints(haps, CYCLES))
     windows = E.evolution(prints, CYCLES).groupBy("program_id").agg(F.array_sort(F.collect_list("variation")).alias("windows"))
     rows = programs.withColumn("parsed", T.completion("completion")["reason"].isNull()).withColumn("thinking", T.completion("completion")["thinking"])
     rows = rows.join(E.telemetry(haps, CYCLES), "program_id").join(E.variation(prints, CYCLES), "program_id").join(windows, "program_id")
@@ -93,14 +94,18 @@ def sco5_acceptance(v):
 
 
 def contract_rows(v):
-    """Facts, contract, present families, voice counts, sections and scale fits of each program."""
-    haps, contracts = v("haps_v"), v("contracts_v").withColumnRenamed("key", "asked_key")
-    told = E.telemetry(haps, CYCLES)
-    found = families_of(v)
-    present = M.present_families(told, found, LOW)
+    """Facts, contract, present families, voice counts, sections and scale fits of each program.
+
+    The facts, one row a program, are settled: what follows reads them instead of the events.
+    """
+    contracts = v("contracts_v").withColumnRenamed("key", "asked_key")
+    base = settle(facts(v))
+    found = settle(M.sound_families(base.select(F.explode("sound_sources").alias("sound")), *registry_tables(v)))
+    present = M.present_families(base.select("program_id", "sound_sources", "pitch_lo"), found, LOW)
     named = contracts.where("require IS NOT NULL").select("program_id", F.col("require").alias("family"), F.lit(0).alias("priority"))
-    rows = facts(v).join(contracts, "program_id").join(present, "program_id").join(M.voice_counts(told, found, named), "program_id")
-    return rows.join(E.sections(haps, CYCLES), "program_id").withColumn("fit", F.when(F.size("pitches") > 0, E.scale_fit(F.col("pitches"))))
+    parts = M.voice_counts(base.select("program_id", "sound_sources"), found, named)
+    rows = base.join(contracts, "program_id").join(present, "program_id").join(parts, "program_id")
+    return rows.join(E.sections(v("haps_v"), CYCLES), "program_id").withColumn("fit", F.when(F.size("pitches") > 0, E.scale_fit(F.col("pitches"))))
 
 
 def contract_checks(rows):

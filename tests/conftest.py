@@ -11,7 +11,7 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     session = (
-        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC")
+        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "6g").config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
