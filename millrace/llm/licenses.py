@@ -15,6 +15,7 @@ empty result. Everything is SQL expressions inside one scan, without a shuffle.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,8 +46,10 @@ def _n(text: Column) -> Column:
 
 
 def _rule_table() -> Column:
-    row = lambda r: F.struct(*(F.lit(v).alias(n) for n, v in zip(("rule", "label", "keyword", "regex", "priority", "weight"), r, strict=True)))
-    return F.array(*map(row, rules()))
+    """The rules as one constant of the plan."""
+    names = ("rule", "label", "keyword", "regex", "priority", "weight")
+    rows = json.dumps([dict(zip(names, r, strict=True)) for r in rules()])
+    return F.from_json(F.lit(rows), "array<struct<rule: int, label: string, keyword: string, regex: string, priority: int, weight: double>>")
 
 
 def _detections(words: Column, table: Column) -> Column:
