@@ -8,19 +8,19 @@ keyword and one of :data:`MARKERS`.
 
 from __future__ import annotations
 
-MARKERS = ("licen", "copyright", "permission", "redistribution", "spdx", "creative", "public domain", "warrant", "cecill", "gpl", "mozilla", "eclipse", "eupl", "advertising")
+MARKERS = ("licen", "copyright", "permission", "redistribution", "spdx", "creative", "public domain", "warrant", "cecill", "gpl", "mozilla", "eclipse", "eupl", "advertising", "bsd", "no attribution")
 
 LICENSES = r"""
-mit | mit licen | mit licen[sc]es? | mit | opensource org licenses mit(?: license)? | permission is @ permission is hereby granted free of charge to any person obtaining a copy
+mit | mit licen | mit licen[sc]es? | mit | licenses mit @ opensource org licenses mit(?: license)? | permission is @ permission is hereby granted free of charge to any person obtaining a copy
 mit-0 | mit no attribution | mit no attribution(?: licen[sc]e)? | mit 0 | licenses @ opensource org licenses mit 0 |
-apache | apache | apache(?: software)? licen[sc]e(?: version)?(?: 2(?: 0)?)? | apache 2 0 | licenses license @ (?:www )?apache org licenses license 2 0 | apache @ you may not use this file except in compliance with the license
+apache | apache | apache(?: software)? licen[sc]e(?: version)?(?: 2(?: 0)?)? | apache 2 0 | licenses license @ (?:www )?apache org licenses license 2 0 | in compliance @ you may not use this file except in compliance with the license
 apache-1.1 | apache | apache(?: software)? licen[sc]e(?: version)? 1 1 | apache 1 1 | licenses license @ (?:www )?apache org licenses license 1 1 | apache @ the names apache and apache software foundation must not be used .{1,80}permission
 gpl | general public licen | (?:gnu )?general public licen[sc]e(?: gpl)? | gpl [123] 0(?: only| or later)? | licenses gpl @ gnu org licenses gpl(?: [123] 0)?(?: html)? | general public licen @ under the terms of the gnu general public licen[sc]e
 lgpl | lesser general | (?:gnu )?lesser general public licen[sc]e(?: lgpl)? | lgpl [23] [01](?: only| or later)? | licenses lgpl @ gnu org licenses lgpl(?: [23] [01])?(?: html)? | lesser general @ under the terms of the gnu lesser general public licen[sc]e
 lgpl-2.0 | library general | (?:gnu )?library general public licen[sc]e | lgpl 2 0(?: only| or later)? | licenses old @ gnu org licenses old licenses lgpl 2 0 | library general @ under the terms of the gnu library general public licen[sc]e
 agpl | affero | (?:gnu )?affero general public licen[sc]e(?: agpl)? | agpl [13] 0(?: only| or later)? | licenses agpl @ gnu org licenses agpl(?: 3 0)?(?: html)? | affero @ under the terms of the gnu affero general public licen[sc]e
 gfdl | free documentation | (?:gnu )?free documentation licen[sc]e | gfdl 1 [123](?: only| or later)? | licenses fdl @ gnu org licenses fdl(?: 1 [123])? | free documentation @ copy distribute and or modify this document under the terms of the gnu free documentation licen[sc]e
-bsd | bsd licen | bsd(?: style)? licen[sc]es? | bsd 3 clause | licenses bsd @ opensource org licenses bsd 3 clause | redistribution and @ redistribution and use in source and binary forms with or without modification are permitted
+bsd | bsd | bsd(?: style)? licen[sc]es? | bsd 3 clause | licenses bsd @ opensource org licenses bsd 3 clause | redistribution and @ redistribution and use in source and binary forms with or without modification are permitted
 bsd-2-clause | bsd 2 | bsd 2 clause(?: simplified)?(?: licen[sc]e)? | bsd 2 clause | licenses bsd @ opensource org licenses bsd 2 clause | simplified bsd @ simplified bsd licen[sc]e
 bsd-4-clause | bsd 4 | bsd 4 clause(?: licen[sc]e)? | bsd 4 clause | bsd @ spdx org licenses bsd 4 clause | advertising materials @ all advertising materials mentioning features or use of this software
 0bsd | zero clause | (?:bsd )?zero clause bsd(?: licen[sc]e)? | 0bsd | licenses 0bsd @ opensource org licenses 0bsd | permission to @ permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
@@ -46,13 +46,13 @@ cc-by-nc | attribution non | creative commons attribution non ?commercial(?: [12
 cc-by-nd | attribution no | creative commons attribution no ?deriv(?:s|atives)(?: [1234] [05])?(?: international| unported)?(?: licen[sc]e)? | cc by nd [1234] [05] | licenses by @ creativecommons org licenses by nd [1234] [05] | cc by nd @ licen[sc]ed under (?:a )?cc by nd [1234] [05]
 cc-by-nc-sa | attribution non | creative commons attribution non ?commercial share ?alike(?: [1234] [05])?(?: international| unported)?(?: licen[sc]e)? | cc by nc sa [1234] [05] | licenses by @ creativecommons org licenses by nc sa [1234] [05] | cc by nc sa @ licen[sc]ed under (?:a )?cc by nc sa [1234] [05]
 cc-by-nc-nd | attribution non | creative commons attribution non ?commercial no ?deriv(?:s|atives)(?: [1234] [05])?(?: international| unported)?(?: licen[sc]e)? | cc by nc nd [1234] [05] | licenses by @ creativecommons org licenses by nc nd [1234] [05] | cc by nc nd @ licen[sc]ed under (?:a )?cc by nc nd [1234] [05]
-odbl | open database | open (?:data commons )?(?:open )?database licen[sc]e(?: odbl)? | odbl 1 0 | licenses odbl @ opendatacommons org licenses odbl | open database @ made available under the open database licen[sc]e
+odbl | database licen | open (?:data commons )?(?:open )?database licen[sc]e(?: odbl)? | odbl 1 0 | licenses odbl @ opendatacommons org licenses odbl | open database @ made available under the open database licen[sc]e
 odc-by | data commons attribution | open data commons attribution licen[sc]e | odc by 1 0 | licenses by @ opendatacommons org licenses by | data commons attribution @ made available under the open data commons attribution licen[sc]e
 pddl | public domain dedication | public domain dedication and licen[sc]e | pddl 1 0 | licenses pddl @ opendatacommons org licenses pddl | public domain dedication @ made available under the public domain dedication and licen[sc]e
 ofl | open font | (?:sil )?open font licen[sc]e(?: version)?(?: 1 [01])? | ofl 1 [01] | ofl @ scripts sil org ofl .{0,20}licen[sc]e | open font @ this font software is licensed under the sil open font licen[sc]e
 python | python software foundation | python software foundation licen[sc]e(?: version)?(?: 2)? | (?:psf|python) 2 0 | psf license @ docs python org .{0,20}psf license | python software foundation @ this license agreement is between the python software foundation
 php | php licen | php licen[sc]e(?: version)?(?: 3 0[1]?)? | php 3 0[1]? | license 3 @ php net license 3 01 | php @ this product includes php software freely available from .{0,40}php licen[sc]e
-ruby | ruby licen | ruby(?: s)? licen[sc]e | ruby | ruby @ ruby lang org .{0,20}licen[sc]e | ruby @ redistribute it and or modify it under the same terms as ruby .{0,40}licen[sc]e
+ruby | ruby | ruby(?: s)? licen[sc]e | ruby | ruby @ ruby lang org .{0,20}licen[sc]e | ruby @ redistribute it and or modify it under the same terms as ruby .{0,40}licen[sc]e
 postgresql | postgresql licen | postgresql licen[sc]e | postgresql | postgresql @ postgresql org about licen[sc]e | permission to @ permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement
 openssl | openssl licen | openssl licen[sc]e | openssl | openssl @ openssl org source licen[sc]e | openssl @ this product includes software developed by the openssl project .{0,80}licen[sc]e
 ncsa | ncsa | (?:university of illinois )?(?:ncsa )?(?:illinois )?ncsa open source licen[sc]e | ncsa | licenses ncsa @ opensource org licenses ncsa | ncsa @ developed by .{1,60}ncsa open source licen[sc]e
@@ -63,20 +63,20 @@ afl-3.0 | academic free | academic free licen[sc]e(?: version| v)?(?: [123] [01]
 ecl-2.0 | educational community | educational community licen[sc]e(?: version)?(?: [12] 0)? | ecl [12] 0 | licenses ecl @ opensource org licenses ecl 2 0 | educational community @ licensed under the educational community licen[sc]e
 upl-1.0 | universal permissive | universal permissive licen[sc]e(?: version| v)?(?: 1 0)? | upl 1 0 | licenses upl @ (?:opensource org|oss oracle com) licenses upl | universal permissive @ licensed under the universal permissive licen[sc]e
 qpl | q public | q public licen[sc]e(?: version)?(?: 1 0)? | qpl 1 0 | licenses qpl @ opensource org licenses qpl 1 0 | q public @ terms of the q public licen[sc]e
-sleepycat | sleepycat | sleepycat(?: public)? licen[sc]e | sleepycat | licenses sleepycat @ opensource org licenses sleepycat | sleepycat @ redistributions in any form must be accompanied by information on how to obtain complete source code .{0,120}licen[sc]e
+sleepycat | sleepycat | sleepycat(?: public)? licen[sc]e | sleepycat | licenses sleepycat @ opensource org licenses sleepycat | redistributions in @ redistributions in any form must be accompanied by information on how to obtain complete source code .{0,120}licen[sc]e
 w3c | w3c | w3c software (?:notice and )?(?:document )?licen[sc]e | w3c(?: 20150513)? | copyright software @ w3 org consortium legal .{0,20}copyright software | w3c @ under the w3c software licen[sc]e
 unicode | unicode licen | unicode licen[sc]e(?: agreement)?(?: v3)? | unicode (?:dfs 2016|3 0) | unicode @ unicode org .{0,20}(?:copyright|licen[sc]e) | unicode @ permission is hereby granted .{0,60}unicode data files
 curl | curl licen | curl licen[sc]e | curl | curl @ curl se docs copyright | daniel stenberg @ copyright .{0,30}daniel stenberg
-x11 | x11 licen | x11 licen[sc]e | x11 | x11 @ xfree86 org .{0,10}licen[sc]e | x consortium @ name of the x consortium shall not be used .{0,120}permission
+x11 | x11 licen | x11 licen[sc]e | x11 | xfree86 @ xfree86 org .{0,10}licen[sc]e | x consortium @ name of the x consortium shall not be used .{0,120}permission
 hpnd | historical permission | historical permission notice and disclaimer | hpnd | licenses hpnd @ opensource org licenses hpnd | permission to @ permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted
 vim | vim licen | vim licen[sc]e | vim | vim @ vimdoc sourceforge net .{0,30}licen[sc]e | vim @ distributed under the vim licen[sc]e
 cecill | cecill | cecill(?: [abc])?(?: free software)? licen[sc]e(?: agreement)? | cecill [12] [01] | cecill @ cecill info .{0,10}licen[sc]es? | cecill @ governed by the cecill(?: [abc])? licen[sc]e
-sspl | server side public | server side public licen[sc]e(?: version| v)?(?: 1)? | sspl 1 0 | sspl @ mongodb com licensing server side public licen[sc]e | server side public @ terms of the server side public licen[sc]e
+sspl | server side public | server side public licen[sc]e(?: version| v)?(?: 1)? | sspl 1 0 | mongodb @ mongodb com licensing server side public licen[sc]e | server side public @ terms of the server side public licen[sc]e
 busl-1.1 | business source | business source licen[sc]e(?: version)?(?: 1 1)? | busl 1 1 | bsl11 @ mariadb com bsl11 .{0,10}licen[sc]e | business source @ licensor .{0,80}business source licen[sc]e
 elastic-2.0 | elastic licen | elastic licen[sc]e(?: version)?(?: 2 0)? | elastic 2 0 | elastic @ elastic co licensing elastic licen[sc]e | elastic @ subject to the elastic licen[sc]e
-openrail | rail licen | (?:creativeml )?(?:bigscience )?(?:open )?(?:rail|openrail)(?: m)? licen[sc]e | openrail(?: m)? | rail @ licenses ai .{0,20}rail licen[sc]e | use based restrictions @ use based restrictions .{0,80}licen[sc]e
+openrail | rail | (?:creativeml )?(?:bigscience )?(?:open )?(?:rail|openrail)(?: m)? licen[sc]e | openrail(?: m)? | rail @ licenses ai .{0,20}rail licen[sc]e | use based restrictions @ use based restrictions .{0,80}licen[sc]e
 llama | community licen | llama(?: [234])?(?: 1)? community licen[sc]e(?: agreement)? | llama [23](?: 1)? | llama @ ai meta com llama licen[sc]e | community licen @ licensed under the llama .{0,10}community licen[sc]e
-proprietary | all rights reserved | copyright .{0,60}all rights reserved | licenseref proprietary | licenseref @ licenseref proprietary .{0,10}licen[sc]e | without prior @ may not be reproduced .{0,80}without (?:the )?prior written permission
+proprietary | all rights reserved | copyright .{0,60}all rights reserved | licenseref proprietary | licenseref @ licenseref proprietary .{0,10}licen[sc]e | prior written @ may not be reproduced .{0,80}without (?:the )?prior written permission
 """
 
 #: What a kind of signature weighs, and its priority.
