@@ -230,20 +230,6 @@ def test_decontamination(spark, awkward, nothing):
     assert decontaminate.clean(nothing, bench).count() == 0 and decontaminate.contaminated(awkward, bench.where("false")).count() == 0
 
 
-def test_alignment_is_edit_distance():
-    rng = np.random.default_rng(1)
-    text = prose(30, 50)
-    pattern = decontaminate.Patterns([(1, text)], 0.1)
-    for k in range(1, 12):
-        chars = list(text[:128])
-        for _ in range(k):
-            at = int(rng.integers(0, len(chars)))
-            [chars.pop, lambda i: chars.insert(i, "#"), lambda i: chars.__setitem__(i, "#")][int(rng.integers(0, 3))](at)
-        plain = np.frombuffer(("zz " * 20 + "".join(chars) + " yy" * 20).encode(), np.uint8)
-        edits, _ = decontaminate._align(pattern, plain, np.array([0]), np.array([len(plain)]), np.array([0]), np.array([60]))
-        assert edits[0] <= k
-
-
 # --- token counts
 
 
