@@ -20,9 +20,11 @@ _own: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; where that is unset, in a temporary one."""
+    """A new folder below ``spark.checkpoint.dir``; where that is unset, in a temporary one if the master is local."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="millrace-"))
         base = _own[0]
@@ -53,3 +55,23 @@ def drop(df: DataFrame) -> None:
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(df._millrace_path)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Scratch:
+    """Tables that :func:`cut` writes inside a ``with`` block, which deletes them at its end."""
+
+    def __enter__(self) -> Scratch:
+        self.made: list[DataFrame] = []
+        return self
+
+    def __exit__(self, *_) -> None:
+        for df in self.made:
+            drop(df)
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        return self.hold(cut(df))
+
+    def hold(self, df: DataFrame) -> DataFrame:
+        """Delete the table of ``df``, which :func:`cut` wrote, at the end of the block."""
+        self.made.append(df)
+        return df

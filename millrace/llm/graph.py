@@ -27,13 +27,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     Every round contracts by groups and joins; its edges are written to the shared
     folder, so a lost executor costs one round. Stops when a round changes nothing.
+    The result reads the last round's table, which :func:`~millrace.llm.common.drop` deletes.
     """
     now = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
     while True:
         state = now.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))"), F.sum(F.col("b").cast("decimal(38,0)"))).first()
         if tuple(state) == seen or not state[0]:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+            found = now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+            found._millrace_path = now._millrace_path
+            return found
         seen = tuple(state)
         after = cut(_star(_star(now, True), False))
         drop(now)

@@ -4,10 +4,11 @@ A line's shingles are its runs of five characters, at every position (a shorter
 is one shingle). Equal lines are one node, known by a 64-bit hash. :data:`BANDS` *
 :data:`ROWS` minima of the shingle hashes, under masks, are taken in one aggregation;
 lines that agree in all minima of a band are candidates: all pairs of a bucket of up to
-``pairs_up_to`` lines. Larger buckets first link each line to :data:`PIVOTS` pivots
-chosen by hash; then every line outside the bucket's largest component so far meets
-all lines of other components. A bitmap of the shingles rules out pairs that can't be
-similar, never others. The rest is verified by exact Jaccard similarity of the whole
+``pairs_up_to`` lines. Larger buckets first link each line to the smallest
+and the largest one (by hash); then every line outside the bucket's largest component so far meets
+all lines of other components. Buckets are dealt over parts of about :data:`PART_LINES`
+lines, so that none lands in one task. A bitmap of the shingles rules out pairs that can't
+be similar as they meet, never others. The rest is verified by exact Jaccard similarity of the whole
 shingle sets, at least ``similarity``, and connected components of the verified pairs
 are found by star contractions, the same as those of all pairs of the buckets. A pair
 of similarity 0.8 is found with a probability of 0.985, of 0.9 with 0.9999.
@@ -27,14 +28,16 @@ import random
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, fresh
+from millrace.llm.common import Scratch, cut, fresh
 from millrace.llm.graph import components
 
-BANDS, ROWS, PIVOTS = 8, 4, 4
-SIMILARITY, PAIRS_UP_TO = 0.8, 16
+BANDS, ROWS = 8, 4
+PART_LINES = 512
+SIMILARITY, PAIRS_UP_TO = 0.8, 4
 BROADCAST_LINES = 1 << 20
-SHINGLE = r"(?s)(?=(.{5}|^.{1,4}(?!.)))."
-K, STEP, WORDS = 5, 16, 8
+K, STEP = 5, 16
+#: Words of 64 bits in the map of every line, and in that of a line that may match another.
+WORDS, WIDE = 8, 32
 #: A line in pieces that hold STEP shingles each, so that most of the work is done by columns and not by rows.
 PIECE = rf"(?s)(?=(.{{{K},{K + STEP - 1}}}|^.{{1,{K - 1}}}(?!.))).{{1,{STEP}}}"
 LAST = (1 << 63) - 1
@@ -47,7 +50,12 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _shingles(line: str = "line") -> Column:
-    return F.regexp_extract_all(line, F.lit(SHINGLE), F.lit(1))
+    """The shingles of a line, with repeats, as hashes."""
+
+    def of(piece: Column) -> Column:
+        return F.array(*_hashes(piece, piece.cast("binary"), F.length(piece)))
+
+    return F.flatten(F.transform(F.regexp_extract_all(line, F.lit(PIECE), F.lit(1)), of))
 
 
 def _signed(x: int) -> int:
@@ -63,106 +71,142 @@ def _minima() -> list[Column]:
     return [F.min(F.least(*(F.col(f"h{k % 2}_{i}").bitwiseXOR(F.lit(_signed(m))) for i in range(STEP)))).alias(f"m{k}") for k, m in enumerate(masks)]
 
 
-def _hashed(lines: DataFrame) -> DataFrame:
-    """(lid, doc, i, size, h0_*) of every piece of every line: the hashes of its shingles."""
-    pieces = lines.select("lid", "doc", F.posexplode(F.regexp_extract_all("line", F.lit(PIECE), F.lit(1))).alias("i", "piece")).withColumn("size", F.length("piece"))
-    first = F.xxhash64(F.substring("piece", 1, K))
-    hashes = [first, *(F.when(F.col("size") >= i + K, F.xxhash64(F.substring("piece", i + 1, K))).otherwise(first) for i in range(1, STEP))]
-    return pieces.select("lid", "doc", "i", "size", *(h.alias(f"h0_{i}") for i, h in enumerate(hashes)))
+def _hashes(piece: Column, raw: Column, size: Column) -> list[Column]:
+    """Hashes of the shingles of a piece, the first one in place of missing ones. Bytes stand for the
+    characters of a piece that has as many of them: they are cut out faster."""
 
+    def shingle(i: int) -> Column:
+        return F.when(F.octet_length(raw) == size, F.xxhash64(F.substring(raw, i + 1, K))).otherwise(F.xxhash64(F.substring(piece, i + 1, K)))
 
-def _signatures(docs: DataFrame) -> DataFrame:
-    """(lid, doc, n, bands) of every distinct line: its smallest doc, its occurrences, its band keys."""
-    swapped = (F.shiftleft(f"h0_{i}", 32).bitwiseOR(F.shiftrightunsigned(f"h0_{i}", 32)).alias(f"h1_{i}") for i in range(STEP))
-    both = _hashed(_lines(docs)).select("*", *swapped)
-    signed = both.groupBy("lid").agg(F.min("doc").alias("doc"), F.count_if(F.col("i") == 0).alias("n"), *_minima())
-    bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
-    return signed.select("lid", "doc", "n", bands.alias("bands"))
+    return [shingle(0), *(F.when(size >= i + K, shingle(i)).otherwise(shingle(0)) for i in range(1, STEP))]
 
 
-def _maps(docs: DataFrame, lids: DataFrame) -> DataFrame:
-    """(lid, map) of these lines, as :func:`_may_match` reads them."""
+def _hashed(lines: DataFrame) -> DataFrame:
+    """``lines`` with (i, size, h0_*) of every piece of their column line: number, characters, hashes of its shingles."""
+    rest = [c for c in lines.columns if c != "line"]
+    pieces = lines.select(*rest, F.posexplode(F.regexp_extract_all("line", F.lit(PIECE), F.lit(1))).alias("i", "piece"))
+    pieces = pieces.withColumns({"size": F.length("piece"), "raw": F.col("piece").cast("binary")})
+    return pieces.select(*rest, "i", "size", *(h.alias(f"h0_{i}") for i, h in enumerate(_hashes(F.col("piece"), F.col("raw"), F.col("size")))))
+
+
+def _map(words: int) -> list[Column]:
+    """Aggregates of pieces: the number t of a line's shingles, repeats included, and their places in ``words`` words of bits."""
     bit = "if((shiftrightunsigned(h0_{0}, 6) & {2}) = {1}, shiftleft(1L, cast(h0_{0} & 63 AS int)), 0L)".format
-    bits = [F.expr("bit_or(" + " | ".join(bit(i, w, WORDS - 1) for i in range(STEP)) + f") AS w{w}") for w in range(WORDS)]
-    shingles = F.col("i") * STEP + F.greatest(F.col("size") - K + 1, F.lit(1))
-    mapped = _hashed(_lines(docs).join(lids, "lid", "left_semi")).groupBy("lid").agg(F.max(shingles).alias("t"), *bits)
-    return mapped.select("lid", F.struct("t", *(f"w{w}" for w in range(WORDS))).alias("map"))
+    bits = [F.expr("bit_or(" + " | ".join(bit(i, w, words - 1) for i in range(STEP)) + f") AS w{w}") for w in range(words)]
+    return [F.max(F.col("i") * STEP + F.greatest(F.col("size") - K + 1, F.lit(1))).alias("t"), *bits]
+
+
+def _as_map(words: int) -> Column:
+    return F.struct("t", *(f"w{w}" for w in range(words))).alias("map")
 
 
-def _may_match(x: str, y: str, similarity: float) -> Column:
-    """False only where the shingle sets can't be so similar. ``map`` has the number t of a line's shingles, repeats
-    included, and the places of its set in a bitmap. Each place that only one line has stands for a shingle that
-    only it has, and of d such shingles among n in both sets the similarity is (n - d) / (n + d)."""
-    apart = sum((F.bit_count(F.expr(f"{x}.w{w} ^ {y}.w{w}")) for w in range(WORDS)), F.lit(0))
+def _may_match(x: str, y: str, similarity: float, words: int = WORDS) -> Column:
+    """False only where the shingle sets can't be so similar. Each place that only one line's map has stands for a shingle
+    that only it has, and of d such shingles among n in both sets the similarity is (n - d) / (n + d)."""
+    apart = sum((F.bit_count(F.expr(f"{x}.w{w} ^ {y}.w{w}")) for w in range(words)), F.lit(0))
     return apart <= (F.col(f"{x}.t") + F.col(f"{y}.t")) * F.lit((1 - similarity) / (1 + similarity) + 1e-9)
 
 
+def _signatures(docs: DataFrame) -> DataFrame:
+    """(lid, doc, n, bands, map) of every distinct line: its smallest doc, its occurrences, its band keys
+    and what :func:`_may_match` reads. Lines are settled before they are cut into pieces."""
+    lines = _lines(docs).groupBy("lid").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
+    swapped = (F.shiftleft(f"h0_{i}", 32).bitwiseOR(F.shiftrightunsigned(f"h0_{i}", 32)).alias(f"h1_{i}") for i in range(STEP))
+    signed = _hashed(lines).select("*", *swapped).groupBy("lid").agg(F.min("doc").alias("doc"), F.min("n").alias("n"), *_map(WORDS), *_minima())
+    bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
+    return signed.select("lid", "doc", "n", bands.alias("bands"), _as_map(WORDS))
+
+
 def _buckets(signed: DataFrame) -> DataFrame:
-    """(band, lid, size) of every band that several lines share."""
+    """(band, lid, size, map, salts) of every band that several lines share; a large one is split into ``salts`` parts."""
     banded = signed.select("lid", F.explode("bands").alias("band"))
     sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    return cut(banded.join(sizes, "band"))
+    shared = banded.join(sizes, "band").join(signed.select("lid", "map"), "lid")
+    return shared.select("band", "lid", "size", "map", F.ceil(F.col("size") / PART_LINES).cast("int").alias("salts"))
+
+
+def _met(some: DataFrame, every: DataFrame) -> DataFrame:
+    """Rows of ``some`` (band, salts, ...) beside those of ``every`` (band, salts, y, ...) in their bands.
+    Rows of ``every`` are dealt over a band's parts; ``some`` is repeated in each of them."""
+    dealt = every.withColumn("salt", F.pmod(F.xxhash64("y"), F.col("salts"))).drop("salts")
+    spread = some.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return spread.join(dealt, ["band", "salt"])
+
+
+def _as(rows: DataFrame, name: str) -> DataFrame:
+    return rows.select("band", "salts", F.col("lid").alias(name), F.col("map").alias(f"map_{name}"))
+
+
+def _pair(met: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b), a > b, of lines that met and may match."""
+    return met.where(_may_match("map_x", "map_y", similarity)).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
 
 
-def _candidates(shared: DataFrame, pairs_up_to: int) -> DataFrame:
-    """Distinct pairs (a, b), a > b: all of a bucket of up to ``pairs_up_to`` lines, those with a pivot in larger ones."""
-    pivots = [F.min_by("lid", F.xxhash64("lid", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)]
+def _candidates(shared: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
+    """Distinct pairs (a, b), a > b: all of a bucket of up to ``pairs_up_to`` lines; in larger ones, those with its smallest or largest lid."""
     few, many = shared.where(F.col("size") <= pairs_up_to), shared.where(F.col("size") > pairs_up_to)
-    paired = few.select("band", F.col("lid").alias("a")).join(few.select("band", F.col("lid").alias("b")), "band").where("a > b").select("a", "b")
-    chosen = many.groupBy("band").agg(*pivots).select("band", F.explode(F.array(*(f"p{k}" for k in range(PIVOTS)))).alias("pivot")).distinct()
-    through = many.join(chosen, "band").where("lid <> pivot").select(F.greatest("lid", "pivot").alias("a"), F.least("lid", "pivot").alias("b"))
-    return paired.unionAll(through).distinct()
+    paired = _as(few, "x").drop("salts").join(_as(few, "y").drop("salts"), "band").where("x > y")
+    line = F.struct("lid", "map")
+    pivots = many.groupBy("band", "salts").agg(F.min_by(line, "lid").alias("least"), F.max_by(line, "lid").alias("most"))
+    chosen = pivots.select("band", "salts", F.explode(F.array("least", "most")).alias("p")).select("band", "salts", F.col("p.lid").alias("x"), F.col("p.map").alias("map_x"))
+    through = _met(chosen, _as(many, "y")).where("x <> y")
+    return _pair(paired, similarity).unionAll(_pair(through, similarity)).distinct()
 
 
-def _left_over(docs: DataFrame, shared: DataFrame, roots: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
+def _left_over(scratch: Scratch, shared: DataFrame, roots: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
     """Distinct pairs (a, b), a > b, of larger buckets that ``roots`` doesn't connect yet.
 
     Every line outside its bucket's largest component meets every line of another component. Pairs
     inside one component can't change the result, so this is as good as all pairs of the bucket.
     """
-    many = shared.where(F.col("size") > pairs_up_to).select("band", "lid")
-    rooted = cut(many.join(roots, many.lid == roots.node, "left").select("band", "lid", F.coalesce("root", "lid").alias("root")))
+    many = shared.where(F.col("size") > pairs_up_to)
+    rooted = scratch.cut(many.join(roots, many.lid == roots.node, "left").select("band", "lid", "map", "salts", F.coalesce("root", "lid").alias("root")))
     parts = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("size"))
-    largest = cut(parts.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1"))
-    parted = cut(rooted.join(largest, "band").select("band", "lid", "root", (F.col("root") != F.col("largest")).alias("rest")))
-    open_ = cut(parted.join(_maps(docs, parted.select("lid").distinct()), "lid"))
-    rest, every = (open_.where("rest") if k else open_ for k in (1, 0))
-    met = rest.select("band", F.col("lid").alias("x"), F.col("root").alias("rx"), F.col("map").alias("map_x")).join(every.select("band", F.col("lid").alias("y"), F.col("root").alias("ry"), F.col("map").alias("map_y"), F.col("rest").alias("both")), "band")
-    return met.where("rx <> ry AND (NOT both OR x > y)").where(_may_match("map_x", "map_y", similarity)).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    largest = parts.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    open_ = scratch.cut(rooted.join(largest, "band").withColumn("rest", F.col("root") != F.col("largest")).drop("largest", "parts"))
+    named = lambda name: open_.select("band", "salts", *(F.col(c).alias(f"{c}_{name}") for c in ("map", "root", "rest")), F.col("lid").alias(name))
+    met = _met(named("x").where("rest_x"), named("y")).where("root_x <> root_y AND (NOT rest_y OR x > y)")
+    return _pair(met, similarity).distinct()
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """Those pairs whose shingle sets have at least this Jaccard similarity."""
-    ends = cut(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct())
+def _verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """Those pairs whose shingle sets have at least this Jaccard similarity; wider maps rule out most of the others."""
+    ends = scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct())
     few = ends.count() <= BROADCAST_LINES
     texts = _lines(docs).select("lid", "line").join(F.broadcast(ends) if few else ends, "lid", "left_semi")
-    lines = cut(texts.groupBy("lid").agg(F.first("line").alias("line")))
-    both = pairs.join(lines.select(F.col("lid").alias("a"), F.col("line").alias("la")), "a").join(lines.select(F.col("lid").alias("b"), F.col("line").alias("lb")), "b")
-    sets = F.array(F.struct(_shingles("la").alias("a"), _shingles("lb").alias("b")))
+    lines = scratch.cut(texts.groupBy("lid").agg(F.first("line").alias("line")))
+    maps = scratch.cut(_hashed(lines).groupBy("lid").agg(*_map(WIDE)).select("lid", _as_map(WIDE)))
+    beside = lambda rows, c, what: rows.join(what.select(F.col("lid").alias(c), F.col(what.columns[1]).alias(f"its_{c}")), c)
+    close = beside(beside(pairs, "a", maps), "b", maps).where(_may_match("its_a", "its_b", similarity, WIDE)).select("a", "b")
+    both = beside(beside(scratch.cut(close), "a", lines), "b", lines)
+    sets = F.array(F.struct(_shingles("its_a").alias("a"), _shingles("its_b").alias("b")))
     alike = F.transform(sets, lambda s: F.size(F.array_intersect(s["a"], s["b"])) >= similarity * F.size(F.array_union(s["a"], s["b"])))
     return both.where(F.get(alike, F.lit(0))).select("a", "b")
 
 
-def _links(docs: DataFrame, shared: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
+def _links(scratch: Scratch, docs: DataFrame, shared: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
     """Verified pairs that connect all lines which verified pairs of shared buckets connect."""
-    links = cut(_verified(docs, cut(_candidates(shared, pairs_up_to)), similarity))
+    links = scratch.cut(_verified(scratch, docs, scratch.cut(_candidates(shared, similarity, pairs_up_to)), similarity))
     if shared.where(F.col("size") > pairs_up_to).isEmpty():
         return links
-    return links.unionAll(_verified(docs, cut(_left_over(docs, shared, components(links), similarity, pairs_up_to)), similarity))
+    further = scratch.cut(_left_over(scratch, shared, scratch.hold(components(links)), similarity, pairs_up_to))
+    return links if further.isEmpty() else links.unionAll(_verified(scratch, docs, further, similarity))
 
 
 def removed_lines(docs: DataFrame, *, similarity: float = SIMILARITY, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     """(doc, text_hash, removed) of each document that loses lines; ``removed``: their numbers from 0, in order."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    signed = cut(_signatures(docs))
-    roots = components(_links(docs, _buckets(signed), similarity, pairs_up_to))
-    nodes = signed.join(roots, signed.lid == roots.node, "left").where("n > 1 OR root IS NOT NULL").select("lid", "doc", F.coalesce("root", "lid").alias("root"))
-    least = nodes.groupBy("root").agg(F.min("doc").alias("least"))
-    shared = cut(nodes.select("lid", "root").join(least, "root"))
-    places = cut(_lines(docs).select("lid", "doc", "text_hash", "number").join(shared, "lid").select("root", "least", "doc", "text_hash", "number"))
-    first = cut(places.where("doc = least").groupBy("root").agg(F.min(F.struct("doc", "text_hash", "number")).alias("first")))
-    gone = places.join(first, "root").where(F.struct("doc", "text_hash", "number") != F.col("first")).select("doc", "text_hash", "number")
-    return gone.groupBy("doc", "text_hash").agg(F.array_sort(F.collect_set("number")).alias("removed"))
+    with Scratch() as scratch:
+        signed = scratch.cut(_signatures(docs))
+        shared = scratch.cut(_buckets(signed))
+        roots = scratch.hold(components(_links(scratch, docs, shared, similarity, pairs_up_to)))
+        nodes = signed.join(roots, signed.lid == roots.node, "left").where("n > 1 OR root IS NOT NULL").select("lid", "doc", F.coalesce("root", "lid").alias("root"))
+        least = nodes.groupBy("root").agg(F.min("doc").alias("least"))
+        known = scratch.cut(nodes.select("lid", "root").join(least, "root"))
+        places = scratch.cut(_lines(docs).select("lid", "doc", "text_hash", "number").join(known, "lid").select("root", "least", "doc", "text_hash", "number"))
+        first = places.where("doc = least").groupBy("root").agg(F.min(F.struct("doc", "text_hash", "number")).alias("first"))
+        gone = places.join(first, "root").where(F.struct("doc", "text_hash", "number") != F.col("first")).select("doc", "text_hash", "number")
+        return cut(gone.groupBy("doc", "text_hash").agg(F.array_sort(F.collect_set("number")).alias("removed")))
 
 
 def _with_removed(docs: DataFrame, removed: DataFrame) -> tuple[DataFrame, Column]:
