@@ -89,22 +89,40 @@ def _hashed(lines: DataFrame) -> DataFrame:
     return pieces.select(*rest, "i", "size", *(h.alias(f"h0_{i}") for i, h in enumerate(_hashes(F.col("piece"), F.col("raw"), F.col("size")))))
 
 
-def _map(words: int) -> list[Column]:
-    """Aggregates of pieces: the number t of a line's shingles, repeats included, and their places in ``words`` words of bits."""
+def _size() -> Column:
+    """Aggregate of pieces: the number of a line's shingles, repeats included."""
+    return F.max(F.col("i") * STEP + F.greatest(F.col("size") - K + 1, F.lit(1))).alias("t")
+
+
+def _allowed(x: str, y: str, similarity: float) -> Column:
+    """How many places of two lines' maps may differ. Each place that only one of them has stands for a shingle
+    that only it has, and of d such shingles among n in both sets the similarity is (n - d) / (n + d)."""
+    return (F.col(f"{x}.t") + F.col(f"{y}.t")) * F.lit((1 - similarity) / (1 + similarity) + 1e-9)
+
+
+def _map() -> list[Column]:
+    """Aggregates of pieces: their shingles' places in WORDS words of bits."""
     bit = "if((shiftrightunsigned(h0_{0}, 6) & {2}) = {1}, shiftleft(1L, cast(h0_{0} & 63 AS int)), 0L)".format
-    bits = [F.expr("bit_or(" + " | ".join(bit(i, w, words - 1) for i in range(STEP)) + f") AS w{w}") for w in range(words)]
-    return [F.max(F.col("i") * STEP + F.greatest(F.col("size") - K + 1, F.lit(1))).alias("t"), *bits]
+    return [F.expr("bit_or(" + " | ".join(bit(i, w, WORDS - 1) for i in range(STEP)) + f") AS w{w}") for w in range(WORDS)]
 
 
-def _as_map(words: int) -> Column:
-    return F.struct("t", *(f"w{w}" for w in range(words))).alias("map")
+def _may_match(x: str, y: str, similarity: float) -> Column:
+    """False only where the shingle sets can't be so similar."""
+    apart = sum((F.bit_count(F.expr(f"{x}.w{w} ^ {y}.w{w}")) for w in range(WORDS)), F.lit(0))
+    return apart <= _allowed(x, y, similarity)
 
 
-def _may_match(x: str, y: str, similarity: float, words: int = WORDS) -> Column:
-    """False only where the shingle sets can't be so similar. Each place that only one line's map has stands for a shingle
-    that only it has, and of d such shingles among n in both sets the similarity is (n - d) / (n + d)."""
-    apart = sum((F.bit_count(F.expr(f"{x}.w{w} ^ {y}.w{w}")) for w in range(words)), F.lit(0))
-    return apart <= (F.col(f"{x}.t") + F.col(f"{y}.t")) * F.lit((1 - similarity) / (1 + similarity) + 1e-9)
+def _wide_maps(lines: DataFrame) -> DataFrame:
+    """(lid, map) of lines, with WIDE words of bits as an array: made from rows, as so many bits of each piece would be too long a plan."""
+    rows = _hashed(lines).select("lid", "i", "size", F.explode(F.array(*(f"h0_{k}" for k in range(STEP)))).alias("h"))
+    placed = rows.select("lid", "i", "size", F.expr(f"shiftrightunsigned(h, 6) & {WIDE - 1}").alias("word"), F.expr("shiftleft(1L, cast(h & 63 AS int))").alias("bit"))
+    bits = [F.expr(f"bit_or(if(word = {w}, bit, 0L)) AS w{w}") for w in range(WIDE)]
+    return placed.groupBy("lid").agg(_size(), *bits).select("lid", F.struct("t", F.array(*(f"w{w}" for w in range(WIDE))).alias("bits")).alias("map"))
+
+
+def _may_match_wide(x: str, y: str, similarity: float) -> Column:
+    apart = F.aggregate(F.zip_with(f"{x}.bits", f"{y}.bits", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, k: n + k)
+    return apart <= _allowed(x, y, similarity)
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
@@ -112,9 +130,9 @@ def _signatures(docs: DataFrame) -> DataFrame:
     and what :func:`_may_match` reads. Lines are settled before they are cut into pieces."""
     lines = _lines(docs).groupBy("lid").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
     swapped = (F.shiftleft(f"h0_{i}", 32).bitwiseOR(F.shiftrightunsigned(f"h0_{i}", 32)).alias(f"h1_{i}") for i in range(STEP))
-    signed = _hashed(lines).select("*", *swapped).groupBy("lid").agg(F.min("doc").alias("doc"), F.min("n").alias("n"), *_map(WORDS), *_minima())
+    signed = _hashed(lines).select("*", *swapped).groupBy("lid").agg(F.min("doc").alias("doc"), F.min("n").alias("n"), _size(), *_map(), *_minima())
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
-    return signed.select("lid", "doc", "n", bands.alias("bands"), _as_map(WORDS))
+    return signed.select("lid", "doc", "n", bands.alias("bands"), F.struct("t", *(f"w{w}" for w in range(WORDS))).alias("map"))
 
 
 def _buckets(signed: DataFrame) -> DataFrame:
@@ -175,9 +193,9 @@ def _verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, similarity: f
     few = ends.count() <= BROADCAST_LINES
     texts = _lines(docs).select("lid", "line").join(F.broadcast(ends) if few else ends, "lid", "left_semi")
     lines = scratch.cut(texts.groupBy("lid").agg(F.first("line").alias("line")))
-    maps = scratch.cut(_hashed(lines).groupBy("lid").agg(*_map(WIDE)).select("lid", _as_map(WIDE)))
+    maps = scratch.cut(_wide_maps(lines))
     beside = lambda rows, c, what: rows.join(what.select(F.col("lid").alias(c), F.col(what.columns[1]).alias(f"its_{c}")), c)
-    close = beside(beside(pairs, "a", maps), "b", maps).where(_may_match("its_a", "its_b", similarity, WIDE)).select("a", "b")
+    close = beside(beside(pairs, "a", maps), "b", maps).where(_may_match_wide("its_a", "its_b", similarity)).select("a", "b")
     both = beside(beside(scratch.cut(close), "a", lines), "b", lines)
     sets = F.array(F.struct(_shingles("its_a").alias("a"), _shingles("its_b").alias("b")))
     alike = F.transform(sets, lambda s: F.size(F.array_intersect(s["a"], s["b"])) >= similarity * F.size(F.array_union(s["a"], s["b"])))
