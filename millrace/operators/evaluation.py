@@ -15,12 +15,25 @@ from millrace.functions.text import completion
 
 
 def scored_predictions(tasks: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Every task with its parsed prediction; a missing one counts as empty text."""
-    joined = tasks.join(predictions.select("id", "completion", F.lit(False).alias("missing")), "id", "left")
+    """Every task with its parsed prediction; a missing one counts as empty text. Two predictions for one id are an error."""
+    one = predictions.groupBy("id").agg(F.first("completion").alias("completion"), F.count(F.lit(1)).alias("n"))
+    twice = F.raise_error(F.concat(F.lit("more than one prediction for "), F.col("id").cast("string"))).cast("boolean")
+    one = one.select("id", "completion", F.when(F.col("n") > 1, twice).otherwise(False).alias("missing"))
+    joined = tasks.join(one, "id", "left")
     parsed = completion(F.coalesce("completion", F.lit("")))
     return joined.withColumn("missing", F.coalesce("missing", F.lit(True))).withColumn("valid", parsed["reason"].isNull()).withColumn("code", parsed["code"])
 
 
+def viewer_rows(tasks: DataFrame, predictions: DataFrame) -> DataFrame:
+    """(id, prompt, shown, text) of each prediction: its code if it parses, else all of it. A prediction for no task is an error."""
+    known = tasks.select("id", F.struct("prompt").alias("task"))
+    rows = predictions.select("id", "completion").join(known, "id", "left").withColumn("c", completion("completion"))
+    unknown = F.raise_error(F.concat(F.lit("a prediction for no task: "), F.col("id").cast("string"))).cast("string")
+    good = F.col("c.reason").isNull()
+    prompt = F.when(F.col("task").isNull(), unknown).otherwise(F.col("task.prompt"))
+    return rows.select("id", prompt.alias("prompt"), F.when(good, "parsed").otherwise("raw").alias("shown"), F.when(good, F.col("c.code")).otherwise(F.col("completion")).alias("text"))
+
+
 def extra_predictions(tasks: DataFrame, predictions: DataFrame) -> DataFrame:
     return predictions.join(tasks, "id", "left_anti")
 

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import all_scale_masks, scale_mask
 
+
 def audible() -> Column:
     return F.expr("onset AND coalesce(gain, 1.0) > 0")
 
 
-
 def sound(s: str = "s", bank: str = "bank") -> Column:
     return F.when(F.col(bank).isNotNull() & F.col(s).isNotNull(), F.concat(bank, F.lit("_"), s)).otherwise(F.col(s))
 
@@ -80,6 +80,12 @@ def scale_adherence(events: DataFrame, keys: DataFrame) -> DataFrame:
     return joined.groupBy("program_id").agg(F.when(F.max("mask").isNotNull(), F.coalesce(F.sum(F.when(inside, F.col("n")).otherwise(0)) / F.sum("n"), F.lit(0.0))).alias("adherence"))
 
 
+def pitch_classes(events: DataFrame) -> DataFrame:
+    """(program_id, classes): how many pitched audible onsets each of the at most twelve pitch classes has."""
+    notes = events.where(audible()).where("note IS NOT NULL").groupBy("program_id", pitch_class(F.col("note")).alias("pc")).agg(F.count(F.lit(1)).alias("n"))
+    return notes.groupBy("program_id").agg(F.array_sort(F.collect_list(F.struct("pc", "n"))).alias("classes"))
+
+
 def scale_fit(pitches: Column) -> Column:
     """Largest share of distinct pitches that one of the 84 scales holds."""
     classes = F.transform(pitches, pitch_class)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.operators.tables import settle
+
 
 def allocate(shares: DataFrame, count: Column | int, *, by: list[str] | None = None) -> DataFrame:
     """``shares`` (model_id, pos, fraction) with quotas by largest remainder, ties by pos; exact in total.
@@ -69,13 +71,35 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return both.select(key, F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(F.col("o") != F.col("n"), "changed").otherwise("same").alias("change"))
 
 
-def lineage(runs: DataFrame, run: int, most: int = 1000) -> list[int]:
-    """A run and its ancestors by (run_id, parent_id), nearest first; a circle is an error. ``most`` bounds its length."""
-    chain, at = [], run
-    while at is not None:
-        if at in chain or len(chain) >= most:
-            raise ValueError(f"the lineage of run {run} is circular or longer than {most}")
-        chain.append(at)
-        got = runs.where(F.col("run_id") == at).select("parent_id").first()
-        at = got[0] if got else None
-    return chain
+def lineage(runs: DataFrame, run: int) -> DataFrame:
+    """(run_id, distance) of a run and its ancestors by (run_id, parent_id).
+
+    Jumps double in length each round, so a line of n ancestors takes log n joins. A run
+    that is listed twice, and a circle, are errors; an ancestor that isn't listed ends the line.
+    """
+    if repeated := runs.groupBy("run_id").count().where("count > 1").first():
+        raise ValueError(f"run {repeated[0]} is listed more than once")
+    jumps = settle(runs.where("parent_id IS NOT NULL").select(F.col("run_id").alias("at"), F.col("parent_id").alias("to")))
+    found = settle(runs.where(F.col("run_id") == run).select("run_id", F.lit(0).alias("distance")).unionAll(runs.sparkSession.range(1).select(F.lit(run).cast(runs.schema["run_id"].dataType), F.lit(0))).distinct())
+    length = 1
+    while True:
+        further = found.join(jumps, found.run_id == jumps.at).select(F.col("to").alias("run_id"), (F.col("distance") + length).alias("distance"))
+        grown = settle(found.unionAll(further))
+        rows, runs_seen = grown.agg(F.count(F.lit(1)), F.count_distinct("run_id")).first()
+        if rows > runs_seen:
+            raise ValueError(f"the lineage of run {run} is circular")
+        if rows < 2 * length:
+            return grown
+        far = jumps.select(F.col("at").alias("via"), F.col("to").alias("end"))
+        jumps = settle(jumps.join(far, F.col("to") == F.col("via")).select("at", F.col("end").alias("to")))
+        found, length = grown, 2 * length
+
+
+def replay(rows: DataFrame, seen: DataFrame, n: int, seed: int) -> DataFrame:
+    """(id, h): ``n`` rows whose id and key ``seen`` doesn't have, one for each key, in seeded order. Fewer than ``n`` are an error."""
+    fresh = rows.join(seen.select("key"), "key", "left_anti").join(seen.select("id"), "id", "left_anti")
+    hashed = fresh.withColumn("h", F.sha2(F.concat(F.lit(f"{seed},"), F.col("id").cast("string")), 256))
+    chosen = settle(hashed.groupBy("key").agg(F.min(F.struct("h", "id")).alias("first")).select("first.id", "first.h").orderBy("h").limit(n))
+    if (left := chosen.count()) < n:
+        raise ValueError(f"{n} rows are asked for and {left} are left")
+    return chosen

@@ -12,9 +12,11 @@ _own: list[str] = []
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; below a temporary one where that is unset."""
+    """A new folder below ``spark.checkpoint.dir``; below a temporary one where that is unset and the master is local."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="millrace-"))
         base = _own[0]
@@ -25,4 +27,22 @@ def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to a folder of its own and read it again: its lineage ends there."""
     path = scratch(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._millrace_path = path
+    return out
+
+
+def _located(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def unsettle(df: DataFrame) -> None:
+    """Delete what :func:`settle` wrote."""
+    files, at = _located(df.sparkSession, df._millrace_path)
+    files.delete(at, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = _located(spark, path)
+    return files.exists(at)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.text import completion
 from millrace.operators import evaluation as E
 from millrace.plans.registry import query
+from millrace.plans.text_queries import WHOLE
 
-_VALID = r"regexp_matches(coalesce(completion, ''), '(?s)^\s*<think>(.*?)</think>\s*```(?:strudel|javascript|js)\s*\n(.*?)\n```\s*$')"
+_VALID = WHOLE.format("coalesce(completion, '')")
 _SCORED = f"SELECT t.id, category, author_id, completion IS NULL AS missing, {_VALID} AS valid, CASE WHEN {_VALID} THEN (t.id % 10) / 10.0::double ELSE 0.0 END AS reward FROM <tasks_v> t LEFT JOIN <predictions_v> p ON t.id = p.id"
 
 
@@ -30,9 +30,8 @@ def joi2_extra_predictions(v):
 
 @query(rf"""SELECT p.id, prompt, CASE WHEN {_VALID} THEN 'parsed' ELSE 'raw' END AS shown, CASE WHEN {_VALID} THEN 'n(' || p.id || ')' ELSE completion END AS text FROM <predictions_v> p JOIN <tasks_v> t ON p.id = t.id""")
 def joi3_viewer_rows(v):
-    rows = v("predictions_v").join(v("tasks_v").select("id", "prompt"), "id").withColumn("c", completion("completion"))
-    good = F.col("c.reason").isNull()
-    return rows.select("id", "prompt", F.when(good, "parsed").otherwise("raw").alias("shown"), F.when(good, F.col("c.code")).otherwise(F.col("completion")).alias("text"))
+    """Predictions of the tasks that there are; others would be an error."""
+    return E.viewer_rows(v("tasks_v"), v("predictions_v").join(v("tasks_v").select("id"), "id", "left_semi"))
 
 
 @query("SELECT m.model, p.prompt_id FROM (SELECT DISTINCT model FROM <clips_v>) m CROSS JOIN (SELECT DISTINCT prompt_id FROM <clips_v>) p WHERE NOT EXISTS (SELECT 1 FROM <clips_v> c WHERE c.model = m.model AND c.prompt_id = p.prompt_id)")

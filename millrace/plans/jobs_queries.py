@@ -41,24 +41,25 @@ def win6_history(v):
 
 
 SHARES = "(SELECT o_orderpriority AS model_id, row_number() OVER (ORDER BY o_orderpriority) AS pos, 0.1 + 0.07 * row_number() OVER (ORDER BY o_orderpriority) AS fraction FROM (SELECT DISTINCT o_orderpriority FROM orders))"
-QUOTA = f"""SELECT model_id, pos, base + (row_number() OVER (ORDER BY raw - base DESC, pos) <= 777 - sum(base) OVER ())::bigint AS quota FROM (SELECT *, floor(raw)::bigint AS base FROM (SELECT model_id, pos, 777 * fraction::double / sum(fraction::double) OVER () AS raw FROM {SHARES}))"""
+QUOTA = f"""SELECT model_id, pos, base + (row_number() OVER (ORDER BY raw - base DESC, pos) <= n_jobs - sum(base) OVER ())::bigint AS quota FROM (SELECT *, floor(raw)::bigint AS base FROM (SELECT model_id, pos, n_jobs, n_jobs * fraction::double / sum(fraction::double) OVER () AS raw FROM {SHARES}, (SELECT count(*) AS n_jobs FROM <jobs_v>)))"""
 
 
-def quotas(v, count: int):
+def quotas(v):
+    """Quotas of the models over all jobs."""
     models = v("orders").select(F.col("o_orderpriority").alias("model_id")).distinct()  # one row a model
     placed = models.withColumn("pos", F.row_number().over(W.orderBy("model_id")))
-    return J.allocate(placed.withColumn("fraction", F.expr("0.1 + 0.07 * pos")), count)
+    return J.allocate(placed.withColumn("fraction", F.expr("0.1 + 0.07 * pos")), v("jobs_v").count())
 
 
 @query(f"SELECT model_id, pos, quota FROM ({QUOTA})")
 def win8_largest_remainder(v):
-    return quotas(v, 777).select("model_id", "pos", "quota")
+    return quotas(v).select("model_id", "pos", "quota")
 
 
 @query(f"""WITH q AS (SELECT model_id, sum(quota) OVER (ORDER BY pos) - quota AS lo, sum(quota) OVER (ORDER BY pos) AS hi FROM ({QUOTA})), j AS (SELECT job_id, row_number() OVER (ORDER BY job_index) - 1 AS row_index FROM <jobs_v>)
 SELECT job_id, row_index, q.model_id AS assigned FROM j LEFT JOIN q ON row_index >= lo AND row_index < hi""")
 def win7_assign_models(v):
-    return J.assign_models(v("jobs_v").select("job_id", "job_index"), quotas(v, 777)).select("job_id", "row_index", "assigned")
+    return J.assign_models(v("jobs_v").select("job_id", "job_index"), quotas(v)).select("job_id", "row_index", "assigned")
 
 
 @query("""SELECT id, ['vague', 'mood', 'genre', 'solo'][id % 4 + 1] AS style, ['a', 'b', 'c'][id % 3 + 1] AS opening, ['x', 'y', 'z', 'w', 'u'][(3 * id + 1) % 5 + 1] AS focus FROM <requests_v>""")
@@ -96,7 +97,7 @@ def win12_retry_round(v):
 @query(f"""WITH s AS (SELECT model_id, job_index, coalesce(ok, false) AS ok, NOT coalesce(ok, false) AND coalesce(n, 0) < 3 AS open FROM <jobs_v> LEFT JOIN ({BY}) USING (job_id)), g AS (SELECT model_id, count(*) AS jobs, count(*) FILTER (ok) AS accepted, min(job_index) FILTER (open) AS next_job FROM s GROUP BY model_id)
 SELECT model_id, quota AS target, jobs, accepted, next_job, greatest(0, quota - accepted) AS shortfall, accepted > quota AS overrun FROM ({QUOTA}) LEFT JOIN g USING (model_id)""")
 def agg11_progress(v):
-    targets = quotas(v, 777).select("model_id", F.col("quota").alias("target"))
+    targets = quotas(v).select("model_id", F.col("quota").alias("target"))
     return J.progress(v("jobs_v"), v("attempts_v"), targets, 3)
 
 
@@ -108,7 +109,7 @@ def agg12_credited_targets(v):
     by = v("attempts_v").groupBy("job_id").agg(F.bool_or("accepted").alias("ok"))
     state = v("jobs_v").join(by, "job_id", "left").join(saved, "request_id", "left").fillna(False, ["ok", "saved"])
     got = state.groupBy("model_id").agg(F.count_if("ok").alias("accepted"), F.count_if(~F.col("ok") & F.col("saved")).alias("credited"))
-    return quotas(v, 777).join(got, "model_id").select("model_id", F.greatest(F.col("quota") - F.col("credited"), F.col("accepted")).alias("target"), (F.col("accepted") + F.col("credited")).alias("shown"))
+    return quotas(v).join(got, "model_id").select("model_id", F.greatest(F.col("quota") - F.col("credited"), F.col("accepted")).alias("target"), (F.col("accepted") + F.col("credited")).alias("shown"))
 
 
 @query("""SELECT model_id, retry, sum(tokens)::bigint AS total, sum(CASE WHEN retry % 2 = 0 THEN tokens ELSE 0 END)::bigint AS prompt FROM <attempts_v> JOIN <jobs_v> USING (job_id) GROUP BY model_id, retry""")
@@ -132,8 +133,8 @@ def set3_lineage_union(v):
     """Accepted rows of run 13 and all its ancestors; a run's parent is half of it."""
     run = F.col("l_partkey") % 16
     runs = v("lineitem").select(run.alias("run_id")).distinct().withColumn("parent_id", F.when(F.col("run_id") > 0, F.expr("run_id div 2")))
-    chain = J.lineage(runs, 13)
-    return v("lineitem").where(F.col("l_returnflag") == "A").where(run.isin(chain)).groupBy(run.alias("run_id")).agg(F.count_distinct("l_orderkey").alias("n_accepted"))
+    accepted = v("lineitem").where(F.col("l_returnflag") == "A").select(run.alias("run_id"), "l_orderkey")
+    return accepted.join(J.lineage(runs, 13), "run_id", "left_semi").groupBy("run_id").agg(F.count_distinct("l_orderkey").alias("n_accepted"))
 
 
 @query("SELECT id FROM <tasks_v> WHERE id NOT IN (SELECT id FROM <predictions_v>)")
@@ -146,8 +147,4 @@ SELECT id, h FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY h, id)
 def win3_joi8_replay(v):
     """Fifty unseen rows in seeded order, one for each prompt."""
     rows = v("requests_v").select("id", "split", fingerprint("prompt").alias("key"))
-    seen = rows.where("split <> 'train'")
-    fresh = rows.where("split = 'train'").join(seen.select("key"), "key", "left_anti").join(seen.select("id"), "id", "left_anti")
-    hashed = fresh.withColumn("h", F.sha2(F.concat(F.lit("7,"), F.col("id").cast("string")), 256))
-    one = hashed.groupBy("key").agg(F.min(F.struct("h", "id")).alias("first"))
-    return one.select("first.id", "first.h").orderBy("h").limit(50)
+    return J.replay(rows.where("split = 'train'"), rows.where("split <> 'train'"), 50, 7)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from millrace.functions import records as R
@@ -45,22 +47,39 @@ def str2_running_progress(spark, sf_dir):
     return spark.read.parquet(f"{out}/progress")
 
 
+def _arrivals(rows, key: str, folder: str, parts: int = 4):
+    """Write ``rows`` to ``folder`` in parts by equal ranges of ``key``, one after the other, and yield after each."""
+    low, high = rows.select(F.min(key), F.max(key)).first()
+    part = F.lit(0)
+    for k in range(1, parts if low is not None else 1):
+        part = part + F.when(F.col(key) > low + (high - low) * k // parts, 1).otherwise(0)
+    for k in range(parts):
+        rows.where(part == k).write.mode("append").parquet(folder)
+        yield k
+
+
 @raw_query()
 def str3_accept_first(spark, sf_dir):
-    """Requests accepted by a stream of batches; equal to batch acceptance in the order of arrival."""
+    """Requests that arrive in four parts, accepted batch by batch; arrival is by id, so the rows are those that batch acceptance gives."""
     out = scratch(spark)
-    rows = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/documents.parquet").schema).parquet(f"{sf_dir}/documents.parquet*")
-    stream = rows.select(F.col("doc_id").alias("id"), F.regexp_extract("text", r"^(\S+\s+){0,23}\S+", 0).alias("prompt"))
-    _done(J.each_batch(stream, f"{out}/state", J.accept_into(f"{out}/bank")))
-    return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(f"{out}/bank").select("id")
+    rows = view(spark, sf_dir, "requests_v").select("id", "prompt")
+    for _ in _arrivals(rows, "id", f"{out}/in"):
+        stream = spark.readStream.schema(rows.schema).parquet(f"{out}/in")
+        _done(J.each_batch(stream, f"{out}/state", J.accept_into(f"{out}/bank")))
+    return spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{out}/bank").select("id")
 
 
-@raw_query("SELECT event_id AS id, user_id AS prompt_id FROM events")
+@raw_query("""WITH b AS (SELECT min(event_id) AS lo, max(event_id) - min(event_id) AS n FROM events),
+p AS (SELECT event_id AS id, user_id AS prompt_id, (event_id > lo + n // 4)::int + (event_id > lo + n * 2 // 4)::int + (event_id > lo + n * 3 // 4)::int AS part FROM events, b)
+SELECT id, prompt_id FROM p QUALIFY part = min(part) OVER (PARTITION BY prompt_id)""")
 def str4_periodic_export(spark, sf_dir):
+    """Events that arrive in four parts: those of users whom no earlier part has."""
     out = scratch(spark)
-    stream = _events(spark, sf_dir).select(F.col("event_id").alias("id"), F.col("user_id").alias("prompt_id"))
-    _done(J.each_batch(stream, f"{out}/state", J.export_into(f"{out}/rows")))
-    return spark.read.schema(stream.schema).option("recursiveFileLookup", True).parquet(f"{out}/rows")
+    rows = view(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("user_id").alias("prompt_id"))
+    for _ in _arrivals(rows, "id", f"{out}/in"):
+        stream = spark.readStream.schema(rows.schema).parquet(f"{out}/in")
+        _done(J.each_batch(stream, f"{out}/state", J.export_into(f"{out}/rows")))
+    return spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{out}/rows")
 
 
 @query("SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, component, count(*) AS n, round(avg(total), 6) AS mean FROM <rollouts_v> GROUP BY ALL")
@@ -78,21 +97,35 @@ def src1_strict_records(spark, sf_dir):
     return S.read_records(spark, f"{out}/lines", schema)[0]
 
 
-@raw_query("SELECT id, prompt, stage, split FROM <requests_v> WHERE id % 2 = 0")
+@raw_query("SELECT id, prompt, stage, split FROM <requests_v>")
 def src3_src4_bank_round_trip(spark, sf_dir):
     """A bank written by stage and split and read again."""
     out = scratch(spark)
-    rows = view(spark, sf_dir, "requests_v").where("id % 2 = 0").select("id", "prompt", "stage", "split")
+    rows = view(spark, sf_dir, "requests_v").select("id", "prompt", "stage", "split")
     S.write_bank(rows, f"{out}/bank")
     return S.read_bank(spark, f"{out}/bank", rows.schema).select("id", "prompt", "stage", "split")
 
 
-@raw_query("SELECT true AS same, count(*) AS n FROM lineitem")
+@raw_query("SELECT l_returnflag, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lineitem GROUP BY l_returnflag")
 def src9_fingerprint(spark, sf_dir):
-    """A table's fingerprint is that of the same rows in another order."""
+    """Line items summed up, if their fingerprint is still that of the same rows in another order."""
     rows = view(spark, sf_dir, "lineitem")
-    same = S.fingerprint(rows) == S.fingerprint(rows.repartition(7, "l_partkey"))
-    return rows.agg(F.lit(same).alias("same"), F.count(F.lit(1)).alias("n"))
+    recorded = S.fingerprint(rows.repartition(7, "l_partkey"))
+    return S.require_fingerprint(rows, recorded).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
+
+
+@raw_query("SELECT o_orderkey, o_orderpriority FROM orders")
+def src2_recovered_journal(spark, sf_dir):
+    """Orders written as journals, each with an unfinished last line, and read again."""
+    out = scratch(spark)
+    rows = view(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    part = F.pmod("o_orderkey", F.lit(16)).alias("part")
+    lines = rows.select(part, F.to_json(F.struct("o_orderkey", "o_orderpriority")).alias("line"))
+    cut_off = lines.groupBy("part").agg(F.min("line").alias("line")).select("part", F.lit(1).alias("last"), F.substring("line", 1, 9).alias("line"))
+    every = lines.select("part", F.lit(0).alias("last"), "line").unionAll(cut_off).repartition("part").sortWithinPartitions("part", "last")
+    every.select("part", "line").write.option("lineSep", "\n").partitionBy("part").text(f"{out}/journals")
+    ends = S.recover_journal(spark, f"{out}/journals", rows.schema, finished=False)
+    return ends.select("o_orderkey", "o_orderpriority")
 
 
 _MARKDOWN = "concat('# ', family, chr(10), chr(10), '```js', chr(10), 'a(', cast(id AS string), ')', chr(10), '```', chr(10), 'text', chr(10), '```python', chr(10), 'no', chr(10), '```', chr(10), '```js', chr(10), 'b', chr(10), 'c', chr(10), '```', chr(10))"
@@ -110,10 +143,16 @@ def par4_json_examples(v):
     return R.json_examples(v("sources_v").select("id", text.alias("text"))).select("id", "code")
 
 
+def _find_words():
+    """Loads, in a worker, what splits a text."""
+    found = re.compile(r"[^ \t\n\r\f\v]+").findall
+    return lambda text: len(found(text))
+
+
 @query(r"SELECT doc_id, len(regexp_extract_all(text, '\S+')) AS n, len(regexp_extract_all(text, '\S+')) AS counted FROM documents")
 def udf1_token_counter(v):
-    count = R.token_counter(lambda: __import__("re").compile(r"[^ \t\n\r\f\v]+").findall and (lambda t, find=__import__("re").compile(r"[^ \t\n\r\f\v]+").findall: len(find(t))))
-    return v("documents").select("doc_id", R.word_tokens("text").cast("bigint").alias("n"), count("text").alias("counted"))
+    """Any function that makes tokens of a text can be counted with; here words."""
+    return v("documents").select("doc_id", R.word_tokens("text").cast("bigint").alias("n"), R.token_counter(_find_words)("text").alias("counted"))
 
 
 @query("""SELECT doc_id, sha256('{"a": ' || doc_id || ', "b": "' || source || '"}') AS h FROM documents""")

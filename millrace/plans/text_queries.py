@@ -71,10 +71,15 @@ def joi7_leaked_families(v):
     return S.leaked_families(rows.where("id % 7 <> 0"), rows.where("id % 7 = 0"))
 
 
-_PARTS = r"regexp_extract({0}, '(?s)^\s*<think>(.*?)</think>\s*```(?:strudel|javascript|js)\s*\n(.*?)\n```\s*$', {1})"
+#: An answer before and after the line that opens its code.
+_HALVES = r"string_split_regex({0}, '</think>\s*```(js|javascript|strudel)\s*?\n')"
+_BLANK = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
+WHOLE = f"coalesce(len({_HALVES}) = 2 AND starts_with(ltrim({_HALVES}[1], {_BLANK}), '<think>') AND ends_with(rtrim({_HALVES}[2], {_BLANK}), chr(10) || '```'), false)"
+THINKING = f"trim(substr(ltrim({_HALVES}[1], {_BLANK}), 8), {_BLANK})"
+CODE = f"trim(substr(rtrim({_HALVES}[2], {_BLANK}), 1, greatest(0, length(rtrim({_HALVES}[2], {_BLANK})) - 4)), {_BLANK})"
 
 
-@query(f"""WITH p AS (SELECT program_id, trim({_PARTS.format('completion', 1)}) AS thinking, trim({_PARTS.format('completion', 2)}) AS code, {_PARTS.format('completion', 0)} <> '' AS whole FROM <programs_v>)
+@query(f"""WITH p AS (SELECT program_id, {THINKING.format('completion')} AS thinking, {CODE.format('completion')} AS code, {WHOLE.format('completion')} AS whole FROM <programs_v>)
 SELECT program_id, CASE WHEN whole AND thinking <> '' AND code <> '' THEN thinking END AS thinking, CASE WHEN whole AND thinking <> '' AND code <> '' THEN code END AS code,
   CASE WHEN NOT whole THEN 'shape' WHEN thinking = '' OR code = '' THEN 'empty' END AS reason FROM p""")
 def par1_parse_completion(v):
@@ -114,22 +119,18 @@ a AS (SELECT id, said, regexp_extract(lower(said), '\\b(\\d+(?:\\.\\d+)?)\\s*bpm
 b AS (SELECT *, CASE WHEN len(found) > 0 THEN found ELSE ['drums_core', 'bass', 'chords_pad'] END AS every FROM a), c AS (SELECT *, CASE WHEN atomic THEN every[1:1] ELSE every END AS roles FROM b)
 SELECT id, CASE WHEN b = '' THEN 120.0 ELSE cast(b AS double) END AS bpm, CASE WHEN mode <> '' THEN upper(root[1]) || root[2:] || ':' || mode WHEN list_has_any(roles, ['bass', 'chords_pad', 'arp_lead']) THEN 'C:minor' END AS key,
   CASE WHEN arrange THEN 'arrange' WHEN atomic THEN 'atomic' ELSE 'stack' END AS category, roles, list_filter([CASE WHEN b <> '' THEN 'bpm' END, CASE WHEN mode <> '' THEN 'key' END, CASE WHEN len(found) > 0 THEN 'roles' END], lambda x: x IS NOT NULL) AS explicit,
-  techniques, short_loop, CASE WHEN arrange THEN 32 ELSE 16 END AS cycles FROM c""".replace("\\\\", "\\"))
+  techniques, short_loop, CASE WHEN arrange THEN 32 ELSE 16 END AS cycles, true AS intent_only FROM c""".replace("\\\\", "\\"))
 def par6_make_plan(v):
     return v("requests_v").select("id", T.plan(F.expr(_SAID_SPARK)).alias("p")).select("id", "p.*")
 
 
-@query(f"""WITH q AS (SELECT id, {_SAID['duck']} AS said FROM <requests_v>), a AS (SELECT id, regexp_extract(lower(said), '\\b(\\d+)\\s*bpm\\b', 1) AS b, regexp_extract(said, '(?i)\\b([a-gA-G][#b]?)[ :]+({MODE})\\b', 1) AS root, lower(regexp_extract(said, '(?i)\\b([a-gA-G][#b]?)[ :]+({MODE})\\b', 2)) AS mode FROM q)
-SELECT id, CASE WHEN b <> '' THEN cast(b AS double) ELSE 100.0 END AS bpm, CASE WHEN mode <> '' THEN upper(root[1]) || root[2:] || ':' || mode WHEN id % 2 = 0 THEN 'G:major' END AS key, CASE WHEN id % 9 = 0 THEN 'cocreate' ELSE 'stack' END AS category FROM a""".replace("\\\\", "\\"))
+@query(f"""WITH q AS (SELECT id, {_SAID['duck']} AS said FROM <requests_v>), a AS (SELECT id, regexp_extract(lower(said), '\\b(\\d+)\\s*bpm\\b', 1) AS b, regexp_extract(said, '(?i)\\b([a-gA-G][#b]?)[ :]+({MODE})\\b', 1) AS root, lower(regexp_extract(said, '(?i)\\b([a-gA-G][#b]?)[ :]+({MODE})\\b', 2)) AS mode,
+  list_filter([{", ".join("CASE WHEN " + _HAS(rf"\b{t}\s*\(|\b(?:use|using|apply)\s+{t}\b") + f" THEN '{t}' END" for t in T.TECHNIQUES)}], lambda x: x IS NOT NULL) AS named FROM q)
+SELECT id, CASE WHEN b <> '' THEN cast(b AS double) ELSE 100.0 END AS bpm, CASE WHEN mode <> '' THEN upper(root[1]) || root[2:] || ':' || mode WHEN id % 2 = 0 THEN 'G:major' END AS key, CASE WHEN id % 9 = 0 THEN 'cocreate' ELSE 'stack' END AS category,
+  list_concat(['slow'], list_filter(named, lambda t: t <> 'slow')) AS techniques FROM a""".replace("\\\\", "\\"))
 def par7_overlay_plan(v):
-    """A chosen plan under what the request states; code supplied makes it a co-creation."""
-    seen = v("requests_v").select("id", T.plan(F.expr(_SAID_SPARK)).alias("seen"))
-    stated = lambda name: F.array_contains("seen.explicit", name)
-    chosen_key = F.when(F.col("id") % 2 == 0, "G:major")
-    return seen.select(
-        "id", F.when(stated("bpm"), F.col("seen.bpm")).otherwise(100.0).alias("bpm"), F.when(stated("key"), F.col("seen.key")).otherwise(chosen_key).alias("key"),
-        F.when(F.col("id") % 9 == 0, "cocreate").otherwise("stack").alias("category"),
-    )
+    chosen = {"bpm": F.lit(100.0), "key": F.when(F.col("id") % 2 == 0, "G:major"), "category": F.lit("stack"), "techniques": F.array(F.lit("slow"))}
+    return v("requests_v").select("id", T.overlay(chosen, F.expr(_SAID_SPARK), supplied=F.col("id") % 9 == 0).alias("p")).select("id", "p.*")
 
 
 _NOTE = "concat(substr('CDEFGABcdefgab', cast(event_id % 14 + 1 AS int), 1), CASE event_id % 3 WHEN 0 THEN '#' WHEN 1 THEN 'b' ELSE '' END, CASE WHEN event_id % 13 = 0 THEN 'x' ELSE cast(event_id % 9 - 1 AS string) END)"

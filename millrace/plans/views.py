@@ -16,7 +16,6 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 LICENSES = ("MIT", "Apache-2.0", "BSD-3-Clause", "CC0-1.0", "CC-BY-4.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later")
 _LICENSE = " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate((*LICENSES, "CC-BY-NC-4.0", "Proprietary", "WTFPL")))
 _BUCKET = {"spark": "cast(conv(substr(sha2(concat('\"', source, '\"'), 256), 1, 8), 16, 10) AS bigint) % 100", "duck": "cast('0x' || substr(sha256('\"' || source || '\"'), 1, 8) AS bigint) % 100"}
-_PROMPT = {"spark": r"regexp_extract(text, '^(\\S+\\s+){0,23}\\S+', 0)", "duck": r"regexp_extract(text, '^(\S+\s+){0,23}\S+', 0)"}
 _WORDS = {"spark": r"size(regexp_extract_all(text, '\\S+', 0))", "duck": r"len(regexp_extract_all(text, '\S+'))"}
 _ARRAY = {"spark": "array({0})", "duck": "[{0}]"}
 _NO_NULLS = {"spark": "array_compact(array({0}))", "duck": "list_filter([{0}], lambda m: m IS NOT NULL)"}
@@ -27,7 +26,7 @@ def _views(e: str) -> dict[str, str]:
     arr, compact = _ARRAY[e].format, _NO_NULLS[e].format
     zero, dbl = "cast(0 AS double)", "cast({0} AS double)".format
     return {
-        "requests_v": f"""SELECT doc_id AS id, {_PROMPT[e]} AS prompt, source AS family,
+        "requests_v": f"""SELECT doc_id AS id, text AS prompt, source AS family,
             CASE WHEN doc_id % 4 = 3 THEN 'rl' ELSE 'sft' END AS stage, concat('m', cast(doc_id % 5 AS string)) AS author_id,
             CASE WHEN {_BUCKET[e]} < 80 THEN 'train' WHEN {_BUCKET[e]} < 90 THEN 'val' ELSE 'benchmark' END AS split FROM <documents>""",
         "sources_v": f"""SELECT doc_id AS id, source AS family, text AS code, doc_id AS ordinal, lang, CASE doc_id % 12 {_LICENSE} END AS license FROM <documents>""",

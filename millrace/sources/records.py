@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import hashlib
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,13 +29,18 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType, *, strict
     return judged.where("reason IS NULL").select(*(F.col("row")[f.name].alias(f.name) for f in schema.fields)), rejects
 
 
-def recover_journal(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of append-only files; an unfinished last line stays if it parses and goes if not. A bad earlier line is an error."""
+def recover_journal(spark: SparkSession, path: str, schema: T.StructType, *, finished: bool = True) -> DataFrame:
+    """Rows of append-only files; an unfinished last line stays if it parses and goes if not. A bad earlier line is an error.
+
+    A last line that ends is a finished one, unless ``finished`` says that writers end cut-off lines too.
+    Each file is read as one row, since only its end tells whether its last line is finished.
+    """
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.split("value", "\n").alias("lines"))
     lines = files.select("file", F.size("lines").alias("n"), F.posexplode("lines").alias("at", "line")).where("trim(line) <> ''")
     rows = lines.withColumn("row", F.from_json("line", T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("row").isNull() | F.col("row._bad").isNotNull()
-    error = rows.where(bad & (F.col("at") < F.col("n") - 1)).select("file", "at").first()
+    last = F.col("n") - 1 if finished else F.max("at").over(W.partitionBy("file"))
+    error = rows.withColumn("last", last).where(bad & (F.col("at") < F.col("last"))).select("file", "at").first()
     if error:
         raise ValueError(f"{error['file']}: line {error['at'] + 1} is malformed")
     return rows.where(~bad).select("row.*").drop("_bad")
@@ -58,14 +68,33 @@ def write_records(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def _headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the first line of each file."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    placed = lines.withColumn("at", F.monotonically_increasing_id()).where("block = 0")
+    return placed.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+
+
 def read_required_csv(spark: SparkSession, path: str, required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects) of a CSV with a header: required columns present and not blank, no surplus cells, at least one row."""
-    header = spark.read.text(path).first()
-    names = [c.strip().strip('"') for c in header[0].lstrip("﻿").split(",")] if header else []
+    """(rows, rejects) of CSV files with a header: required columns present and not blank, no surplus cells, at least one row.
+
+    Columns are matched by name, file by file, so their order may differ; other columns than
+    those of the other files are an error.
+    """
+    known = _headers(spark, path).groupBy("header").agg(F.collect_list("file").alias("files")).collect()  # one row a layout
+    layouts = [(next(csv.reader([h.header.lstrip("\ufeff")]), []), h.files) for h in known]
+    names = [c.strip() for c in layouts[0][0]] if layouts else []
     if missing := sorted(set(required) - set(names)):
         raise ValueError(f"{path}: columns {missing} are missing")
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_bad"]])
-    rows = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("columnPruning", False).option("columnNameOfCorruptRecord", "_bad").csv(path)
+    parts = []
+    for found, files in layouts:
+        found = [c.strip() for c in found]
+        if sorted(found) != sorted(names):
+            raise ValueError(f"{files[0]}: columns {found} instead of {names}")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*found, "_bad"]])
+        options = {"header": True, "enforceSchema": True, "columnPruning": False, "columnNameOfCorruptRecord": "_bad"}
+        parts.append(spark.read.schema(schema).options(**options).csv(path if len(layouts) == 1 else files).select(*names, "_bad"))
+    rows = reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], T.StructType([T.StructField("_bad", T.StringType())]))
     bad = F.col("_bad").isNotNull()
     for c in required:
         bad = bad | F.col(c).isNull() | (F.trim(F.col(c)) == "")
@@ -102,6 +131,11 @@ def fingerprint(rows: DataFrame, buckets: int = 64) -> str:
     counted = hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     sums = counted.groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("b")).agg(F.bit_xor(F.xxhash64("h", "n")).alias("x"), F.sum(F.xxhash64("n", "h").cast("decimal(38,0)")).alias("s"), F.count(F.lit(1)).alias("n"))
     parts = sums.orderBy("b").collect()  # as many rows as buckets
-    import hashlib
-
     return hashlib.sha256(repr([tuple(map(str, p)) for p in parts]).encode()).hexdigest()
+
+
+def require_fingerprint(rows: DataFrame, recorded: str) -> DataFrame:
+    """``rows``, if their fingerprint is the recorded one; else an error."""
+    if (now := fingerprint(rows)) != recorded:
+        raise ValueError(f"the table has changed: its fingerprint is {now} and not {recorded}")
+    return rows

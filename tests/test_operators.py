@@ -84,7 +84,7 @@ def test_positions_and_assignment(spark):
 
 def test_circular_lineage_is_an_error(spark):
     runs = spark.createDataFrame([(1, 2), (2, 1), (3, None)], "run_id int, parent_id int")
-    assert J.lineage(runs, 3) == [3]
+    assert [tuple(r) for r in J.lineage(runs, 3).collect()] == [(3, 0)]
     with pytest.raises(ValueError, match="circular"):
         J.lineage(runs, 1)
 
@@ -157,15 +157,100 @@ def test_frechet_distance_of_a_set_from_itself_is_zero(spark):
     assert np.allclose(np.array(moments.first()["cov"]).reshape(4, 4), np.cov(x.T))
 
 
-def test_stream_acceptance_equals_batch(spark, tmp_path):
+def repeats(a, b):
+    import re
+
+    x, y = (re.findall("[a-z0-9']+", t.lower()) for t in (a, b))
+    same = len(x) >= 8 and len(y) >= 8 and x[:8] == y[:8]
+    p, q = set(x), set(y)
+    return x == y or same or (len(p) >= 4 and len(q) >= 4 and len(p & q) >= 0.5 * len(p | q))
+
+
+@pytest.mark.parametrize("order", ["sorted", "mixed"])
+def test_stream_acceptance_by_arrival(spark, tmp_path, order):
+    """What is accepted stays, whatever ids come later; inside a batch the smaller id is first."""
+    import os
+    import random
+
     from millrace.streaming import journals as S_
 
-    rows = [(i, f"word{i % 7} and some other words here now {i % 3}") for i in range(30)]
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("abcdefgh") + str(k) for k in range(rng.choice([2, 5, 9])))) for i in range(60)]
+    if order == "mixed":
+        rng.shuffle(rows)
+    parts, bank = [rows[20 * k : 20 * k + 20] for k in range(3)], []
     (tmp_path / "in").mkdir()
-    for k in range(3):
-        (tmp_path / "in" / f"{k}.json").write_text("\n".join(json.dumps({"id": i, "prompt": p}) for i, p in rows[10 * k : 10 * k + 10]))
+    for k, part in enumerate(parts):
+        path = tmp_path / "in" / f"{9 - k}.json"
+        path.write_text("\n".join(json.dumps({"id": i, "prompt": p}) for i, p in part))
+        os.utime(path, (1_000_000 + k, 1_000_000 + k))
+        for i, p in sorted(part):
+            if not any(repeats(p, q) for _, q in bank):
+                bank.append((i, p))
     stream = spark.readStream.schema("id bigint, prompt string").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
     S_.each_batch(stream, str(tmp_path / "state"), S_.accept_into(str(tmp_path / "bank"))).awaitTermination()
     got = {r.id for r in spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "bank")).collect()}
-    batch = {r.id for r in D.accept_greedily(spark.createDataFrame(rows, "id bigint, prompt string")).where("accepted").collect()}
-    assert got == batch
+    assert got == {i for i, _ in bank} and 10 < len(got) < 60
+
+
+def test_export_waits_for_a_round(spark, tmp_path):
+    from millrace.streaming import journals as S_
+
+    batches = [[(1, 7), (2, 8)], [(2, 9), (3, 7)], [(4, 6), (5, 8)]]
+    work = S_.export_into(str(tmp_path / "rows"), save_every=2)
+    tables = [spark.createDataFrame(b, "id bigint, prompt_id bigint") for b in batches]
+    read = lambda: sorted(r.id for r in spark.read.schema("id bigint, prompt_id bigint").parquet(str(tmp_path / "rows")).collect())
+    work(tables[0], 0)
+    assert not (tmp_path / "rows").exists()
+    work(tables[1], 1)
+    assert read() == [1, 2, 2, 3]
+    work(tables[2], 2)
+    S_.export_rest(spark, str(tmp_path / "rows"), tables[0].schema, 2, save_every=2)
+    assert read() == [1, 2, 2, 3, 4]
+
+
+def test_lineage(spark):
+    runs = spark.createDataFrame([(k, k // 2 if k else None) for k in range(40)], "run_id bigint, parent_id bigint")
+    assert sorted(map(tuple, J.lineage(runs, 39).collect())) == [(0, 6), (1, 5), (2, 4), (4, 3), (9, 2), (19, 1), (39, 0)]
+    long = spark.range(200).selectExpr("id AS run_id", "if(id > 0, id - 1, null) AS parent_id")
+    assert J.lineage(long, 150).count() == 151
+    with pytest.raises(ValueError, match="more than once"):
+        J.lineage(runs.unionAll(runs.limit(1)), 3)
+
+
+def test_guards_of_evaluation(spark):
+    tasks = spark.createDataFrame([(1, "p")], "id bigint, prompt string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y")], "id bigint, completion string")
+    with pytest.raises(Exception, match="more than one prediction"):
+        E.scored_predictions(tasks, twice).collect()
+    with pytest.raises(Exception, match="for no task"):
+        E.viewer_rows(tasks, spark.createDataFrame([(2, "x")], "id bigint, completion string")).collect()
+    rows = spark.createDataFrame([(1, "a"), (2, "a")], "id bigint, key string")
+    with pytest.raises(ValueError, match="are left"):
+        J.replay(rows, rows.where("id > 5"), 2, 7)
+    with pytest.raises(ValueError, match="has changed"):
+        S.require_fingerprint(rows, "other")
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.csv").write_text('id,"name"\n1,x\n')
+    (tmp_path / "c" / "b.csv").write_text("name,id\nbob,2\n")
+    good, _ = S.read_required_csv(spark, str(tmp_path / "c"), ["id", "name"])
+    assert sorted((r.id, r.name) for r in good.collect()) == [("1", "x"), ("2", "bob")]
+    (tmp_path / "c" / "d.csv").write_text("id,other\n3,y\n")
+    with pytest.raises(ValueError, match="columns"):
+        S.read_required_csv(spark, str(tmp_path / "c"), ["id"])
+
+
+def test_frechet_distance_of_known_sets(spark):
+    """Between sets of equal spread the distance is that of their means; between others also that of their spreads."""
+    import numpy as np
+
+    x = np.random.default_rng(0).standard_normal((400, 3))
+    rows = [("a", v.tolist()) for v in x] + [("b", (v + [3.0, 4.0, 0.0]).tolist()) for v in x] + [("c", (2 * v).tolist()) for v in x]
+    moments = E.moments(spark.createDataFrame(rows, "g string, embedding array<double>"), "g")
+    base = moments.where("g = 'a'")
+    got = {r.g: r.distance for r in E.frechet(moments, base, "g").collect()}
+    want = {"a": 0.0, "b": 25.0, "c": np.trace(np.cov(x.T)) + (x.mean(0) ** 2).sum()}
+    assert all(abs(got[g] - want[g]) < 1e-6 for g in want)
