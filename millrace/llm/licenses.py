@@ -21,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.common import fresh
 from millrace.llm.license_rules import MARKERS, rules
 
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -89,9 +90,9 @@ def _sweep(ordered: Column) -> Column:
 
 
 def scan_licenses(docs: DataFrame, *, text: str = "text", name: str = "licenses") -> DataFrame:
-    """``docs`` with a struct column ``name``: counts, base places, labels, score and spans."""
-    taken = {c.lower() for c in docs.columns}
-    own = [c if c not in taken else f"{c}__" for c in ("millrace_words", "millrace_base", "millrace_kept")]
+    """``docs`` with a struct column ``name`` (with underscores added where they have it): counts, base places, labels, score and spans."""
+    name = fresh(docs, name)
+    own = [fresh(docs, c) for c in ("millrace_words", "millrace_base", "millrace_kept")]
     words, base, kept = map(F.col, own)
     marked = reduce(lambda a, b: a | b, (F.contains(words, F.lit(m.replace(" ", "  "))) for m in MARKERS))
     table = _rule_table()
@@ -117,7 +118,7 @@ def scan_licenses(docs: DataFrame, *, text: str = "text", name: str = "licenses"
         F.greatest(F.coalesce(best, F.lit(0.0)), F.when(n_base > 0, BASE_SCORE).otherwise(0.0)).alias("score"),
         F.coalesce(F.size(kept), F.lit(0)).cast("bigint").alias("n_detections"), spans.alias("spans"),
     )
-    return out.withColumn(name, result).select(*(c for c in docs.columns if c.lower() != name.lower()), name)
+    return out.withColumn(name, result).select(*(f"`{c}`" for c in docs.columns), name)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -176,7 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = 8192, keep_good: fl
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, *, name: str = "quality_rules", **fitting) -> DataFrame:
-    """``docs`` with a struct column ``name`` of counts, anomaly score and verdicts."""
+    """``docs`` with a struct column ``name`` (with underscores added where they have it): counts, anomaly score and verdicts."""
+    name = fresh(docs, name)
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **fitting))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 

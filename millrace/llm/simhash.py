@@ -28,8 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.llm.common import cut, fresh
+from millrace.llm.common import Scratch, cut, fresh
 from millrace.llm.graph import components
 from millrace.llm.ragged import chunks
 
@@ -71,7 +72,7 @@ def _differ(shift: int, width: int):
     return F.bit_count(F.shiftrightunsigned(F.col("x").bitwiseXOR(F.col("y")), shift).bitwiseAND(F.lit((1 << width) - 1)))
 
 
-def links(nodes: DataFrame, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
+def links(nodes: DataFrame, pairs_up_to: int = PAIRS_UP_TO, settled=cut) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs of ``nodes`` (fp) within two bits."""
     part = lambda shift, width: F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
     keys = []
@@ -82,7 +83,7 @@ def links(nodes: DataFrame, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
             keys.append(F.shiftleft(part(shift, width), 12).bitwiseOR(part(s, w)).bitwiseOR(F.lit((2 * i + half) << 40)))
     keyed = nodes.select("fp", F.explode(F.array(*keys)).alias("key"))
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = cut(keyed.join(sizes, "key"))
+    shared = settled(keyed.join(sizes, "key"))
     few = shared.where(F.col("n") <= pairs_up_to)
     i = F.shiftright("key", 41)
     step = [_differ(*s) for s in SEGMENTS]
@@ -101,14 +102,16 @@ def links(nodes: DataFrame, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
 
 def simhash_components(docs: DataFrame, *, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     """One row per document: doc_id, fingerprint (hex), component_id."""
-    prints = cut(docs.select("doc_id", fingerprint("text").alias("fp")))
-    return _joined(prints, _classes(prints, pairs_up_to)).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    with Scratch() as scratch:
+        prints = cut(docs.select("doc_id", fingerprint("text").alias("fp")))
+        classes = cut(_classes(scratch, prints, pairs_up_to))
+    return _joined(prints, classes).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _classes(prints: DataFrame, pairs_up_to: int) -> DataFrame:
+def _classes(scratch: Scratch, prints: DataFrame, pairs_up_to: int) -> DataFrame:
     """Each fingerprint's component: (node, component_id)."""
-    nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(nodes.select("fp"), pairs_up_to))
+    nodes = scratch.cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    roots = scratch.hold(components(links(nodes.select("fp"), pairs_up_to, scratch.cut)))
     rooted = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return rooted.join(least, "root").select(F.col("fp").alias("node"), "component_id")
@@ -120,20 +123,27 @@ def _joined(prints: DataFrame, classes: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame, *, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
     """One document of each component stays, that with the smallest doc_id; of rows
-    that repeat this doc_id, the one with the smallest text hash. Where all ids of a
-    component are null, its rows are told apart by their text hash alone."""
-    name, number = fresh(docs, "fp"), fresh(docs, "place")
-    prints = cut(docs.select("doc_id", fingerprint("text").alias("fp"), F.xxhash64("text").alias("text_hash")))
-    classes = _classes(prints, pairs_up_to)
-    first = _joined(prints, classes).where("doc_id <=> component_id")
-    first = first.groupBy("doc_id", "component_id").agg(F.min("text_hash").alias("text_hash"))
-    kept = docs.withColumn(name, F.xxhash64("text")).join(
-        first.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")),
-        docs.doc_id.eqNullSafe(F.col("_kept_id")) & (F.col(name) == F.col("_kept_hash")),
-        "left_semi",
-    )
-    once = W.partitionBy("doc_id", name).orderBy(*(c for c in docs.columns if c != "doc_id"))
-    return kept.withColumn(number, F.row_number().over(once)).where(F.col(number) == 1).select(docs.columns)
+    that repeat this doc_id, the one with the smallest text hash, and one of those that are
+    alike in both. Where all ids of a component are null, its rows are told apart by their
+    text hash alone. Columns may have any name and type."""
+    name, number = fresh(docs, "text_hash"), fresh(docs, "place")
+    with Scratch() as scratch:
+        prints = scratch.cut(docs.select("doc_id", fingerprint("text").alias("fp"), F.xxhash64("text").alias("text_hash")))
+        first = _joined(prints, _classes(scratch, prints, pairs_up_to)).where("doc_id <=> component_id")
+        first = cut(first.groupBy("doc_id", "component_id").agg(F.min("text_hash").alias("text_hash")).select(F.col("doc_id").alias(fresh(docs, "kept_id")), F.col("text_hash").alias(fresh(docs, "kept_hash"))))
+    keyed = docs.withColumn(name, F.xxhash64("text"))
+    kept = keyed.join(first, keyed["doc_id"].eqNullSafe(first[first.columns[0]]) & (keyed[name] == first[first.columns[1]]), "left_semi")
+    sortable = (c.name for c in docs.schema if c.name != "doc_id" and _sortable(c.dataType))
+    once = W.partitionBy("doc_id", name).orderBy(*(f"`{c}`" for c in sortable))
+    return kept.withColumn(number, F.row_number().over(once)).where(F.col(number) == 1).select([f"`{c}`" for c in docs.columns])
+
+
+def _sortable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _sortable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_sortable(f.dataType) for f in kind)
+    return not isinstance(kind, T.MapType | T.VariantType)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,9 @@ Level 0 encodes the listed keys, level 1 the keys of the corpus that pass level
 without being listed, level 2 the listed keys that pass level 1, and so on until no
 key of the corpus's complete universe is told wrongly. A key of that universe is
 listed if the first level that it fails has an odd number. Levels are bit arrays
-held in the query's plan, so judging URLs needs no join and no shuffle. A level of
-more than ``most_bits`` bits is refused: a list this long needs a larger limit.
+held in the query's plan, so judging URLs needs no join and no shuffle. Only if a
+level has more than ``most_bits`` bits, distinct hosts and paths are judged by
+joins with the words of the levels, to the same result.
 
 Rules and block lists share the cascade: each URL asks for the keys of its host's
 suffixes (of as many labels as the rules have) with its path cut to each length
@@ -24,66 +25,98 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut
+from millrace.llm.common import Scratch, cut
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-MOST_BITS = 1 << 28
+MOST_BITS = 1 << 22
 
 
 class Cascade:
-    """Exact membership in ``keys`` (key, listed) for each key of that table."""
+    """Exact membership in ``keys`` (key, listed) for each key of that table.
 
-    def __init__(self, keys: DataFrame, *, most_bits: int = MOST_BITS) -> None:
-        self.levels: list[tuple[Column, int, int]] = []
-        known = cut(keys.groupBy("key").agg(F.max("listed").alias("listed")))
-        sizes = known.agg(F.count_if("listed"), F.count(F.lit(1))).first()
-        n, other = sizes[0], sizes[1] - sizes[0]
-        while n:
-            self._add(known, n, other, most_bits)
-            wrong = known.where(self.passes(F.col("key")) & (F.col("listed") != (len(self.levels) % 2 == 1)))
-            n, other = wrong.agg(F.count(F.lit(1))).first()[0], n
-
-    def _add(self, known: DataFrame, n: int, other: int, most_bits: int) -> None:
-        """A level for the ``n`` keys that pass all levels and are told wrongly, against ``other`` keys."""
-        probes = min(12, max(1, math.ceil(math.log2(max(2, other / n)))))
-        bits = 64 * math.ceil(max(64, 1.5 * n * probes) / 64)
-        if bits > most_bits:
-            raise ValueError(f"a level of {bits} bits for {n} keys is over the limit of {most_bits} bits")
-        level = len(self.levels)
-        encoded = known.where(self.passes(F.col("key")) & (F.col("listed") == (level % 2 == 0)))
-        places = encoded.select(F.explode(F.array(*self._places(F.col("key"), level, bits, probes))).alias("p"))
-        words = places.groupBy(F.shiftright("p", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 AS int)))").alias("v")).collect()
-        held = [0] * (bits // 64)
-        for word, v in words:
-            held[word] = v
-        self.levels.append((F.split(F.lit(",".join(map(str, held))), ",").cast("array<bigint>"), bits, probes))
+    A level of up to ``most_bits`` bits is a constant of the plan. A larger one stays a table of words in
+    the shared folder, where each key meets those that it probes: so no list is too long, and what
+    the driver holds is bounded.
+    """
 
-    @staticmethod
-    def _places(key: Column, level: int, bits: int, probes: int) -> list[Column]:
-        first, step = (F.xxhash64(key, F.lit(2 * level + k)).bitwiseAND(F.lit((1 << 48) - 1)) for k in (0, 1))
-        return [F.pmod(first + step * i, F.lit(bits).cast("bigint")) for i in range(probes)]
+    def __init__(self, keys: DataFrame, *, most_bits: int = MOST_BITS) -> None:
+        self.levels: list[Level] = []
+        with Scratch() as scratch:
+            known = scratch.cut(keys.groupBy("key").agg(F.max("listed").alias("listed")))
+            sizes = known.agg(F.count_if("listed"), F.count(F.lit(1))).first()
+            n, other = sizes[0], sizes[1] - sizes[0]
+            while n:
+                # the keys that pass every level so far, and so are told apart by the next ones
+                level = Level(len(self.levels), n, other, most_bits)
+                level.fill(known.where(F.col("listed") == (level.number % 2 == 0)))
+                self.levels.append(level)
+                known = scratch.cut(level.passing(known))
+                n, other = known.where(F.col("listed") != (level.number % 2 == 0)).count(), n
 
-    def _in(self, key: Column, level: int) -> Column:
-        held, bits, probes = self.levels[level]
-        out = F.lit(True)
-        for p in self._places(key, level, bits, probes):
-            out = out & (F.getbit(F.get(held, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    def has(self, key: Column) -> Column:
+        """Is ``key``, of the universe, listed? Only where all levels are constants."""
+        out = F.lit(len(self.levels) % 2 == 1)
+        for level in reversed(self.levels):
+            out = F.when(~level.holds(key), F.lit(level.number % 2 == 1)).otherwise(out)
         return out
 
-    def passes(self, key: Column) -> Column:
-        """Does ``key`` pass all levels?"""
+    @property
+    def constant(self) -> bool:
+        return all(level.constant for level in self.levels)
+
+    def listed(self, keys: DataFrame) -> DataFrame:
+        """Those of ``keys`` (key, distinct, of the universe) that are listed, whatever the size of the levels."""
+        if self.constant:
+            return keys.where(self.has(F.col("key")))
+        rest, out = keys, keys.where("false")
+        for level in self.levels:
+            passed = level.passing(rest)
+            if level.number % 2:
+                # those that fail an odd level are listed
+                out = out.unionAll(rest.join(passed, "key", "left_anti"))
+            rest = passed
+        return out.unionAll(rest) if len(self.levels) % 2 else out
+
+
+class Level:
+    """One Bloom filter of the cascade."""
+
+    def __init__(self, number: int, n: int, other: int, most_bits: int) -> None:
+        self.number = number
+        self.probes = min(12, max(1, math.ceil(math.log2(max(2, other / n)))))
+        self.bits = 64 * math.ceil(max(64, 1.5 * n * self.probes) / 64)
+        self.constant = self.bits <= most_bits
+
+    def places(self, key: Column) -> list[Column]:
+        first, step = (F.xxhash64(key, F.lit(2 * self.number + k)).bitwiseAND(F.lit((1 << 48) - 1)) for k in (0, 1))
+        return [F.pmod(first + step * i, F.lit(self.bits).cast("bigint")) for i in range(self.probes)]
+
+    def fill(self, encoded: DataFrame) -> None:
+        places = encoded.select(F.explode(F.array(*self.places(F.col("key")))).alias("p"))
+        words = places.groupBy(F.shiftright("p", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 AS int)))").alias("v"))
+        if not self.constant:
+            self.words = cut(words)
+            return
+        held = [0] * (self.bits // 64)
+        for word, v in words.collect():  # at most most_bits / 64 rows
+            held[word] = v
+        self.held = F.split(F.lit(",".join(map(str, held))), ",").cast("array<bigint>")
+
+    def holds(self, key: Column) -> Column:
+        """Are all places of ``key`` set? Only for a constant level."""
         out = F.lit(True)
-        for level in range(len(self.levels)):
-            out = out & self._in(key, level)
+        for p in self.places(key):
+            out = out & (F.getbit(F.get(self.held, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1)
         return out
 
-    def has(self, key: Column) -> Column:
-        """Is ``key``, of the universe, listed?"""
-        out = F.lit(len(self.levels) % 2 == 1)
-        for level in reversed(range(len(self.levels))):
-            out = F.when(~self._in(key, level), F.lit(level % 2 == 1)).otherwise(out)
-        return out
+    def passing(self, keys: DataFrame) -> DataFrame:
+        """Those of ``keys`` (key, ...; distinct) that this level holds."""
+        if self.constant:
+            return keys.where(self.holds(F.col("key")))
+        probes = keys.select("key", F.explode(F.array_distinct(F.array(*self.places(F.col("key"))))).alias("p")).select("key", F.shiftright("p", 6).alias("word"), F.expr("shiftleft(1L, cast(p & 63 AS int))").alias("bit"))
+        met = probes.join(self.words, "word", "left").groupBy("key").agg(F.bool_and(F.coalesce(F.expr("v & bit") != 0, F.lit(False))).alias("all"))
+        return keys.join(met.where("all").select("key"), "key")
 
 
 def parts(url: str = "url") -> tuple[Column, Column]:
@@ -105,24 +138,34 @@ def _rule_keys(rules) -> Column:
     return F.array_compact(F.array(*options))
 
 
+def _met_keys(asked: DataFrame, own: Column, listed: DataFrame) -> DataFrame:
+    """(host, path, fitting, blocked) of the distinct hosts and paths, by a join with the listed keys."""
+    each = asked.select("host", "path", F.explode(F.array_append("keys", own)).alias("key")).distinct()
+    met = each.join(listed.select("key", F.lit(True).alias("there")), "key", "left")
+    rule = F.when(F.col("there") & F.startswith("key", F.lit("r ")), F.col("key"))
+    return met.groupBy("host", "path").agg(F.collect_set(rule).alias("fitting"), F.coalesce(F.bool_or(F.col("there") & (F.col("key") == own)), F.lit(False)).alias("blocked"))
+
+
 def url_filter(pages: DataFrame, blocked_hosts: DataFrame, *, rules=RULES, most_bits: int = MOST_BITS) -> DataFrame:
     """page_id, host, path, rule and verdict of each page; ``blocked_hosts`` has a column host."""
     host, path = parts()
     asked = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("keys", _rule_keys(rules))
-    spark = pages.sparkSession
-    listed = spark.createDataFrame([(f"r {h}{p}",) for _, h, p in rules], "key string").unionAll(
-        blocked_hosts.where("host IS NOT NULL").select(F.concat(F.lit("h "), "host").alias("key"))
-    )
+    ruled = pages.sparkSession.range(1).select(F.explode(F.array(*(F.lit(f"r {h}{p}") for _, h, p in rules))).alias("key"))
+    listed = ruled.unionAll(blocked_hosts.where("host IS NOT NULL").select(F.concat(F.lit("h "), "host").alias("key")))
     universe = asked.select(F.explode("keys").alias("key")).unionAll(asked.select(F.concat(F.lit("h "), "host").alias("key")))
     tagged = listed.withColumn("listed", F.lit(True)).unionAll(universe.withColumn("listed", F.lit(False)))
     cascade = Cascade(tagged, most_bits=most_bits)
-    fitting = F.filter("keys", cascade.has)
-    longest = F.array_max(F.transform(fitting, lambda k: F.struct(F.length(k).alias("n"), k.alias("k"))))["k"]
+    own = F.concat(F.lit("h "), "host")
+    if cascade.constant:
+        found = asked.withColumns({"fitting": F.filter("keys", cascade.has), "blocked": cascade.has(own)})
+    else:
+        found = asked.join(_met_keys(asked, own, cascade.listed(universe.distinct())), ["host", "path"])
+    longest = F.array_max(F.transform("fitting", lambda k: F.struct(F.length(k).alias("n"), k.alias("k"))))["k"]
     verdict = F.lit(None)
     for what, h, p in rules:
         verdict = F.when(F.col("rule") == h + p, what).otherwise(verdict)
-    method = F.when(cascade.has(F.concat(F.lit("h "), "host")), "block").otherwise("allow")
-    judged = asked.withColumn("rule", F.substring(longest, 3, 1 << 30))
+    method = F.when(F.col("blocked"), "block").otherwise("allow")
+    judged = found.withColumn("rule", F.substring(longest, 3, 1 << 30))
     return judged.select("page_id", "host", "path", "rule", F.coalesce(verdict, method).alias("verdict"))
 
 

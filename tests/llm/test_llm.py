@@ -69,8 +69,9 @@ def test_license_suppression_and_empty(spark, nothing):
     spans = licenses.scan_licenses(spark.createDataFrame([("Licensed under the MIT License",)], "text string")).first().licenses.spans
     assert [s.label for s in spans] == ["mit"]
     assert licenses.scan_licenses(nothing).count() == 0
-    clash = spark.createDataFrame([("MIT License", 1, 2)], "text string, licenses int, millrace_words int")
-    assert licenses.scan_licenses(clash).first().licenses.n_base == 1
+    clash = spark.createDataFrame([("MIT License", 1, 2, 3)], "text string, licenses int, millrace_words int, millrace_words_ int")
+    row = licenses.scan_licenses(clash).first()
+    assert row.licenses_.n_base == 1 and (row.licenses, row.millrace_words, row.millrace_words_) == (1, 2, 3)
 
 
 # --- quality
@@ -191,6 +192,13 @@ def test_simhash(awkward, nothing):
     assert simhash.keep_first(nothing).count() == 0 and simhash.simhash_components(nothing).count() == 0
 
 
+def test_keep_first_with_any_columns(spark):
+    rows = [(1, prose(30, 1), {"a": 1}, 1), (2, prose(30, 1), {"a": 2}, 2), (2, prose(30, 1), {"a": 3}, 3), (3, prose(30, 2), None, 4), (None, None, {}, 5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, tags map<string,int>, kept_id int").withColumns({"kept_hash": F.lit(1), "text_hash": F.lit(2), "_kept_id": F.lit(3), "x.y": F.lit(4)})
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns and sorted(r.kept_id for r in kept.collect()) == [1, 4, 5]
+
+
 @pytest.mark.parametrize("pairs_up_to", [0, 3, 1000])
 def test_simhash_links(spark, pairs_up_to):
     rng = np.random.default_rng(3)
@@ -316,6 +324,8 @@ def test_urls(spark):
     assert rules == {4: "org/", 5: "org/", 8: "example.org/es/", 9: "example.org/en/1", 10: "org/", 11: "com/fr/", 12: "com/de/", 19: "example.org/es/"}
     assert [got[k].verdict for k in (4, 8, 12, 13, 15, 17)] == ["allow", "block", "block", "allow", "block", "block"]
     assert (got[0].host, got[0].path, got[8].host, got[8].path, got[18].path) == ("", "", "m.example.org", "/es/1", "")
+    by_joins = url_filter.url_filter(pages, url_filter.tracked_hosts(pages), most_bits=1)
+    assert sorted(map(str, by_joins.collect())) == sorted(map(str, url_filter.url_filter(pages, url_filter.tracked_hosts(pages)).collect()))
     none = pages.where("false")
     assert url_filter.url_filter(none, url_filter.tracked_hosts(none)).count() == 0
 
@@ -325,8 +335,10 @@ def test_cascade_is_exact(spark):
     cascade = url_filter.Cascade(keys)
     assert len(cascade.levels) >= 2
     assert keys.where(cascade.has(F.col("key")) != F.col("listed")).count() == 0
-    with pytest.raises(ValueError, match="limit"):
-        url_filter.Cascade(keys, most_bits=64)
+    large = url_filter.Cascade(keys, most_bits=64)
+    assert not large.constant and not large.levels[0].constant
+    got = {r.key for r in large.listed(keys.select("key")).collect()}
+    assert got == {f"k{i}" for i in range(0, 5000, 7)}
 
 
 # --- toxicity
