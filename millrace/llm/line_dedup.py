@@ -35,9 +35,7 @@ BANDS, ROWS = 8, 4
 PART_LINES = 512
 SIMILARITY, PAIRS_UP_TO = 0.8, 4
 BROADCAST_LINES = 1 << 20
-K, STEP = 5, 16
-#: Words of 64 bits in the map of every line, and in that of a line that may match another.
-WORDS, WIDE = 8, 32
+K, STEP, WORDS = 5, 16, 16
 #: A line in pieces that hold STEP shingles each, so that most of the work is done by columns and not by rows.
 PIECE = rf"(?s)(?=(.{{{K},{K + STEP - 1}}}|^.{{1,{K - 1}}}(?!.))).{{1,{STEP}}}"
 LAST = (1 << 63) - 1
@@ -94,12 +92,6 @@ def _size() -> Column:
     return F.max(F.col("i") * STEP + F.greatest(F.col("size") - K + 1, F.lit(1))).alias("t")
 
 
-def _allowed(x: str, y: str, similarity: float) -> Column:
-    """How many places of two lines' maps may differ. Each place that only one of them has stands for a shingle
-    that only it has, and of d such shingles among n in both sets the similarity is (n - d) / (n + d)."""
-    return (F.col(f"{x}.t") + F.col(f"{y}.t")) * F.lit((1 - similarity) / (1 + similarity) + 1e-9)
-
-
 def _map() -> list[Column]:
     """Aggregates of pieces: their shingles' places in WORDS words of bits."""
     bit = "if((shiftrightunsigned(h0_{0}, 6) & {2}) = {1}, shiftleft(1L, cast(h0_{0} & 63 AS int)), 0L)".format
@@ -107,22 +99,10 @@ def _map() -> list[Column]:
 
 
 def _may_match(x: str, y: str, similarity: float) -> Column:
-    """False only where the shingle sets can't be so similar."""
+    """False only where the shingle sets can't be so similar. Each place that only one line's map has stands for a shingle
+    that only it has, and of d such shingles among n in both sets the similarity is (n - d) / (n + d)."""
     apart = sum((F.bit_count(F.expr(f"{x}.w{w} ^ {y}.w{w}")) for w in range(WORDS)), F.lit(0))
-    return apart <= _allowed(x, y, similarity)
-
-
-def _wide_maps(lines: DataFrame) -> DataFrame:
-    """(lid, map) of lines, with WIDE words of bits as an array: made from rows, as so many bits of each piece would be too long a plan."""
-    rows = _hashed(lines).select("lid", "i", "size", F.explode(F.array(*(f"h0_{k}" for k in range(STEP)))).alias("h"))
-    placed = rows.select("lid", "i", "size", F.expr(f"shiftrightunsigned(h, 6) & {WIDE - 1}").alias("word"), F.expr("shiftleft(1L, cast(h & 63 AS int))").alias("bit"))
-    bits = [F.expr(f"bit_or(if(word = {w}, bit, 0L)) AS w{w}") for w in range(WIDE)]
-    return placed.groupBy("lid").agg(_size(), *bits).select("lid", F.struct("t", F.array(*(f"w{w}" for w in range(WIDE))).alias("bits")).alias("map"))
-
-
-def _may_match_wide(x: str, y: str, similarity: float) -> Column:
-    apart = F.aggregate(F.zip_with(f"{x}.bits", f"{y}.bits", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, k: n + k)
-    return apart <= _allowed(x, y, similarity)
+    return apart <= (F.col(f"{x}.t") + F.col(f"{y}.t")) * F.lit((1 - similarity) / (1 + similarity) + 1e-9)
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
@@ -187,28 +167,33 @@ def _left_over(scratch: Scratch, shared: DataFrame, roots: DataFrame, similarity
     return _pair(met, similarity).distinct()
 
 
-def _verified(scratch: Scratch, docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    """Those pairs whose shingle sets have at least this Jaccard similarity; wider maps rule out most of the others."""
+def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """A table of those pairs whose shingle sets have at least this Jaccard similarity."""
+    with Scratch() as scratch:
+        return cut(_similar(scratch, docs, pairs, similarity))
+
+
+def _similar(scratch: Scratch, docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     ends = scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct())
     few = ends.count() <= BROADCAST_LINES
     texts = _lines(docs).select("lid", "line").join(F.broadcast(ends) if few else ends, "lid", "left_semi")
     lines = scratch.cut(texts.groupBy("lid").agg(F.first("line").alias("line")))
-    maps = scratch.cut(_wide_maps(lines))
-    beside = lambda rows, c, what: rows.join(what.select(F.col("lid").alias(c), F.col(what.columns[1]).alias(f"its_{c}")), c)
-    close = beside(beside(pairs, "a", maps), "b", maps).where(_may_match_wide("its_a", "its_b", similarity)).select("a", "b")
-    both = beside(beside(scratch.cut(close), "a", lines), "b", lines)
-    sets = F.array(F.struct(_shingles("its_a").alias("a"), _shingles("its_b").alias("b")))
+    beside = lambda rows, c: rows.join(lines.select(F.col("lid").alias(c), F.col("line").alias(f"line_{c}")), c)
+    both = beside(beside(pairs, "a"), "b")
+    sets = F.array(F.struct(_shingles("line_a").alias("a"), _shingles("line_b").alias("b")))
     alike = F.transform(sets, lambda s: F.size(F.array_intersect(s["a"], s["b"])) >= similarity * F.size(F.array_union(s["a"], s["b"])))
     return both.where(F.get(alike, F.lit(0))).select("a", "b")
 
 
 def _links(scratch: Scratch, docs: DataFrame, shared: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
     """Verified pairs that connect all lines which verified pairs of shared buckets connect."""
-    links = scratch.cut(_verified(scratch, docs, scratch.cut(_candidates(shared, similarity, pairs_up_to)), similarity))
+    with Scratch() as own:
+        links = scratch.hold(_verified(docs, own.cut(_candidates(shared, similarity, pairs_up_to)), similarity))
     if shared.where(F.col("size") > pairs_up_to).isEmpty():
         return links
-    further = scratch.cut(_left_over(scratch, shared, scratch.hold(components(links)), similarity, pairs_up_to))
-    return links if further.isEmpty() else links.unionAll(_verified(scratch, docs, further, similarity))
+    with Scratch() as own:
+        further = scratch.cut(_left_over(own, shared, own.hold(components(links)), similarity, pairs_up_to))
+    return links if further.isEmpty() else links.unionAll(scratch.hold(_verified(docs, further, similarity)))
 
 
 def removed_lines(docs: DataFrame, *, similarity: float = SIMILARITY, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
@@ -216,8 +201,8 @@ def removed_lines(docs: DataFrame, *, similarity: float = SIMILARITY, pairs_up_t
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     with Scratch() as scratch:
         signed = scratch.cut(_signatures(docs))
-        shared = scratch.cut(_buckets(signed))
-        roots = scratch.hold(components(_links(scratch, docs, shared, similarity, pairs_up_to)))
+        with Scratch() as own:
+            roots = scratch.hold(components(_links(own, docs, own.cut(_buckets(signed)), similarity, pairs_up_to)))
         nodes = signed.join(roots, signed.lid == roots.node, "left").where("n > 1 OR root IS NOT NULL").select("lid", "doc", F.coalesce("root", "lid").alias("root"))
         least = nodes.groupBy("root").agg(F.min("doc").alias("least"))
         known = scratch.cut(nodes.select("lid", "root").join(least, "root"))
