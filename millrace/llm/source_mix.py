@@ -3,22 +3,25 @@
 Every source's target is a share of the budget (``share`` times all words) by its
 weight, held at ``cap`` times the source's size, the excess reshared by weight.
 Targets become whole blocks of ``block_words`` words: sources get blocks by the
-highest quotients target / (2 * blocks + 1), then the shards of a source get its
-blocks by the same rule. Inside a shard the documents lie in seeded order; the
+highest quotients target / (2 * blocks + 1), then groups of a source's shards and
+the shards of a group get its blocks by the same rule. Inside a shard the documents lie in seeded order; the
 quota takes each of its blocks 0, 1 or 2 times, the extra ones by a seeded
 systematic draw, so a document's words follow from its place by arithmetic.
 
 Null texts have size 0; null sources form one source that is ranked last; an empty
 table gives an empty result. Rows that repeat a doc_id are mixed one by one. Other
 columns of the input are ignored. A shard holds about ``shard_words`` words (a
-longer document stays whole), so no task orders more than that at once; the
-table of sources and of their shards is ordered as a whole.
+longer document stays whole), and a source of n shards has about sqrt(n) groups of
+them, so no task orders more than a shard, a group or a source's groups at once.
+Only the table of sources is ordered as a whole. Texts are read once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.common import cut
+
 BLOCK_WORDS = 16
 SHARD_WORDS = 1 << 18
 
@@ -36,8 +39,14 @@ _DUCK = {
 }
 
 
+def _sized(e: dict, seed: str) -> str:
+    """Columns of the documents that the rest works on."""
+    return f"doc_id, source, cast({e['size']} AS bigint) AS size, md5(concat('{seed}', coalesce(cast(doc_id AS string), 'null'))) AS h"
+
+
 def _sql(docs: str, e: dict, block: int, shard: int, seed: str, share: float = 1.5, cap: int = 2) -> str:
-    div, h = e["div"], f"md5(concat('{seed}', coalesce(cast(doc_id AS string), 'null')))"
+    """The mix of ``docs``, a table of :func:`_sized` columns."""
+    div = e["div"]
 
     def seats(votes: str, among: str, blocks: str, keys: str, out: str, of: str = "") -> str:
         """CTEs that give ``blocks`` seats to the rows of ``among`` by highest quotients."""
@@ -55,8 +64,7 @@ def _sql(docs: str, e: dict, block: int, shard: int, seed: str, share: float = 1
     {out}_r AS (SELECT *, row_number() OVER ({part} ORDER BY {tie}) AS place FROM {out}_c)"""
 
     return rf"""
-WITH d AS (
-  SELECT doc_id, source, cast({e["size"]} AS bigint) AS size, {h} AS h FROM {docs}),
+WITH d AS (SELECT doc_id, source, size, h FROM {docs}),
 s AS (SELECT source, cast(sum(size) AS bigint) AS source_size FROM d GROUP BY source),
 w AS (
   SELECT *, {cap} * source_size AS most, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight FROM s),
@@ -75,9 +83,15 @@ g AS (
   SELECT source, source_size, target, greatest(1, source_size {div} {shard}) AS shards, lo + count(CASE WHEN place <= blocks - lo_all THEN 1 END) AS seats
   FROM a_r GROUP BY source, source_size, target, lo),
 ds AS (
-  SELECT d.*, g.source_size, g.target, {e["num"].format("h")} % g.shards AS shard, g.seats FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
-sh AS (SELECT source, shard, seats, cast(sum(size) AS bigint) AS shard_size FROM ds GROUP BY source, shard, seats),
-{seats("cast(shard_size AS double)", "sh", "seats", "shard", "b", "source")},
+  SELECT d.*, g.source_size, g.target, {e["num"].format("h")} % g.shards AS shard, g.shards, g.seats FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+sh AS (
+  SELECT source, shard, shard % greatest(1, cast(ceil(sqrt(shards)) AS bigint)) AS part, seats, cast(sum(size) AS bigint) AS shard_size
+  FROM ds GROUP BY source, shard, shards, seats),
+pt AS (SELECT source, part, seats, cast(sum(shard_size) AS bigint) AS part_size FROM sh GROUP BY source, part, seats),
+{seats("cast(part_size AS double)", "pt", "seats", "part", "e", "source")},
+ps AS (SELECT source, part, lo + count(CASE WHEN place <= seats - lo_all THEN 1 END) AS seats FROM e_r GROUP BY source, part, lo),
+sp AS (SELECT sh.source, sh.part, sh.shard, sh.shard_size, ps.seats FROM sh JOIN ps ON sh.source IS NOT DISTINCT FROM ps.source AND sh.part = ps.part),
+{seats("cast(shard_size AS double)", "sp", "seats", "shard", "b", "source, part")},
 o AS (
   SELECT source, shard, shard_size, greatest(1, (shard_size + {block - 1}) {div} {block}) AS n_blocks, lo + count(CASE WHEN place <= seats - lo_all THEN 1 END) AS quota
   FROM b_r GROUP BY source, shard, shard_size, lo),
@@ -100,8 +114,9 @@ FROM y"""
 
 def mix_sources(docs: DataFrame, *, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: str = "mix") -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken."""
-    text = _sql("{docs}", _SPARK, block_words, shard_words, seed)
-    return docs.sparkSession.sql(text, docs=docs.select("doc_id", "source", "text"))
+    spark = docs.sparkSession
+    sized = cut(spark.sql(f"SELECT {_sized(_SPARK, seed)} FROM {{docs}}", docs=docs.select("doc_id", "source", "text")))
+    return spark.sql(_sql("{docs}", _SPARK, block_words, shard_words, seed), docs=sized)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,4 +124,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-ORACLE = _sql("documents", _DUCK, BLOCK_WORDS, SHARD_WORDS, "mix")
+ORACLE = _sql(f"(SELECT {_sized(_DUCK, 'mix')} FROM documents)", _DUCK, BLOCK_WORDS, SHARD_WORDS, "mix")

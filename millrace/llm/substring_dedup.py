@@ -17,8 +17,8 @@ smallest doc_id travel on, so a passage found everywhere costs one entry a chunk
 Null and empty texts have no words; the hash is then that of the empty string. A
 null doc_id counts as larger than any other. Rows that repeat a doc_id count as
 one document, so they remove nothing from each other. Further columns are
-ignored; an empty table gives an empty result. ``docs`` is read three times; a
-plan whose rows may come in another order (one with a shuffle) is written out first.
+ignored; an empty table gives an empty result. ``docs`` is read three times; any
+plan but columns and filters of files is written out first, so that the readings agree.
 """
 
 from __future__ import annotations
@@ -200,10 +200,18 @@ def _apply(texts: pa.Table, repeats: pa.Table) -> pa.Table:
     return pa.table({n: pa.array([x[k] for x in out], kind) for k, (n, kind) in enumerate(zip(names, kinds, strict=True))})
 
 
+def _stable(docs: DataFrame) -> bool:
+    """Does every reading give the same rows in the same partitions? Only plain columns and filters of files are known to."""
+    plan = docs._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter") and plan.deterministic():
+        plan = plan.child()
+    return plan.nodeName() == "LogicalRelation"
+
+
 def substring_dedup(docs: DataFrame, *, tree_suffixes: int = TREE_SUFFIXES) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 and the removed spans of words."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    if "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
+    if not _stable(docs):
         docs = cut(docs)
     counted = docs.mapInArrow(_counts, "level int, bucket int, n bigint").groupBy("level", "bucket").agg(F.sum("n").alias("n")).collect()
     heavy, total = np.zeros((len(LEVELS), BUCKETS), bool), 0

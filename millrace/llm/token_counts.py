@@ -5,8 +5,8 @@ identity normalizer). Spaces become word marks and one mark is put in front of
 every text that isn't empty. No piece has a mark after another character, so
 marks begin pre-tokens, and a line break that no piece contains is a token alone.
 
-The pre-tokens of a chunk that are not yet known are held as one ragged array of
-symbols. Every round finds each sequence's lowest-rank pair and merges it at all
+The pre-tokens of a chunk that are not yet known fall into parts where no piece can
+reach across two characters, and are held as one ragged array of symbols. Every round finds each sequence's lowest-rank pair and merges it at all
 its places at once, from the left without overlap, in all sequences. Where a
 merge would make a new pair of no higher rank beside it, that sequence merges
 its leftmost place alone in this round, as a queue of single merges would. What
@@ -57,6 +57,9 @@ class Vocabulary:
             for k in range(1, len(piece)):
                 if (left := pieces.get(piece[:k])) is not None and (right := pieces.get(piece[k:])) is not None:
                     pairs[left * size + right] = i
+        # which characters stand beside each other in a piece, and in threes: elsewhere no merge can cross
+        self.twos = self._joined({p for p in pieces if len(p) == 2}, 2)
+        self.threes = self._joined(set(pieces), 3)
         self.keys = np.array(sorted(pairs), np.int64)
         self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
         self.ranks = rank[self.merged]
@@ -64,6 +67,32 @@ class Vocabulary:
         self.pattern = re.compile(f" *[^ {alone}]+| +|\n" if alone else " *[^ ]+| +")
         self.known: dict[str, int] = {}
 
+    @staticmethod
+    def _joined(pieces: set[str], size: int) -> np.ndarray:
+        """Sorted codes of all runs of ``size`` characters inside pieces."""
+        runs = {p[k : k + size] for p in pieces for k in range(len(p) - size + 1)}
+        return np.array(sorted(sum(ord(c) << 21 * k for k, c in enumerate(run)) for run in runs), np.int64)
+
+    @staticmethod
+    def _among(codes: np.ndarray, known: np.ndarray) -> np.ndarray:
+        if not len(known):
+            return np.zeros(len(codes), bool)
+        return known[np.minimum(np.searchsorted(known, codes), len(known) - 1)] == codes
+
+    def _parts(self, points: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Number of the part of each character: tokens fall apart where no piece reaches across.
+
+        A piece across two characters is these two, or holds them with the one before or after.
+        """
+        two = points[:-1] | points[1:] << 21
+        three = self._among(two[:-1] | points[2:] << 42, self.threes) if len(two) else np.zeros(0, bool)
+        across = self._among(two, self.twos)
+        across[:-1] |= three
+        across[1:] |= three
+        starts = np.ones(len(points), bool)
+        starts[1:] = ~across | (token[1:] != token[:-1])
+        return np.cumsum(starts) - 1
+
     def pair(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged symbol of adjacent symbols; NONE where they don't merge."""
         key = np.where((left < 0) | (right < 0), -1, left.astype(np.int64) * self.size + right)
@@ -74,10 +103,12 @@ class Vocabulary:
     def merge(self, tokens: list[str]) -> np.ndarray:
         """Number of tokens of each pre-token."""
         points = np.frombuffer("".join(tokens).encode("utf-32-le"), np.uint32).astype(np.int64)
-        seq = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+        token = np.repeat(np.arange(len(tokens)), [len(t) for t in tokens])
+        seq = self._parts(points, token)
+        owner = token[np.flatnonzero(np.diff(seq, prepend=-1))]
         sym = self.symbol[points]
         width = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
-        counts = np.zeros(len(tokens), np.int64)
+        counts = np.zeros(len(owner), np.int64)
         np.add.at(counts, seq[sym < 0], width[sym < 0])
         while len(sym):
             rank, to = np.full(len(sym), NONE, np.int32), np.full(len(sym), -1, np.int32)
@@ -127,7 +158,7 @@ class Vocabulary:
                 chosen = np.where(careful[seq], leftmost, chosen)
                 after, kept = self._apply(sym, to, chosen)
             sym, seq = after, seq[kept]
-        return counts
+        return np.bincount(owner, counts, len(tokens)).astype(np.int64)
 
     @staticmethod
     def _apply(sym: np.ndarray, to: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

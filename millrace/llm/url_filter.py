@@ -21,6 +21,7 @@ ignored; empty tables give an empty result, an empty list allows everything.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,14 +70,17 @@ class Cascade:
         """Those of ``keys`` (key, distinct, of the universe) that are listed, whatever the size of the levels."""
         if self.constant:
             return keys.where(self.has(F.col("key")))
-        rest, out = keys, keys.where("false")
-        for level in self.levels:
-            passed = level.passing(rest)
-            if level.number % 2:
-                # those that fail an odd level are listed
-                out = out.unionAll(rest.join(passed, "key", "left_anti"))
-            rest = passed
-        return out.unionAll(rest) if len(self.levels) % 2 else out
+        with Scratch() as scratch:
+            rest, found = keys, []
+            for level in self.levels:
+                passed = scratch.cut(level.passing(rest))
+                if level.number % 2:
+                    # those that fail an odd level are listed
+                    found.append(scratch.cut(rest.join(passed, "key", "left_anti")))
+                rest = passed
+            if len(self.levels) % 2:
+                found.append(rest)
+            return cut(reduce(DataFrame.unionAll, found or [keys.where("false")]))
 
 
 class Level:

@@ -255,6 +255,21 @@ def test_token_counts(awkward, nothing):
     assert token_counts.Vocabulary(path).count(texts) == [len(x) for x in model.encode(texts)]
 
 
+def test_long_runs_without_spaces():
+    import time
+
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model, own = sentencepiece.SentencePieceProcessor(model_file=path), token_counts.Vocabulary(path)
+    rng = np.random.default_rng(5)
+    runs = ["".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), 40_000)), "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 40_000)), "ab" * 20_000, "=" * 40_000]
+    began = time.time()
+    assert own.count(runs) == [len(x) for x in model.encode(runs)]
+    assert time.time() - began < 30
+
+
 # --- substring dedup
 
 
@@ -283,6 +298,14 @@ def test_substrings(spark, awkward, nothing, tree_suffixes):
     assert substring_dedup.substring_dedup(nothing).count() == 0
 
 
+def test_stable_plans(spark, tmp_path):
+    spark.range(100).selectExpr("id AS doc_id", "cast(id AS string) AS text").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    assert substring_dedup._stable(docs) and substring_dedup._stable(docs.where("doc_id > 3").select("doc_id", F.upper("text").alias("text")))
+    for other in (docs.sample(0.5), docs.unionAll(docs), docs.coalesce(1), docs.repartition(3), docs.where(F.rand() < 0.5), docs.limit(5), docs.orderBy("text")):
+        assert not substring_dedup._stable(other)
+
+
 # --- source mix
 
 
