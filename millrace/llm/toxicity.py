@@ -1,32 +1,36 @@
 """Toxicity scores of a bidirectional gated recurrent network.
 
 Words are runs of letters, lower-cased in ASCII. A word's input vector has a word
-part (how much its presence speaks for the label) and character parts (the same
-of its 4-byte pieces, highest and mean, and of its first 3, 4 and 5 bytes). These
-weights come from one fold of the labelled rows, the network is trained on another,
+part: how much its presence speaks for the label, and a vector of signs from its
+hash; and a character part: the same of its 4-byte pieces (highest and mean of the
+first, mean of the second) and of its first 3, 4 and 5 bytes. What speaks for the label
+is counted in one fold of the labelled rows, the network is trained on another,
 on windows: of a toxic text the one that scores highest, of others some
-high-scoring and some random ones, chosen anew in each of a few rounds. A text's
-score is that of its highest window among all overlapping windows of
-:data:`STEPS` words, scaled so that 0.7 is the best cut between the labels of the rows learned from.
+high-scoring and some random ones, chosen anew in each of a few rounds among
+:data:`POOL` of each text. A text's score is that of its highest window among windows of
+:data:`STEPS` words at every :data:`STRIDE`-th word, scaled so that 0.7 is the best cut
+between the labels of the rows learned from.
 
 At most ``sample`` rows of each label are learned from, taken by a seeded hash of
-doc_id. Null and empty texts, and those without a letter, score 0. Where a label
-is missing, every score is 0. Each row is scored by itself; further columns are ignored.
+doc_id. Their texts stay with the executors: the driver gets counts by place of a
+table of fixed size, the inputs of POOL windows a text, and one score a text. Null and
+empty texts, and those without a letter, score 0. Where a label is missing, every score
+is 0. Each row is scored by itself; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.common import Scratch
 from millrace.llm.gru import BiGru
 from millrace.llm.ragged import BYTE, Texts, chunks, mix, rolling
 
-STEPS, STRIDE = 32, 16
-TABLE = 1 << 18
+STEPS, STRIDE, POOL = 32, 8, 12
+TABLE, SIGNS = 1 << 18, 8
 CUT = 0.7
 BETWEEN = np.ones(256, bool)
 BETWEEN[65:91] = BETWEEN[97:123] = BETWEEN[128:] = False
@@ -38,6 +42,11 @@ def _slots(h: np.ndarray, kind: int) -> np.ndarray:
     return (mix(h + np.uint64(kind * 0x9E3779B97F4A7C15 & (2**64 - 1))) & np.uint64(TABLE - 1)).astype(np.int64)
 
 
+def _signs(h: np.ndarray) -> np.ndarray:
+    """SIGNS numbers of -1/16 or 1/16 from each hash: small beside the log odds, so that few rows are enough to learn from."""
+    return ((mix(h)[:, None] >> np.arange(SIGNS, dtype=np.uint64)) & np.uint64(1)).astype(np.float32) / 8 - np.float32(1 / 16)
+
+
 def _letters(t: Texts) -> Texts:
     return Texts(LOWER[t.data], t.bounds, t.first).split(BETWEEN)
 
@@ -46,14 +55,16 @@ def slots(t: Texts) -> dict[str, np.ndarray]:
     """Table places of each word's whole, first bytes and pieces (with ``piece_at`` per word)."""
     coded = BYTE[t.data]
     lengths = t.ends - t.starts
-    out = {"word": _slots(rolling(coded, t.starts, t.ends), 1)}
+    whole = rolling(coded, t.starts, t.ends)
+    out = {"word": _slots(whole, 1), "word_signs": _signs(whole)}
     for k in (3, 4, 5):
         out[f"head{k}"] = _slots(rolling(coded, t.starts, np.minimum(t.starts + k, t.ends)), k)
     n_pieces = np.maximum(lengths - 3, 1)
     rows = np.repeat(np.arange(len(lengths)), n_pieces)
     piece_at = np.cumsum(n_pieces) - n_pieces
     begin = t.starts[rows] + np.arange(len(rows)) - piece_at[rows]
-    out["piece"] = _slots(rolling(coded, begin, np.minimum(begin + 4, t.ends[rows])), 9)
+    pieces = rolling(coded, begin, np.minimum(begin + 4, t.ends[rows]))
+    out["piece"], out["piece_signs"] = _slots(pieces, 9), _signs(pieces)
     out["piece_at"], out["piece_rows"] = piece_at, rows
     return out
 
@@ -61,39 +72,50 @@ def slots(t: Texts) -> dict[str, np.ndarray]:
 def inputs(s: dict[str, np.ndarray], tables: dict[str, np.ndarray]) -> np.ndarray:
     """Input vector of each word."""
     if not len(s["word"]):
-        return np.zeros((0, 6), np.float32)
+        return np.zeros((0, 6 + 2 * SIGNS), np.float32)
     piece = tables["piece"][s["piece"]]
     sizes = np.diff(np.append(s["piece_at"], len(piece)))
     return np.column_stack([
         tables["word"][s["word"]], np.maximum.reduceat(piece, s["piece_at"]), np.add.reduceat(piece, s["piece_at"]) / sizes,
-        *(tables[f"head{k}"][s[f"head{k}"]] for k in (3, 4, 5)),
+        *(tables[f"head{k}"][s[f"head{k}"]] for k in (3, 4, 5)), s["word_signs"], np.add.reduceat(s["piece_signs"], s["piece_at"], axis=0) / sizes[:, None],
     ]).astype(np.float32)
 
 
 KINDS = ("word", "head3", "head4", "head5", "piece")
 
 
-class Weights:
-    """For each kind of table: log odds, by texts, of the label where a place occurs. Texts come in chunks."""
-
-    def __init__(self, prior: float = 8.0) -> None:
-        self.prior, self.texts = prior, np.zeros(2, np.int64)
-        self.seen = {kind: np.zeros((2, TABLE), np.int64) for kind in KINDS}
-
-    def add(self, t: Texts, s: dict[str, np.ndarray], toxic: np.ndarray) -> None:
-        rows = np.repeat(np.arange(t.rows), t.n_words)
-        self.texts += np.bincount(toxic, minlength=2)
-        for kind in KINDS:
-            own = rows[s["piece_rows"]] if kind == "piece" else rows
-            seen = np.unique(own * TABLE + s[kind])
-            text, place = seen // TABLE, seen % TABLE
-            for label in (0, 1):
-                self.seen[kind][label] += np.bincount(place[toxic[text] == label], minlength=TABLE)
-
-    def tables(self) -> dict[str, np.ndarray]:
-        prior = self.prior * self.texts / self.texts.sum()
-        rate = lambda kind, label: (self.seen[kind][label] + prior[label]) / (self.texts[label] + prior[label])
-        return {kind: np.log(rate(kind, 1) / rate(kind, 0)).astype(np.float32) for kind in KINDS}
+def _seen(batches):
+    """How many texts of each label have each place of each table; kind -1 counts the texts."""
+    for batch in batches:
+        toxic = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        for t in chunks(batch.column(1), 1 << 20):
+            label, t = toxic[t.first : t.first + t.rows], _letters(t)
+            s, rows = slots(t), np.repeat(np.arange(t.rows), t.n_words)
+            found = [(np.full(2, -1), np.arange(2), np.zeros(2, np.int64), np.bincount(label, minlength=2))]
+            for kind, name in enumerate(KINDS):
+                own = rows[s["piece_rows"]] if name == "piece" else rows
+                once = np.unique(own * TABLE + s[name])
+                keys, n = np.unique(label[once // TABLE] * TABLE + once % TABLE, return_counts=True)
+                found.append((np.full(len(keys), kind), keys // TABLE, keys % TABLE, n))
+            columns = [np.concatenate(c).astype(np.int64) for c in zip(*found, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["kind", "label", "place", "n"])
+
+
+def _weights(rows: DataFrame, prior: float = 8.0) -> dict[str, np.ndarray] | None:
+    """For each kind of table: log odds, by texts, of the label where a place occurs; None where a label is missing."""
+    counted = rows.select(F.col("toxic").cast("bigint"), "text").mapInArrow(_seen, "kind bigint, label bigint, place bigint, n bigint")
+    got = counted.groupBy("kind", "label", "place").agg(F.sum("n").alias("n")).toPandas()  # 2 * (1 + TABLE * kinds) rows at most
+    texts, seen = np.zeros(2), {kind: np.zeros((2, TABLE)) for kind in KINDS}
+    for kind, part in got.groupby("kind"):
+        if kind < 0:
+            texts[part["label"]] = part["n"]
+        else:
+            seen[KINDS[kind]][part["label"], part["place"]] = part["n"]
+    if not texts.all():
+        return None
+    share = prior * texts / texts.sum()
+    rate = lambda kind, label: (seen[kind][label] + share[label]) / (texts[label] + share[label])
+    return {kind: np.log(rate(kind, 1) / rate(kind, 0)).astype(np.float32) for kind in KINDS}
 
 
 def windows(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,6 +127,34 @@ def windows(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return t.at[rows] + first, np.minimum(n[rows] - first, STEPS), rows
 
 
+def _pools(shared):
+    """Of each text: the inputs of half of POOL windows that score highest by their weights, and of as many others, by a seeded draw."""
+
+    def run(batches):
+        for batch in batches:
+            row, toxic = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for t in chunks(batch.column(2), 1 << 19):
+                number, label, t = row[t.first : t.first + t.rows], toxic[t.first : t.first + t.rows], _letters(t)
+                x = np.vstack([inputs(slots(t), shared.value), np.zeros((STEPS, 6 + 2 * SIGNS), np.float32)])
+                first, lengths, rows = windows(t)
+                total = np.concatenate([[0.0], np.cumsum(np.maximum(x[:, :2], 0).sum(1))])
+                score = total[first + lengths] - total[first]
+                draw = mix(number[rows].astype(np.int64).view(np.uint64) + first.astype(np.uint64) - t.at[rows].astype(np.uint64) + np.uint64(1))
+                chosen = np.zeros(len(rows), bool)
+                for key in (-score, draw.astype(np.float64)):
+                    order = np.lexsort((key, chosen, rows))
+                    place = np.arange(len(rows)) - np.searchsorted(rows[order], rows[order])
+                    chosen[order[place < POOL // 2]] = True
+                at = np.flatnonzero(chosen)
+                held = x[first[at, None] + np.arange(STEPS)] * (np.arange(STEPS) < lengths[at, None])[:, :, None]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(number[rows[at]]), pa.array(label[rows[at]].astype(np.int32)), pa.array(first[at] - t.at[rows[at]]), pa.array(lengths[at]), pa.array(score[at]), pa.array([w.tobytes() for w in held.astype(np.float32)], pa.binary())],
+                    ["number", "toxic", "first", "length", "score", "x"],
+                )
+
+    return run
+
+
 class Model:
     """Tables, network and scale; without a network every score is 0."""
 
@@ -136,59 +186,61 @@ class Model:
         best[t.n_words == 0] = -np.inf
         return best
 
+    def logits(self, column: pa.Array) -> np.ndarray:
+        return np.concatenate([np.zeros(0), *(self.text_logits(_letters(t)) for t in chunks(column, 1 << 19))])
+
     def scores(self, column: pa.Array) -> np.ndarray:
         if self.net is None:
             return np.zeros(len(column))
-        found = [np.zeros(0), *(self.text_logits(_letters(t)) for t in chunks(column, 1 << 19))]
-        z = self.slope * (np.concatenate(found) - self.middle) + np.log(CUT / (1 - CUT))
+        z = self.slope * (self.logits(column) - self.middle) + np.log(CUT / (1 - CUT))
         return np.where(np.isneginf(z), 0.0, 1 / (1 + np.exp(-np.clip(z, -60, 60))))
 
-    @classmethod
-    def fit(cls, texts: list[str], toxic: np.ndarray, fold: np.ndarray, rounds: int = 4, seed: int = 7) -> Model:
-        model = cls()
-        if not all((toxic & (fold == f)).any() and (~toxic & (fold == f)).any() for f in (0, 1)):
-            return model
+    def train(self, x: np.ndarray, lengths: np.ndarray, row: np.ndarray, y: np.ndarray, score: np.ndarray, rounds: int = 4, seed: int = 7) -> None:
+        """Fit the network to windows ``x`` of rows with labels ``y``; the windows of a row stand together, ``row`` counts from 0."""
         rng = np.random.default_rng(seed)
-
-        def parts(of: int):
-            own, label = [x for x, f in zip(texts, fold, strict=True) if f == of], toxic[fold == of].astype(np.int64)
-            for t in chunks(pa.array(own, pa.large_string()), 1 << 20):
-                yield _letters(t), label[t.first : t.first + t.rows]
-
-        counted = Weights()
-        for t, label in parts(0):
-            counted.add(t, slots(t), label)
-        model.tables = counted.tables()
-        held = [(inputs(slots(t), model.tables), *windows(t), t.rows) for t, _ in parts(1)]
-        y = toxic[fold == 1]
-        at, row_at, columns = 0, 0, []
-        for x, first, lengths, rows, n in held:
-            columns.append((first + at, lengths, rows + row_at))
-            at, row_at = at + len(x), row_at + n
-        first, lengths, rows = (np.concatenate(c) for c in zip(*columns, strict=True))
-        pad = np.vstack([*(h[0] for h in held), np.zeros((STEPS, held[0][0].shape[1]), np.float32)])
-        total = np.concatenate([[0.0], np.cumsum(np.maximum(pad[:, :2], 0).sum(1))])
-        score = total[first + lengths] - total[first]
-        net = model.net = BiGru(pad.shape[1], seed=seed)
+        self.net = BiGru(x.shape[2], seed=seed)
+        n_rows, at = len(np.unique(row)), np.arange(STEPS)
+        flat, first = x.reshape(-1, x.shape[2]), np.arange(len(x)) * STEPS
         for _ in range(rounds):
-            order = np.lexsort((-score, rows))
-            place = np.arange(len(rows)) - np.searchsorted(rows[order], rows[order])
-            own = y[rows[order]]
-            chosen = np.concatenate([order[own & (place == 0)], order[~own & (place < 2)], rng.permutation(order[~own])[: 2 * len(y)]])
-            label = y[rows[chosen]].astype(np.float32)
+            order = np.lexsort((-score, row))
+            place = np.arange(len(row)) - np.searchsorted(row[order], row[order])
+            own = y[order]
+            chosen = np.concatenate([order[own & (place == 0)], order[~own & (place < 2)], rng.permutation(order[~own])[: 2 * n_rows]])
+            label = y[chosen].astype(np.float32)
             importance = np.where(label == 1, 0.5 * (1 - label).sum() / max(label.sum(), 1), 1).astype(np.float32)
-            batch_x = pad[first[chosen, None] + np.arange(STEPS)]
-            net.train(batch_x, lengths[chosen], label, importance, epochs=3, seed=seed)
-            score = np.concatenate([model.window_logits(x, f, n) for x, f, n, _, _ in held])
-        best = np.full(len(y), -np.inf)
-        np.maximum.at(best, rows, score)
-        order = np.argsort(-best)
+            self.net.train(flat[first[chosen, None] + at], lengths[chosen], label, importance, epochs=2, batch=64, seed=seed)
+            score = self.window_logits(flat, first, lengths)
+
+    def scale(self, best: np.ndarray, y: np.ndarray) -> None:
+        """Put the cut where it best tells the labels of these texts apart."""
+        order = np.argsort(-best, kind="stable")
         hits = np.cumsum(y[order])
         f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
         k = int(np.argmax(f1))
-        model.middle = float((best[order[k]] + best[order[min(k + 1, len(y) - 1)]]) / 2)
-        model.slope = 1.0
+        self.middle = float((best[order[k]] + best[order[min(k + 1, len(y) - 1)]]) / 2)
+
+
+def fit(rows: DataFrame) -> Model:
+    """A model of labelled rows (number, text, toxic, fold)."""
+    model, context = Model(), rows.sparkSession.sparkContext
+    tables = _weights(rows.where("fold = 0"))
+    if tables is None:
+        return model
+    shared = context.broadcast(tables)
+    other = rows.where("fold = 1")
+    found = other.select("number", "toxic", "text").mapInArrow(_pools(shared), "number bigint, toxic int, first bigint, length bigint, score double, x binary")
+    got = found.toPandas().sort_values(["number", "first"], kind="stable")  # POOL windows a row at most
+    y = got["toxic"].to_numpy() == 1
+    if not len(got) or y.all() or not y.any():
         return model
+    model.tables = tables
+    x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(len(got), STEPS, -1)
+    model.train(x, got["length"].to_numpy(), np.unique(got["number"], return_inverse=True)[1], y, got["score"].to_numpy())
+    ready = context.broadcast(model)
+    logit = F.arrow_udf(lambda texts: pa.array(ready.value.logits(texts), pa.float64()), "double")
+    best = other.select("number", "toxic", logit("text").alias("best")).toPandas().sort_values(["number", "best"])
+    model.scale(np.maximum(best["best"].to_numpy(), -1e9), best["toxic"].to_numpy() == 1)
+    return model
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, sample: int = 2000) -> DataFrame:
@@ -200,10 +252,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, sample: int = 2000) -> DataF
         part = learn.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         picked = part if picked is None else picked.unionAll(part)
     # 2 * sample rows at most
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic", held.alias("rest"))
-    got: pd.DataFrame = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(2 * sample).toPandas()
-    fold = (got["rest"].to_numpy() == 2).astype(int)
-    model = Model.fit(got["text"].fillna("").tolist(), got["toxic"].to_numpy() == 1, fold)
+    number = F.xxhash64("doc_id", "text").alias("number")
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(number, "text", F.col("toxic").cast("int").alias("toxic"), (held == 2).cast("int").alias("fold"))
+    with Scratch() as scratch:
+        model = fit(scratch.cut(rows.orderBy("number", "toxic").limit(2 * sample)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     score = F.arrow_udf(lambda texts: pa.array(shared.value.scores(texts), pa.float64()), "double")
     scored = docs.select("doc_id", (held == 1).alias("held_out"), score("text").alias("score"))
