@@ -254,3 +254,15 @@ def test_frechet_distance_of_known_sets(spark):
     got = {r.g: r.distance for r in E.frechet(moments, base, "g").collect()}
     want = {"a": 0.0, "b": 25.0, "c": np.trace(np.cov(x.T)) + (x.mean(0) ** 2).sum()}
     assert all(abs(got[g] - want[g]) < 1e-6 for g in want)
+
+
+def test_mauve_distance_tells_sets_apart(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    near, far = rng.standard_normal((120, 4)), rng.standard_normal((120, 4)) + 50
+    half = np.vstack([near[:60], far[:60]])
+    rows = [(g, v.tolist()) for g, x in (("far", far), ("half", half), ("same", near)) for v in x]
+    vectors = spark.createDataFrame(rows, "model string, embedding array<double>")
+    got = {r.model: r.mad for r in E.mauve_distance(vectors, vectors.where("model = 'same'"), "model").collect()}
+    assert abs(got["same"]) < 0.05 < got["half"] < got["far"]
