@@ -8,7 +8,7 @@ lines that agree in all minima of a band are candidates: all pairs of a bucket o
 and the largest one (by hash); then each line outside the bucket's largest component
 so far meets some lines drawn from that; then every such line meets
 all lines of other components. Buckets are dealt over parts of about :data:`PART_LINES`
-lines, so that none lands in one task. Bitmaps of the shingles rule out pairs that can't
+lines, so that none lands in one task. A bitmap of the shingles rules out pairs that can't
 be similar as they meet, never others. The rest is verified by exact Jaccard similarity of the whole
 shingle sets, at least ``similarity``, and connected components of the verified pairs
 are found by star contractions, the same as those of all pairs of the buckets. A pair
@@ -37,9 +37,7 @@ PART_LINES = 512
 DRAWS, DRAWN = 1, 8
 SIMILARITY, PAIRS_UP_TO = 0.8, 4
 BROADCAST_LINES = 1 << 20
-K, STEP = 5, 16
-#: Words of 64 bits in the map of every line, and in that of a line in a large bucket that stays open.
-WORDS, WIDE = 16, 32
+K, STEP, WORDS = 5, 16, 16
 #: A line in pieces that hold STEP shingles each, so that most of the work is done by columns and not by rows.
 PIECE = rf"(?s)(?=(.{{{K},{K + STEP - 1}}}|^.{{1,{K - 1}}}(?!.))).{{1,{STEP}}}"
 LAST = (1 << 63) - 1
@@ -109,19 +107,6 @@ def _may_match(x: str, y: str, similarity: float) -> Column:
     return apart <= (F.col(f"{x}.t") + F.col(f"{y}.t")) * F.lit((1 - similarity) / (1 + similarity) + 1e-9)
 
 
-def _wide_maps(lines: DataFrame) -> DataFrame:
-    """(lid, wide): maps of WIDE words as arrays, made from rows, as so many bits of each piece would be too long a plan."""
-    rows = _hashed(lines).select("lid", F.explode(F.array(*(f"h0_{k}" for k in range(STEP)))).alias("h"))
-    placed = rows.select("lid", F.expr(f"shiftrightunsigned(h, 6) & {WIDE - 1}").alias("word"), F.expr("shiftleft(1L, cast(h & 63 AS int))").alias("bit"))
-    return placed.groupBy("lid").agg(*(F.expr(f"bit_or(if(word = {w}, bit, 0L)) AS w{w}") for w in range(WIDE))).select("lid", F.array(*(f"w{w}" for w in range(WIDE))).alias("wide"))
-
-
-def _may_match_wide(x: str, y: str, similarity: float) -> Column:
-    """The same as :func:`_may_match` by wide maps, which fewer other lines pass."""
-    apart = F.aggregate(F.zip_with(f"wide_{x}", f"wide_{y}", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, k: n + k)
-    return apart <= (F.col(f"map_{x}.t") + F.col(f"map_{y}.t")) * F.lit((1 - similarity) / (1 + similarity) + 1e-9)
-
-
 def _signatures(docs: DataFrame) -> DataFrame:
     """(lid, doc, n, bands, map) of every distinct line: its smallest doc, its occurrences, its band keys
     and what :func:`_may_match` reads. Lines are settled before they are cut into pieces."""
@@ -187,26 +172,15 @@ def _drawn(open_: DataFrame, similarity: float, number: int) -> DataFrame:
     return _pair(_met(chosen, _as(open_.where("rest"), "y")), similarity).distinct()
 
 
-def _left_over(scratch: Scratch, docs: DataFrame, open_: DataFrame, similarity: float) -> DataFrame:
+def _left_over(open_: DataFrame, similarity: float) -> DataFrame:
     """Distinct pairs (a, b), a > b, of open buckets.
 
     Every line outside its bucket's largest component meets every line of another component. Pairs
     inside one component can't change the result, so this is as good as all pairs of the bucket.
     """
-    wide = _wide_maps(_texts(scratch, docs, open_.select("lid").distinct()))
-    mapped = scratch.cut(open_.join(scratch.cut(wide), "lid"))
-    named = lambda name: mapped.select("band", "salts", *(F.col(c).alias(f"{c}_{name}") for c in ("map", "wide", "root", "rest")), F.col("lid").alias(name))
-    near = _may_match("map_x", "map_y", similarity) & _may_match_wide("x", "y", similarity)
-    met = _met(named("x").where("rest_x"), named("y")).where("root_x <> root_y AND (NOT rest_y OR x > y)").where(near)
-    return met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-
-
-def _texts(scratch: Scratch, docs: DataFrame, lids: DataFrame) -> DataFrame:
-    """(lid, line) of these lines."""
-    lids = scratch.cut(lids)
-    few = lids.count() <= BROADCAST_LINES
-    found = _lines(docs).select("lid", "line").join(F.broadcast(lids) if few else lids, "lid", "left_semi")
-    return scratch.cut(found.groupBy("lid").agg(F.first("line").alias("line")))
+    named = lambda name: open_.select("band", "salts", *(F.col(c).alias(f"{c}_{name}") for c in ("map", "root", "rest")), F.col("lid").alias(name))
+    met = _met(named("x").where("rest_x"), named("y")).where("root_x <> root_y AND (NOT rest_y OR x > y)")
+    return _pair(met, similarity).distinct()
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -216,7 +190,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
 
 
 def _similar(scratch: Scratch, docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    lines = _texts(scratch, docs, pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct())
+    ends = scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct())
+    few = ends.count() <= BROADCAST_LINES
+    texts = _lines(docs).select("lid", "line").join(F.broadcast(ends) if few else ends, "lid", "left_semi")
+    lines = scratch.cut(texts.groupBy("lid").agg(F.first("line").alias("line")))
     beside = lambda rows, c: rows.join(lines.select(F.col("lid").alias(c), F.col("line").alias(f"line_{c}")), c)
     both = beside(beside(pairs, "a"), "b")
     sets = F.array(F.struct(_shingles("line_a").alias("a"), _shingles("line_b").alias("b")))
@@ -233,7 +210,7 @@ def _links(scratch: Scratch, docs: DataFrame, shared: DataFrame, similarity: flo
     for number in range(DRAWS + 1):
         with Scratch() as own:
             open_ = _open(own, shared, own.hold(components(links)), pairs_up_to)
-            pairs = own.cut(_drawn(open_, similarity, number) if number < DRAWS else _left_over(own, docs, open_, similarity))
+            pairs = own.cut(_drawn(open_, similarity, number) if number < DRAWS else _left_over(open_, similarity))
             if pairs.isEmpty():
                 continue
             links = links.unionAll(scratch.hold(_verified(docs, pairs, similarity)))
