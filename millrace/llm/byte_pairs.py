@@ -30,7 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes that are merged directly; characters of one run of the pattern; pre-tokens remembered by a worker, and their longest.
-LEAF, RUN, REMEMBERED, SHORT = 64, 1 << 18, 200_000, 40
+LEAF, RUN, REMEMBERED, SHORT = 64, 1 << 18, 500_000, 40
+NEVER = 1 << 31
 
 
 class Encoder:
@@ -43,8 +44,8 @@ class Encoder:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
         self.known: dict[str, tuple[int, ...]] = {}
+        self.same = lru_cache(10_000)(lambda data: tuple(self.leaf(data)))
         self.settled = lru_cache(100_000)(self._settled)
-        self.leaf = lru_cache(10_000)(self._merge)
 
     def _merge(self, data: bytes) -> list[int]:
         """Merge the lowest-ranked pair, leftmost first, until none is left: a queue of pairs over linked parts."""
@@ -65,6 +66,21 @@ class Encoder:
                 heapq.heappush(queue, (r, b, end))
         return [self.ranks[data[i : after[i]]] for i in range(n) if alive[i]]
 
+    def leaf(self, data: bytes) -> list[int]:
+        """As :meth:`_merge`, for few bytes: over a list of parts."""
+        rank = self.ranks.get
+        parts = [data[i : i + 1] for i in range(len(data))]
+        found = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+        while found and (lowest := min(found)) < NEVER:
+            i = found.index(lowest)
+            del found[i]
+            parts[i] += parts.pop(i + 1)
+            if i < len(found):
+                found[i] = rank(parts[i] + parts[i + 1], NEVER)
+            if i:
+                found[i - 1] = rank(parts[i - 1] + parts[i], NEVER)
+        return [self.ranks[p] for p in parts]
+
     def _settled(self, left: int, right: int) -> bool:
         return self._merge(self.tokens[left] + self.tokens[right]) == [left, right]
 
@@ -88,7 +104,7 @@ class Encoder:
     def reduce(self, data: bytes) -> list[int]:
         """Encode halves, the first of which is as long as a power of two, and join them."""
         if len(data) <= LEAF:
-            return list(self.leaf(data))
+            return list(self.same(data)) if len(data) == LEAF else self.leaf(data)
         half = 1 << (len(data) - 1).bit_length() - 1
         return self.join(self.reduce(data[:half]), self.reduce(data[half:]))
 
