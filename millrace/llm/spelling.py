@@ -110,7 +110,7 @@ def _nodes(dictionary: DataFrame) -> DataFrame:
     )
     pairs = F.expr("""concat(
         transform(sequence(0, size - 1), i -> struct(fwd[i] AS p, rev[size - 1 - i] AS s, CAST(null AS boolean) AS first)),
-        transform(sequence(0, size - 2), i -> struct(fwd[i] AS p, rev[size - 2 - i] AS s, i = 0 OR letters[i] <> letters[greatest(i - 1, 0)] AS first)))""")
+        transform(filter(sequence(0, size - 1), i -> i < size - 1), i -> struct(fwd[i] AS p, rev[size - 2 - i] AS s, i = 0 OR letters[i] <> letters[greatest(i - 1, 0)] AS first)))""")
     return rows.select("key", F.inline(pairs))
 
 
