@@ -9,7 +9,7 @@ from millrace.operators import events as E
 from millrace.operators import families as M
 from millrace.operators import scoring as S
 from millrace.operators.tables import settle
-from millrace.plans.events_queries import ADHERENCE, CYCLES, HEARD, LOW, PAIRS, PRINTS, SOUND, TELEMETRY, VOICES, _MASKS, registry_tables
+from millrace.plans.events_queries import ADHERENCE, CYCLES, HEARD, LOW, PAIRS, PRINTS, SOUND, TELEMETRY, VOICES, _MASKS, haps, registry_tables
 from millrace.plans.registry import query
 from millrace.plans.text_queries import MASK
 
@@ -24,14 +24,14 @@ BEFORE = "program_id % 10 = 3 AND (program_id % 3 = 0 OR begin_at < 8)"
 ORIGINAL = "CASE WHEN program_id % 10 = 3 THEN concat(' stack(s(', cast(CASE WHEN program_id % 4 = 1 THEN 0 ELSE program_id END AS string), '))') END"
 
 
-def facts(v):
+def facts(v, events=None):
     """One row per program: its run's summaries beside what was asked for. A program without an audible event hasn't run."""
-    haps, programs = v("haps_v"), v("programs_v")
-    prints = settle(E.fingerprints(haps, CYCLES))
+    events, programs = haps(v) if events is None else events, v("programs_v")
+    prints = settle(E.fingerprints(events, CYCLES))
     windows = E.evolution(prints, CYCLES).groupBy("program_id").agg(F.array_sort(F.collect_list("variation")).alias("windows"))
     rows = programs.withColumn("parsed", T.completion("completion")["reason"].isNull()).withColumn("thinking", T.completion("completion")["thinking"])
-    rows = rows.join(E.telemetry(haps, CYCLES), "program_id", "left").join(E.variation(prints, CYCLES), "program_id", "left").join(windows, "program_id", "left")
-    rows = rows.join(E.scale_adherence(haps, programs), "program_id").join(E.pitch_classes(haps), "program_id", "left")
+    rows = rows.join(E.telemetry(events, CYCLES), "program_id", "left").join(E.variation(prints, CYCLES), "program_id", "left").join(windows, "program_id", "left")
+    rows = rows.join(E.scale_adherence(events, programs), "program_id").join(E.pitch_classes(events), "program_id", "left")
     rows = rows.withColumn("roles", F.expr(ROLES_SPARK)).withColumn("category", F.expr(CATEGORY)).withColumn("classes", F.coalesce("classes", F.array().cast("array<struct<pc: int, n: bigint>>")))
     i = F.col("program_id")
     return rows.withColumns({
@@ -44,7 +44,7 @@ _PRINTS16 = PRINTS.replace("cycle < 12", "cycle < 16")
 _WINDOWS = f"""SELECT program_id, list(variation) AS windows FROM (SELECT g.program_id, (coalesce(n, 0) + (coalesce(f, 0) < 8)::int) / 8.0::double AS variation FROM (SELECT program_id, unnest([0, 1]) AS w FROM (SELECT DISTINCT program_id FROM ({_PRINTS16}))) g
   LEFT JOIN (SELECT program_id, cycle // 8 AS w, count(DISTINCT print) AS n, count(*) AS f FROM ({_PRINTS16}) GROUP BY ALL) b USING (program_id, w)) GROUP BY program_id"""
 _VARIATION = f"SELECT program_id, (count(DISTINCT print) + (count(*) < 16)::int) / 16.0::double AS structural_variation FROM ({_PRINTS16}) GROUP BY program_id"
-_CLASSES = f"SELECT program_id, list({{'pc': pc, 'n': n}}) AS classes FROM (SELECT program_id, (round_even(note, 0)::int % 12 + 12) % 12 AS pc, count(*) AS n FROM {HEARD} WHERE note IS NOT NULL GROUP BY ALL) GROUP BY program_id"
+_CLASSES = f"SELECT program_id, list({{'pc': pc, 'n': n}}) AS classes FROM (SELECT program_id, (round_even(note, 0)::int % 12 + 12) % 12 AS pc, count(*) AS n FROM {HEARD} WHERE note IS NOT NULL AND NOT bare GROUP BY ALL) GROUP BY program_id"
 FACTS = f"""SELECT p.program_id, p.cpm, p.key, p.methods, p.completion, t.* EXCLUDE (program_id), w.windows, x.structural_variation, a.adherence, {ROLES_DUCK.replace('program_id', 'p.program_id')} AS roles, {CATEGORY.replace('program_id', 'p.program_id')} AS category,
   p.program_id % 13 <> 0 AND event_count IS NOT NULL AS ran, p.program_id % 9 = 0 AS short_loop, p.program_id % 6 = 1 AS intent_only, p.program_id % 4 = 1 AS key_stated, coalesce(h.classes, []) AS classes, p.cpm * 4 + CASE WHEN p.program_id % 8 = 0 THEN 9.0 ELSE 0.0 END AS bpm, p.program_id % 7 <> 5 AS parsed
   FROM <programs_v> p LEFT JOIN ({TELEMETRY}) t USING (program_id) LEFT JOIN ({_WINDOWS}) w USING (program_id) LEFT JOIN ({_VARIATION}) x USING (program_id) JOIN ({ADHERENCE}) a USING (program_id) LEFT JOIN ({_CLASSES}) h USING (program_id)"""
@@ -111,19 +111,20 @@ def sco5_acceptance(v):
 def contract_rows(v):
     """Facts, contract, present families, voice counts, sections and scale fits of each program.
 
-    The facts, one row a program, are settled: what follows reads them instead of the events.
+    The events' values are read once; the facts, one row a program, are settled too: what follows reads them instead of the events.
     """
+    events = settle(haps(v).drop("value"))
     contracts = v("contracts_v").withColumnRenamed("key", "asked_key")
-    base = settle(facts(v))
+    base = settle(facts(v, events))
     found = settle(M.sound_families(base.select(F.explode("sound_sources").alias("sound")), *registry_tables(v)))
     present = M.present_families(base.select("program_id", "sound_sources", "pitch_lo"), found, LOW)
     named = contracts.where("require IS NOT NULL").select("program_id", F.col("require").alias("family"), F.lit(0).alias("priority"))
     parts = M.voice_counts(base.select("program_id", "sound_sources"), found, named)
     rows = base.join(contracts, "program_id").join(present, "program_id", "left").join(parts, "program_id", "left")
     heard = lambda t: t.select("program_id", F.to_json(F.struct(*(c for c in t.columns if c != "program_id"))).alias("heard_before"))
-    rows = rows.join(heard(E.telemetry(v("haps_v").where(BEFORE), CYCLES)), "program_id", "left").withColumn("original", F.expr(ORIGINAL))
+    rows = rows.join(heard(E.telemetry(events.where(BEFORE), CYCLES)), "program_id", "left").withColumn("original", F.expr(ORIGINAL))
     heard_now = F.to_json(F.struct("event_count", "events_per_cycle", "sound_sources", "pitches", "pitch_lo", "pitch_hi", "syncopation", "gain_min", "gain_max"))
-    return rows.join(E.sections(v("haps_v"), CYCLES), "program_id", "left").withColumn("heard", F.when(F.col("event_count").isNotNull(), heard_now)).withColumn("fit", F.when(F.size("pitches") > 0, E.scale_fit(F.col("pitches"))))
+    return rows.join(E.sections(events, CYCLES), "program_id", "left").withColumn("heard", F.when(F.col("event_count").isNotNull(), heard_now)).withColumn("fit", F.when(F.size("pitches") > 0, E.scale_fit(F.col("pitches"))))
 
 
 def contract_checks(rows):
@@ -144,8 +145,8 @@ def contract_checks(rows):
     return rows.withColumns(honesty | {f"g_{n}": g for n, g in guards.items()})
 
 
-_SECTIONS = f"""SELECT program_id, [{", ".join("{" + f"'onsets': count(*) FILTER (part = {k}), 'sounds': coalesce(list(DISTINCT snd) FILTER (part = {k}), [])" + "}" for k in range(4))}] AS sections
-  FROM (SELECT program_id, least(3, floor(begin_at * 4 / 16))::int AS part, {SOUND} AS snd FROM {HEARD}) GROUP BY program_id"""
+_SECTIONS = f"""SELECT program_id, [{", ".join("{" + f"'onsets': count(*) FILTER (part = {k}), 'sounds': coalesce(list(DISTINCT snd) FILTER (part = {k} AND snd IS NOT NULL), [])" + "}" for k in range(4))}] AS sections
+  FROM (SELECT program_id, least(3, floor(begin_at * 4 / 16))::int AS part, {SOUND} AS snd FROM {HEARD} WHERE begin_at >= 0 AND begin_at < 16) GROUP BY program_id"""
 _FIT = f"SELECT program_id, list_max(list_transform([{_MASKS}], lambda m: len(list_filter(pitches, lambda p: (m >> (p::int % 12)) & 1 = 1)) / len(pitches)::double)) AS fit FROM ({TELEMETRY}) WHERE len(pitches) > 0"
 _PRESENT = f"""SELECT program_id, coalesce(list_sort(list(DISTINCT family) FILTER (family IS NOT NULL)), []) AS families FROM ({TELEMETRY}) LEFT JOIN (SELECT program_id, family FROM (SELECT program_id, unnest(sound_sources) AS sound FROM ({TELEMETRY})) JOIN ({PAIRS}) USING (sound) UNION SELECT program_id, 'bass' AS family FROM ({TELEMETRY}) WHERE pitch_lo <= 48) USING (program_id) GROUP BY program_id"""
 _BEFORE = TELEMETRY.replace("<haps_v>", f"(SELECT * FROM <haps_v> WHERE {BEFORE})")
@@ -201,7 +202,7 @@ def sco7_contract_checks(v):
 
 @query(f"SELECT program_id, ({_BUILD}) AS builds, ({_THIN}) AS thins, ({_BUILD} OR {_THIN} OR {_VARY}) AS contrasts FROM ({_SECTIONS})")
 def joi11_sco8_sections(v):
-    got = E.sections(v("haps_v"), CYCLES)
+    got = E.sections(haps(v), CYCLES)
     shape = lambda s: S.takes_shape(F.col("sections"), F.lit(s))
     return got.select("program_id", shape("build").alias("builds"), shape("thin_out").alias("thins"), shape("contrast").alias("contrasts"))
 

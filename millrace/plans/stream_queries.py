@@ -33,6 +33,39 @@ def str1_journal_ingest(spark, sf_dir):
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
 
 
+def _instant(ts: str):
+    """A time without a zone, read as UTC whatever the session's zone is."""
+    return F.expr(f"CAST(convert_timezone('UTC', current_timezone(), {ts}) AS timestamp)")
+
+
+def _wall_clock(instant: str):
+    return F.expr(f"convert_timezone(current_timezone(), 'UTC', CAST({instant} AS timestamp_ntz))")
+
+
+def _by_time(rows, folder: str, again, parts: int = 4):
+    """Write ``rows`` to ``folder`` in parts by equal ranges of ts, each with those rows of ``again(part)`` beside it; yield after each."""
+    low, high = rows.select(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    part = F.lit(0)
+    for k in range(1, parts if low is not None else 1):
+        part = part + F.when(F.unix_micros("ts") > low + (high - low) * k // parts, 1).otherwise(0)
+    dealt = rows.withColumn("part", part)
+    for k in range(parts):
+        again(dealt, k).drop("part").write.mode("append").parquet(folder)
+        yield k
+
+
+@raw_query("SELECT event_id, user_id AS task_id, event_type AS model_id, ts FROM events")
+def str1_restarted_ingest(spark, sf_dir):
+    """A journal in four parts by time, each run stopped and started again from its checkpoint; a third of a part's rows come again with the next one."""
+    out = scratch(spark)
+    rows = view(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("task_id"), F.col("event_type").alias("model_id"), _instant("ts").alias("ts"))
+    again = lambda dealt, k: dealt.where((F.col("part") == k) | ((F.col("part") == k - 1) & (F.col("event_id") % 3 == 0)))
+    for _ in _by_time(rows, f"{out}/in", again):
+        stream = spark.readStream.schema(rows.schema).parquet(f"{out}/in")
+        _done(J.ingest(stream, f"{out}/rows", f"{out}/state", keys=["event_id"], time="ts", delay="1 hour"))
+    return spark.read.schema(rows.schema).parquet(f"{out}/rows").withColumn("ts", _wall_clock("ts"))
+
+
 @raw_query("SELECT event_type AS model_id, count(*) AS attempts, count(*) FILTER (value > 100) AS accepted, greatest(0, 1500 - count(*) FILTER (value > 100)) AS shortfall FROM events GROUP BY event_type")
 def str2_running_progress(spark, sf_dir):
     out = scratch(spark)
@@ -87,6 +120,25 @@ def str5_rollout_monitor(v):
     return J.rollout_monitor(v("rollouts_v")).withColumn("mean", F.round("mean", 6))
 
 
+@raw_query("""WITH b AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) - min(epoch_us(ts)) AS n FROM events),
+r AS (SELECT *, (epoch_us(ts) > lo + n // 4)::int + (epoch_us(ts) > lo + n * 2 // 4)::int + (epoch_us(ts) > lo + n * 3 // 4)::int AS part, time_bucket(INTERVAL 6 HOUR, ts) AS start FROM <rollouts_v>, b),
+told AS (SELECT *, part = 0 AND ordinal % 5 = 0 AS held_back FROM r), mark AS (SELECT max(ts) FILTER (part < 3 AND NOT held_back) - INTERVAL 1 HOUR AS late, max(ts) - INTERVAL 1 HOUR AS done FROM told)
+SELECT start, component, count(*) AS n, round(avg(total), 12) AS mean FROM told, mark WHERE (NOT held_back OR start + INTERVAL 6 HOUR > late) AND start + INTERVAL 6 HOUR <= done GROUP BY ALL""")
+def str5_monitor_stream(spark, sf_dir):
+    """Rollouts in four parts by time, each a run of its own: a fifth of the first part comes with the last one and is late.
+
+    The windows that the watermark has closed at the end; each is written once.
+    """
+    out = scratch(spark)
+    rows = view(spark, sf_dir, "rollouts_v").select(_instant("ts").alias("ts"), "component", "total", "ordinal")
+    late = (F.col("part") == 0) & (F.col("ordinal") % 5 == 0)
+    again = lambda dealt, k: dealt.where(((F.col("part") == k) & ~late) | (late & F.lit(k == 3)))
+    for _ in _by_time(rows, f"{out}/in", again):
+        stream = spark.readStream.schema(rows.schema).parquet(f"{out}/in")
+        _done(J.monitor(stream, f"{out}/rows", f"{out}/state", size="6 hours"))
+    return spark.read.schema("start timestamp, component string, n bigint, mean double").parquet(f"{out}/rows").select(_wall_clock("start").alias("start"), "component", "n", F.round("mean", 12).alias("mean"))
+
+
 @raw_query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0")
 def src1_strict_records(spark, sf_dir):
     """Orders written as JSON lines, some with an unknown field or a NaN, and read strictly."""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import events as E
 from millrace.operators import validation as V
+from millrace.plans.events_queries import haps
 from millrace.plans.registry import query
 from millrace.plans.views import LICENSES
 
@@ -90,11 +91,11 @@ def fil7_training_gate(v):
     return V.training_gate(rows)
 
 
-@query("""WITH b AS (SELECT program_id, s, count(*) AS n, count(*) FILTER (onset AND gain > 0) AS heard FROM <haps_v> GROUP BY ALL), p AS (SELECT program_id, sum(n)::bigint AS n, sum(heard) AS heard, count(*) FILTER (s NOT IN ('bd', 'gm_cello', 'hh', 'sd')) AS unknown FROM b GROUP BY program_id)
+@query("""WITH b AS (SELECT program_id, s, count(*) AS n, count(*) FILTER (onset AND coalesce(gain, 1.0) > 0) AS heard FROM <haps_v> GROUP BY ALL), p AS (SELECT program_id, sum(n)::bigint AS n, sum(heard) AS heard, count(*) FILTER (s NOT IN ('bd', 'gm_cello', 'hh', 'sd')) AS unknown FROM b GROUP BY program_id)
 SELECT program_id, n, CASE WHEN n > 100 THEN 'event_cap' WHEN heard = 0 THEN 'silent' WHEN unknown > 0 THEN 'unknown_sound' ELSE 'ok' END AS status FROM p""")
 def fil8_run_status(v):
     catalog = v("region").limit(1).select(F.explode(F.array(*map(F.lit, ("bd", "gm_cello", "hh", "sd")))).alias("sound"))
-    return E.run_status(v("haps_v"), F.broadcast(catalog), cap=100)
+    return E.run_status(haps(v), F.broadcast(catalog), cap=100)
 
 
 @query("SELECT vec_id, len(embedding) >= 32 AND len(list_filter(embedding[1:32], lambda x: x <> 0)) > 0 AS passes FROM embeddings")

@@ -24,17 +24,26 @@ _ROWS = {"spark": "(VALUES {0}) AS t({1})", "duck": "(VALUES {0}) AS t({1})"}
 
 def _views(e: str) -> dict[str, str]:
     arr, compact = _ARRAY[e].format, _NO_NULLS[e].format
+    LEFT, RIGHT = "{", "}"
     zero, dbl = "cast(0 AS double)", "cast({0} AS double)".format
     return {
         "requests_v": f"""SELECT doc_id AS id, text AS prompt, source AS family,
             CASE WHEN doc_id % 4 = 3 THEN 'rl' ELSE 'sft' END AS stage, concat('m', cast(doc_id % 5 AS string)) AS author_id,
             CASE WHEN {_BUCKET[e]} < 80 THEN 'train' WHEN {_BUCKET[e]} < 90 THEN 'val' ELSE 'benchmark' END AS split FROM <documents>""",
         "sources_v": f"""SELECT doc_id AS id, source AS family, text AS code, doc_id AS ordinal, lang, CASE doc_id % 12 {_LICENSE} END AS license FROM <documents>""",
-        "haps_v": f"""SELECT event_id, user_id AS program_id, {dbl("(event_id * 7) % 128")} / {dbl(8)} + CASE WHEN event_id % 11 = 0 THEN {dbl("0.1")} ELSE {zero} END AS begin_at,
-            {dbl("(event_id * 7) % 128")} / {dbl(8)} + CASE WHEN event_id % 11 = 0 THEN {dbl("0.1")} ELSE {zero} END + {dbl("1 + event_id % 4")} / {dbl(8)} AS end_at,
-            event_type <> 'error' AS onset, CASE WHEN event_id % 17 = 0 THEN {zero} ELSE round(value / {dbl(250)}, 4) END AS gain,
-            CASE event_type WHEN 'click' THEN 'bd' WHEN 'view' THEN 'gm_cello' WHEN 'signup' THEN 'hh' WHEN 'purchase' THEN 'sawtooth' ELSE 'sd' END AS s,
-            CASE WHEN event_id % 5 = 0 THEN 'RolandTR909' END AS bank, CASE WHEN event_type IN ('view', 'purchase') THEN cast(36 + event_id % 48 AS double) END AS note FROM <events>""",
+        # typed columns for SQL, and the same as a JSON value: objects of mixed controls, bare notes, nothing; some events lie before or after the cycles
+        "haps_v": f"""SELECT *, CASE WHEN bare THEN note_text WHEN nothing THEN NULL ELSE concat('{LEFT}', concat_ws(', ', CASE WHEN s IS NOT NULL THEN concat('"s": "', s, '"') END, CASE WHEN bank IS NOT NULL THEN concat('"bank": "', bank, '"') END,
+              CASE WHEN note IS NOT NULL THEN concat('"note": ', note_text) END, CASE WHEN n IS NOT NULL THEN concat('"n": ', cast(n AS string)) END,
+              CASE WHEN gain_units IS NOT NULL THEN concat('"gain": ', cast(cast(floor(gain_units / 10000) AS int) AS string), '.', lpad(cast(gain_units % 10000 AS string), 4, '0')) END), '{RIGHT}') END AS value
+          FROM (SELECT event_id, program_id, begin_at, end_at, onset, bare, nothing, note, CASE WHEN named THEN concat('"', trim(substr('c c#d d#e f f#g g#a a#b ', cast(2 * (pitch % 12) + 1 AS int), 2)), cast(cast(floor(pitch / 12) AS int) - 1 AS string), '"') ELSE cast(pitch AS string) END AS note_text,
+              CASE WHEN NOT bare AND NOT nothing AND event_id % 29 <> 7 THEN s END AS s, CASE WHEN NOT bare AND NOT nothing AND event_id % 5 = 0 THEN 'RolandTR909' END AS bank,
+              CASE WHEN NOT bare AND NOT nothing AND event_id % 6 = 2 THEN event_id % 4 END AS n, CASE WHEN NOT bare AND NOT nothing THEN gain_units END AS gain_units, CASE WHEN NOT bare AND NOT nothing THEN gain_units / {dbl(10000)} END AS gain
+            FROM (SELECT event_id, program_id, begin_at + late AS begin_at, begin_at + late + {dbl("1 + event_id % 4")} / {dbl(8)} AS end_at, onset, s, event_id % 19 = 3 AS bare, event_id % 23 = 5 AND event_id % 19 <> 3 AS nothing, event_id % 3 = 1 AS named, pitch,
+                CASE WHEN event_id % 19 = 3 OR (event_id % 23 <> 5 AND pitched) THEN cast(pitch AS double) END AS note,
+                CASE WHEN event_id % 17 = 0 THEN 0 WHEN event_id % 13 <> 2 THEN gain_units END AS gain_units
+              FROM (SELECT event_id, user_id AS program_id, {dbl("(event_id * 7) % 128")} / {dbl(8)} + CASE WHEN event_id % 11 = 0 THEN {dbl("0.1")} ELSE {zero} END AS begin_at, {dbl("CASE WHEN event_id % 31 = 9 THEN 20 WHEN event_id % 37 = 4 THEN -3 ELSE 0 END")} AS late,
+                  event_type <> 'error' AS onset, CASE event_type WHEN 'click' THEN 'bd' WHEN 'view' THEN 'gm_cello' WHEN 'signup' THEN 'hh' WHEN 'purchase' THEN 'sawtooth' ELSE 'sd' END AS s,
+                  event_type IN ('view', 'purchase') AS pitched, 36 + event_id % 48 AS pitch, cast(floor(value * 40) AS bigint) AS gain_units FROM <events>) AS raw) AS typed) AS said""",
         "programs_v": f"""SELECT program_id, {dbl("20 + program_id % 20")} AS cpm,
             CASE program_id % 5 WHEN 1 THEN 'C:minor' WHEN 2 THEN 'G:major' WHEN 3 THEN 'A:dorian' WHEN 4 THEN 'F#:phrygian' END AS key,
             {compact("'stack', CASE WHEN program_id % 2 = 0 THEN 'arrange' END, CASE WHEN program_id % 3 = 0 THEN 'lpf' END, CASE WHEN program_id % 7 = 0 THEN 'euclid' END")} AS methods,

@@ -266,3 +266,123 @@ def test_mauve_distance_tells_sets_apart(spark):
     vectors = spark.createDataFrame(rows, "model string, embedding array<double>")
     got = {r.model: r.mad for r in E.mauve_distance(vectors, vectors.where("model = 'same'"), "model").collect()}
     assert abs(got["same"]) < 0.05 < got["half"] < got["far"]
+
+
+# --- values of events
+
+
+def _python_controls(value):
+    """Controls of a value, written down from the rule: bare scalars are notes, nothing has no controls, a bank names its sounds."""
+    if value is None:
+        return {}
+    if not isinstance(value, dict):
+        return {"note": value}
+    return value | {"s": f"{value['bank']}_{value['s']}"} if value.get("bank") and value.get("s") else value
+
+
+def _python_prints(rows, cycles, names=None):
+    import json
+
+    buckets = {}
+    for program, begin, end, value in rows:
+        said = _python_controls(json.loads(value) if value is not None else None)
+        if said.get("gain", 1) > 0 and 0 <= int(begin // 1) < cycles:
+            kept = {k: round(x, 4) if isinstance(x, float) else x for k, x in said.items() if names is None or k in names}
+            buckets.setdefault((program, int(begin // 1)), []).append(json.dumps([round(begin % 1, 6), round(end - begin, 6), kept], sort_keys=True))
+    return {k: "|".join(sorted(v)) for k, v in buckets.items()}
+
+
+VALUES = (
+    '{"s": "bd"}', '{"s": "bd", "n": 1}', '{"s": "bd", "n": 1.0}', '{"s": "bd", "n": "1"}', '{"n": 1, "s": "bd"}', '{"s": "bd", "bank": "tr", "gain": 0.5}', '{"s": "tr_bd", "gain": 0.50001}', '{"s": "tr_bd", "gain": 0.5001}',
+    '{"note": "c4"}', '{"note": 60}', '{"note": 60.00001}', "60", "60.0", '"c4"', "null", None, "{}", '{"gain": 0}', '{"s": "bd", "gain": 0.0}', '{"s": "", "bank": "tr"}', '{"cutoff": 800, "s": "saw"}', '{"cutoff": 900, "s": "saw"}', '{"note": true}',
+    '{"s": "h\\u00e9\\"h", "delay": [0.25, 2]}',
+)
+
+
+def test_fingerprints_of_mixed_values(spark):
+    import random
+
+    from millrace.operators import events as E
+
+    rng = random.Random(4)
+    rows = [(k, float(c) + rng.choice([0.0, 0.25]), None) for k in range(len(VALUES)) for c in range(3)]
+    rows = [(k, b, b + 0.5, VALUES[k]) for k, b, _ in rows]
+    rows += [(100 + k, b := rng.choice([-1.0, 0.0, 0.5, 1.0, 2.5, 9.0]), b + rng.choice([0.5, 0.25]), rng.choice(VALUES)) for k in range(40) for _ in range(rng.randint(1, 6))]
+    events = E.with_controls(spark.createDataFrame([(*r[:3], True, r[3]) for r in rows], "program_id bigint, begin_at double, end_at double, onset boolean, value string"))
+    got = {(r.program_id, r.cycle): r for r in E.fingerprints(events, 4).collect()}
+    for names, field in ((("s", "note", "n"), "print"), (None, "controls")):
+        expected = _python_prints(rows, 4, names)
+        assert set(got) == set(expected)
+        # two cycles have one print just where they have one in Python; the texts themselves are our own
+        assert len({(expected[k], got[k][field]) for k in got}) == len(set(expected.values())) == len({got[k][field] for k in got})
+
+
+def test_missing_gains_count_as_one(spark):
+    from millrace.operators import events as E
+
+    rows = [(1, 0.0, '{"s": "bd"}'), (1, 1.0, '{"s": "bd", "gain": 0.3}'), (2, 0.0, '{"gain": 0.2, "note": "e4"}'), (3, 0.0, None), (3, 0.5, "61"), (4, 0.0, '{"gain": 0}')]
+    events = E.with_controls(spark.createDataFrame([(p, b, b + 1, True, v) for p, b, v in rows], "program_id bigint, begin_at double, end_at double, onset boolean, value string"))
+    got = {r.program_id: r for r in E.telemetry(events, 4).collect()}
+    assert {p: (r.gain_min, r.gain_max) for p, r in got.items()} == {1: (0.3, 1.0), 2: (0.2, 0.2), 3: (1.0, 1.0)}
+    assert (got[2].pitches, got[3].pitches, got[3].sound_sources, got[3].event_count) == ([64.0], [61.0], [], 2)
+    keys = spark.createDataFrame([(2, "C:major"), (3, "C:major")], "program_id bigint, key string")
+    assert {r.program_id: r.adherence for r in E.scale_adherence(events, keys).collect()} == {2: 1.0, 3: 0.0}
+
+
+def test_sections_leave_out_events_beyond_the_cycles(spark):
+    from millrace.operators import events as E
+
+    rows = [(1, b, '{"s": "bd"}') for b in (-1.0, 0.0, 15.0, 15.99, 16.0, 20.0, 99.0)]
+    events = E.with_controls(spark.createDataFrame([(p, b, b + 1, True, v) for p, b, v in rows], "program_id bigint, begin_at double, end_at double, onset boolean, value string"))
+    assert [x.onsets for x in E.sections(events, 16).first().sections] == [1, 0, 0, 2]
+    assert E.telemetry(events, 16).first().event_count == 7
+
+
+# --- streams that stop, repeat and come late
+
+
+def test_banks_and_batches_agree_on_openings_of_few_words(spark):
+    from millrace.operators import dedup as D
+
+    rows = [(1, "la la la la la la la la one"), (2, "la la la la la la la la two"), (3, "one two three")]
+    all_rows = spark.createDataFrame(rows, "id bigint, prompt string")
+    assert {r.id: r.accepted for r in D.accept_greedily(all_rows).collect()} == {1: True, 2: False, 3: True}
+    assert {r.id: r.repeats for r in D.repeats_of(all_rows.where("id > 1"), all_rows.where("id = 1")).collect()} == {2: 1}
+
+
+def _feed(spark, folder, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_ingest_goes_on_after_a_stop(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from millrace.streaming import journals as J
+
+    at = lambda minutes: datetime(2024, 1, 1) + timedelta(minutes=minutes)
+    schema, folder = "id bigint, ts timestamp", f"{tmp_path}/in"
+    for part in ([(1, at(0)), (2, at(10)), (2, at(11))], [(2, at(12)), (3, at(50))], [(1, at(1)), (3, at(55)), (4, at(300))], [(4, at(301)), (5, at(2)), (6, at(302))]):
+        _feed(spark, folder, part, schema)
+        J.ingest(spark.readStream.schema(schema).parquet(folder), f"{tmp_path}/out", f"{tmp_path}/state", keys=["id"], time="ts", delay="60 minutes").awaitTermination()
+    # 5 came five hours late, after the state of its time was dropped
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [1, 2, 3, 4, 6]
+
+
+def test_monitor_writes_closed_windows_once(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    import pytest as pt
+
+    from millrace.streaming import journals as J
+
+    at = lambda hours: datetime(2024, 1, 1) + timedelta(hours=hours)
+    schema, folder = "ts timestamp, component string, total double", f"{tmp_path}/in"
+    parts = ([(at(0.1), "a", 1.0), (at(1.2), "a", 0.5)], [(at(0.9), "a", 0.0), (at(2.6), "a", 1.0)], [(at(0.5), "a", 9.0), (at(1.9), "b", 0.25), (at(9), "a", 1.0)])
+    for part in parts:
+        _feed(spark, folder, part, schema)
+        J.monitor(spark.readStream.schema(schema).parquet(folder), f"{tmp_path}/out", f"{tmp_path}/state", size="1 hour", delay="1 hour").awaitTermination()
+    got = {(r.start, r.component): (r.n, r.mean) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    # the second run's late row still counts, that of the third is late; the window of hour 9 is open
+    assert got == {(at(0), "a"): (2, 0.5), (at(1), "a"): (1, 0.5), (at(1), "b"): (1, 0.25), (at(2), "a"): (1, 1.0)}
+    with pt.raises(ValueError):
+        J.monitor(spark.createDataFrame(parts[0], schema), "x", "y")
