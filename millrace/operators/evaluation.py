@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -94,18 +95,37 @@ def count_mismatches(found: DataFrame, expected: DataFrame, key: str) -> DataFra
     return both.where(F.coalesce("n", F.lit(0)) != F.coalesce("expected", F.lit(0))).select(key, F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("expected", F.lit(0)).alias("expected"))
 
 
+def _points(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of a column of vectors, or of lists of them, as one matrix; and how many each row has. Nulls have none."""
+    nested = pa.types.is_list(column.type.value_type)
+    counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False) if nested else column.is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
+    frames = column.flatten() if nested else column.drop_null()
+    sizes = np.unique(pc.list_value_length(frames).to_numpy(zero_copy_only=False)) if len(frames) else np.zeros(1, np.int64)
+    if len(sizes) > 1:
+        raise ValueError(f"vectors of {sizes.min()} and {sizes.max()} dimensions")
+    return frames.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(frames), int(sizes[0])), counts
+
+
 def moments(vectors: DataFrame, group: str, column: str = "embedding") -> DataFrame:
-    """(group, n, mean, cov): sample moments; each task sends one row of sums a group, with map-side partials."""
+    """(group, n, mean, cov): sample moments of all vectors; each task sends one row of sums a group, with map-side partials.
+
+    ``column`` holds a vector a row, or a list of frames (vectors) of any number, which are read as they lie in the
+    Arrow buffers and never exploded. Null rows and rows without frames add nothing.
+    """
 
     def partial(batches):
         sums: dict = {}
         for batch in batches:
-            for key, part in batch.to_pandas().groupby(group, dropna=False):
-                x = np.array(part[column].tolist(), np.float64)
-                n, s, q = sums.get(key, (0, 0.0, 0.0))
-                sums[key] = (n + len(x), s + x.sum(0), q + x.T @ x)
+            x, counts = _points(batch.column(column))
+            codes, keys = pd.factorize(batch.column(group).to_pandas(), use_na_sentinel=False)
+            owner = np.repeat(codes, counts)
+            for code, key in enumerate(keys):
+                part = x[owner == code]
+                if len(part):
+                    n, s, q = sums.get(key, (0, 0.0, 0.0))
+                    sums[key] = (n + len(part), s + part.sum(0), q + part.T @ part)
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v[0] for v in sums.values()]), pa.array([list(v[1]) for v in sums.values()]), pa.array([v[2].ravel().tolist() for v in sums.values()])], [group, "n", "s", "q"])
+            yield pa.RecordBatch.from_arrays([pa.array([None if pd.isna(k) else k for k in sums]), pa.array([v[0] for v in sums.values()]), pa.array([list(v[1]) for v in sums.values()]), pa.array([v[2].ravel().tolist() for v in sums.values()])], [group, "n", "s", "q"])
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         n, s = int(pdf["n"].sum()), np.sum(pdf["s"].tolist(), axis=0)
@@ -160,3 +180,17 @@ def mauve_distance(vectors: DataFrame, reference: DataFrame, group: str, *, k: i
         x, y = np.array(points).T
         out.append((g, float(-np.log(max(np.trapezoid(y, x), 1e-12)))))
     return vectors.sparkSession.createDataFrame(out, f"{group} string, mad double")
+
+
+def leaderboard(clips: DataFrame, scores: DataFrame, references: dict[str, DataFrame], spread: DataFrame, *, k: int = 8) -> DataFrame:
+    """(model, prompts, clap, one distance for each of ``references``, mad): one row a model.
+
+    ``clips`` is (model, prompt_id, the columns that ``references`` name, embedding) and may hold frames; ``scores`` is
+    (model, prompt_id, clap). ``references`` gives a one-row table of moments for each column of ``clips``; its
+    distance is named as the column. ``spread`` holds the reference vectors of the clusters.
+    """
+    out = scores.groupBy("model").agg(F.count_distinct("prompt_id").alias("prompts"), F.avg("clap").alias("clap"))
+    for column, reference in references.items():
+        far = frechet(moments(clips, "model", column), reference, "model")
+        out = out.join(far.withColumnRenamed("distance", column), "model", "left")
+    return out.join(mauve_distance(clips.select("model", "embedding"), spread, "model", k=k), "model", "left")

@@ -113,6 +113,29 @@ def udf3_frechet_distance(v):
     return E.frechet(E.moments(clips, "model"), reference, "model")
 
 
+@query("""WITH f AS (SELECT model, unnest(frames)::double[] AS x FROM <frames_v>), d AS (SELECT model, unnest(range(1, 33)) AS i, unnest(x) AS y FROM f), m AS (SELECT model, i, count(*) AS n, avg(y) AS mean, var_samp(y) AS var FROM d GROUP BY ALL)
+SELECT model, max(n) AS n, round(sum(mean), 6) AS mean_sum, round(sum(var), 6) AS variance FROM m GROUP BY model""")
+def udf3_frame_moments(v):
+    """Frames of each model: how many, and the sums of their means and variances over all dimensions."""
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    size = F.size("mean")
+    diagonal = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.get("cov", i * (size + 1)))
+    return E.moments(v("frames_v"), "model", "frames").select("model", "n", F.round(total(F.col("mean")), 6).alias("mean_sum"), F.round(total(diagonal), 6).alias("variance"))
+
+
+@query()
+def agg16_distances(v):
+    """Leaderboard of the models: prompts, mean score, Fréchet distances of frames and of whole clips, cluster distance."""
+    from millrace.operators.retrieval import frames_score
+
+    clips = v("frames_v").select("clip_id", "model", "prompt_id", F.col("frames").alias("fad"), F.col("embedding").alias("fad_clap"), "embedding")
+    texts = clips.select(F.col("clip_id").alias("prompt_id"), F.col("embedding").alias("t"))
+    scores = clips.join(texts, "prompt_id").select("model", "prompt_id", frames_score(F.col("fad"), F.col("t")).alias("clap"))
+    every = clips.withColumn("every", F.lit("all"))
+    references = {c: E.moments(every, "every", c) for c in ("fad", "fad_clap")}
+    return E.leaderboard(clips, scores, references, clips.select("embedding"))
+
+
 @query()
 def udf4_mauve_distance(v):
     return E.mauve_distance(v("clips_v").select("model", "embedding"), v("clips_v").where("clip_id % 2 = 0"), "model")

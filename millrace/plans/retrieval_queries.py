@@ -58,6 +58,14 @@ def par18_clap_score(v):
     return clips.join(texts, "prompt_id").select("clip_id", F.round(R.clap_score(F.col("embedding"), F.col("t")), 6).alias("score"))
 
 
+@query("""SELECT f.clip_id, round(greatest(-1.0, least(1.0, list_avg(list_transform(f.frames, lambda x: list_cosine_similarity(x::double[], t.embedding::double[]))))), 6) AS score FROM <frames_v> f JOIN <frames_v> t ON t.clip_id = f.prompt_id""")
+def par18_frame_score(v):
+    """Clips of one to three frames against the vector of their prompt."""
+    clips = v("frames_v")
+    texts = clips.select(F.col("clip_id").alias("prompt_id"), F.col("embedding").alias("t"))
+    return clips.join(texts, "prompt_id").select("clip_id", F.round(R.frames_score(F.col("frames"), F.col("t")), 6).alias("score"))
+
+
 @query(f"SELECT word, count(*) AS df FROM (SELECT unnest(list_distinct({WORDS})) AS word FROM <requests_v>) GROUP BY word")
 def agg19_vocabulary(v):
     return R.vocabulary(v("requests_v").select(words("prompt").alias("words")))
@@ -68,6 +76,29 @@ def win5_newest_first(v):
     return R.newest_first(v("chat_v"), 90).select("conv_id", "turn", "total")
 
 
+_ROOM = "CASE conv_id % 6 WHEN 0 THEN 100000 WHEN 1 THEN 720 WHEN 2 THEN 360 WHEN 3 THEN 170 WHEN 4 THEN 70 ELSE 20 END"
+_COUNT = lambda x: f"len(regexp_extract_all({x}, '\\S+'))"
+
+
+def _cut_sql(limit: int) -> str:
+    first, last = f"code[1 : {limit - limit // 3}]", f"right(code, {limit // 3})"
+    begin, end = f"regexp_extract({first}, '(?s)^(.*)\\n', 1)", f"regexp_extract({last}, '(?s)^[^\\n]*\\n(.*)$', 1)"
+    text = f"CASE WHEN {begin} <> '' THEN {begin} ELSE {first} END || chr(10) || '[cut]' || chr(10) || CASE WHEN {end} <> '' THEN {end} ELSE {last} END"
+    return f"CASE WHEN length(code) > {limit} THEN {{'size': asked + {_COUNT(text)}, 'limit': {limit}, 'kept': {text}}} END"
+
+
+@query(f"""WITH t AS (SELECT doc_id // 4 AS conv_id, doc_id % 4 AS turn, coalesce(source, '') AS prompt, coalesce(text, '') AS code FROM documents),
+r AS (SELECT *, {_ROOM} - 10 AS room, {_COUNT('prompt')} AS asked, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM t),
+l AS (SELECT *, {{'size': asked + {_COUNT('code')}, 'limit': NULL::INT, 'kept': code}} AS whole, CASE WHEN back = 1 THEN list_filter([{", ".join(map(_cut_sql, R.EXCERPTS))}], lambda x: x IS NOT NULL AND x.size <= room) ELSE [] END AS cuts FROM r),
+c AS (SELECT *, CASE WHEN whole.size <= room OR back > 1 OR len(cuts) = 0 THEN whole ELSE cuts[1] END AS chosen FROM l),
+s AS (SELECT conv_id, turn, chosen.limit AS "limit", md5(chosen.kept) AS kept, room, sum(chosen.size) OVER (PARTITION BY conv_id ORDER BY turn DESC)::BIGINT AS total FROM c)
+SELECT conv_id, turn, "limit", kept, total FROM s WHERE total <= room""")
+def win5_excerpts(v):
+    """Documents as turns; in every sixth conversation the newest turn fits as it is, in others only shortened to one of four lengths, or not at all."""
+    turns = v("documents").select(F.expr("doc_id div 4").alias("conv_id"), (F.col("doc_id") % 4).alias("turn"), F.coalesce("source", F.lit("")).alias("prompt"), F.coalesce("text", F.lit("")).alias("code"))
+    return R.packed_history(turns, F.expr(_ROOM), fixed=10).select("conv_id", "turn", "limit", F.md5("kept").alias("kept"), "total")
+
+
 @query("""WITH o AS (SELECT l_orderkey AS task_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS pos, l_quantity::bigint AS tokens FROM lineitem),
 RECURSIVE_LIST AS (SELECT task_id, list({'pos': pos, 'tokens': tokens} ORDER BY pos) AS items FROM o GROUP BY task_id)
 SELECT task_id, list_reduce(list_prepend(0::bigint, list_transform(items, lambda x: x.tokens)), lambda a, x: CASE WHEN a + x <= 80 THEN a + x ELSE a END) AS used FROM RECURSIVE_LIST""")

@@ -53,14 +53,20 @@ _SOME = lambda *x: f"len(list_intersect({_NAMES}, [" + ", ".join(f"'{n}'" for n
 _SHOWN = f"""list_filter([CASE WHEN {_SOME('bd', 'sd', 'cp')} THEN 'drums_core' END, CASE WHEN {_SOME('hh', 'oh', 'rim', 'sh', 'rd')} THEN 'perc_tops' END, CASE WHEN len(list_filter(pitches, lambda p: p <= 55)) > 0 THEN 'bass' END,
   CASE WHEN len(list_filter(pitches, lambda p: p BETWEEN 48 AND 84)) > 0 THEN 'chords_pad' END, CASE WHEN len(list_filter(pitches, lambda p: p >= 60)) > 0 THEN 'arp_lead' END, CASE WHEN {_SOME('noise', 'white', 'pink', 'brown')} THEN 'fx_texture' END], lambda r: r IS NOT NULL)"""
 _COVER = f"len(list_filter(roles, lambda r: list_contains({_SHOWN}, r))) / len(roles)::double"
-_TECH = "list_filter(['lpf', CASE WHEN program_id % 2 = 0 THEN 'arrange' END], lambda t: t IS NOT NULL)"
-_INSTRUCT = f"(CASE WHEN abs(cpm * 4 - bpm) < 0.01 THEN 1.0 ELSE 0.0 END + CASE WHEN list_contains(methods, 'lpf') THEN 1.0 ELSE 0.0 END + CASE WHEN program_id % 2 = 0 THEN (list_contains(methods, 'arrange'))::int ELSE 0 END) / (CASE WHEN program_id % 2 = 0 THEN 3 ELSE 2 END)"
+_CODE = "CASE WHEN parsed THEN regexp_extract(completion, '(?s)```js\\n(.*)\\n```$', 1) END"
+_ORIGINAL = ORIGINAL.replace("array(", "[")
+_INSTRUCT = f"""coalesce(list_avg(list_filter([CASE WHEN program_id % 3 <> 1 THEN (abs(cpm * 4 - bpm) < 0.01)::int::double END, CASE WHEN program_id % 10 = 3 THEN coalesce(contains({_CODE}, trim({_ORIGINAL})), false)::int::double END,
+  CASE WHEN category = 'arrange' AND NOT intent_only THEN (list_contains(methods, 'arrange') OR list_contains(methods, 'cat'))::int::double END, CASE WHEN program_id % 5 <> 0 THEN list_contains(methods, 'lpf')::int::double END, CASE WHEN program_id % 2 = 0 AND program_id % 5 <> 0 THEN list_contains(methods, 'arrange')::int::double END], lambda x: x IS NOT NULL)), 1.0)"""
 _EVOLVE = "list_avg(list_transform(windows, lambda x: greatest(0.0, least(1.0, (x - 0.125) / 0.375))))"
 
 
 def plan_parts(rows):
     """The plan score's nullable components. A plan of mere intent asks for no roles, and for a key only if one is stated."""
-    instructions = S.mean_of(S.yes(F.abs(F.col("cpm") * 4 - F.col("bpm")) < 0.01), S.yes(F.array_contains("methods", "lpf")), F.when(F.col("program_id") % 2 == 0, S.yes(F.array_contains("methods", "arrange"))))
+    i, c = F.col("program_id"), F.col
+    techniques = F.when(i % 5 == 0, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(F.lit("lpf"), F.when(i % 2 == 0, "arrange"))))
+    instructions = S.instructions(
+        stated_bpm=i % 3 != 1, cpm=c("cpm"), bpm=c("bpm"), techniques=techniques, methods=c("methods"), original=F.expr(ORIGINAL), code=T.completion("completion")["code"], category=c("category"), intent_only=c("intent_only"),
+    )
     return rows.select(
         "*", S.yes((F.col("gain_max") > 0) & (F.col("gain_max") <= 2)).alias("mix_proxy"), instructions.alias("instructions"), 
         F.when(~F.col("intent_only"), S.role_coverage(F.col("roles"), F.col("sound_sources"), F.col("pitches"))).alias("covered"),
@@ -160,7 +166,6 @@ _BUILD, _THIN, _VARY = _any(_GREW.format(a="p[1]", b="p[2]")), _any(_GREW.format
 _SHAPED = f"CASE shape WHEN 'build' THEN ({_BUILD})::int::double WHEN 'thin_out' THEN ({_THIN})::int::double WHEN 'contrast' THEN ({_BUILD} OR {_THIN} OR {_VARY})::int::double END"
 _bpm = "list_transform(regexp_extract_all(think, '(?i)\\b(\\d{2,3}(?:\\.\\d+)?)\\s*bpm\\b', 1), lambda x: cast(x AS double))"
 _keys = f"list_transform(regexp_extract_all(think, '\\b([A-G][#b]?[ :](?:{T.MODE}))\\b', 1), lambda x: replace(x, ' ', ':'))"
-_CODE = "CASE WHEN parsed THEN regexp_extract(completion, '(?s)```js\\n(.*)\\n```$', 1) END"
 _IN_KEY = MASK.replace("(key,", "(k,")
 _SHARE = f"coalesce(list_sum(list_transform(classes, lambda c: CASE WHEN ({_IN_KEY} >> c.pc::int) & 1 = 1 THEN c.n ELSE 0 END)) / list_sum(list_transform(classes, lambda c: c.n))::double, 0.0)"
 CHECKS = f"""SELECT *, CASE WHEN require IS NOT NULL THEN list_contains(families, require)::int::double END AS k_require, CASE WHEN forbid IS NOT NULL THEN (NOT list_contains(families, forbid))::int::double END AS k_forbid, CASE WHEN forbid = 'vocals' THEN 0.5 ELSE 2.0 END AS w_forbid,

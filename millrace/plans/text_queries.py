@@ -109,13 +109,15 @@ _SAID = {
 }
 _SAID_SPARK = _SAID["duck"]
 _HAS = lambda p: f"regexp_matches(lower(said), '{p}')"
+_TOKENS = r"regexp_split_to_array(lower(said), '\s+')"
+_WANTED = rf"list_concat(regexp_extract_all(lower(said), '(\w+)\s*\(', 1), list_transform(list_filter(range(1, len({_TOKENS})), lambda i: regexp_extract({_TOKENS}[i], '\w+$') IN ('use', 'using', 'apply')), lambda i: regexp_extract({_TOKENS}[i + 1], '^\w+')))"
 _ROLE = {r: _HAS(r"\b(?:" + "|".join(w) + r")s?\b") for r, w in T.ROLE_WORDS.items()}
 
 
 @query(f"""WITH q AS (SELECT id, {_SAID['duck']} AS said FROM <requests_v>),
 a AS (SELECT id, said, regexp_extract(lower(said), '\\b(\\d+(?:\\.\\d+)?)\\s*bpm\\b', 1) AS b, regexp_extract(said, '(?i)\\b([a-gA-G][#b]?)[ :]+({MODE})\\b', 1) AS root, lower(regexp_extract(said, '(?i)\\b([a-gA-G][#b]?)[ :]+({MODE})\\b', 2)) AS mode,
   list_filter([{", ".join(f"CASE WHEN {hit} THEN '{r}' END" for r, hit in _ROLE.items())}], lambda x: x IS NOT NULL) AS found, {_HAS("only|single voice|atomic|bassline alone")} AS atomic, {_HAS("intro|breakdown|section|arrangement")} AS arrange, {_HAS("one bar|one-bar|static|short loop")} AS short_loop,
-  list_filter([{", ".join("CASE WHEN " + _HAS(r"\b" + t + r"\s*\(|\b(?:use|using|apply)\s+" + t + r"\b") + f" THEN '{t}' END" for t in T.TECHNIQUES)}], lambda x: x IS NOT NULL) AS techniques FROM q),
+  list_filter([{", ".join(f"CASE WHEN list_contains({_WANTED}, '{t}') THEN '{t}' END" for t in T.TECHNIQUES)}], lambda x: x IS NOT NULL) AS techniques FROM q),
 b AS (SELECT *, CASE WHEN len(found) > 0 THEN found ELSE ['drums_core', 'bass', 'chords_pad'] END AS every FROM a), c AS (SELECT *, CASE WHEN atomic THEN every[1:1] ELSE every END AS roles FROM b)
 SELECT id, CASE WHEN b = '' THEN 120.0 ELSE cast(b AS double) END AS bpm, CASE WHEN mode <> '' THEN upper(root[1]) || root[2:] || ':' || mode WHEN list_has_any(roles, ['bass', 'chords_pad', 'arp_lead']) THEN 'C:minor' END AS key,
   CASE WHEN arrange THEN 'arrange' WHEN atomic THEN 'atomic' ELSE 'stack' END AS category, roles, list_filter([CASE WHEN b <> '' THEN 'bpm' END, CASE WHEN mode <> '' THEN 'key' END, CASE WHEN len(found) > 0 THEN 'roles' END], lambda x: x IS NOT NULL) AS explicit,
@@ -125,7 +127,7 @@ def par6_make_plan(v):
 
 
 @query(f"""WITH q AS (SELECT id, {_SAID['duck']} AS said FROM <requests_v>), a AS (SELECT id, regexp_extract(lower(said), '\\b(\\d+)\\s*bpm\\b', 1) AS b, regexp_extract(said, '(?i)\\b([a-gA-G][#b]?)[ :]+({MODE})\\b', 1) AS root, lower(regexp_extract(said, '(?i)\\b([a-gA-G][#b]?)[ :]+({MODE})\\b', 2)) AS mode,
-  list_filter([{", ".join("CASE WHEN " + _HAS(rf"\b{t}\s*\(|\b(?:use|using|apply)\s+{t}\b") + f" THEN '{t}' END" for t in T.TECHNIQUES)}], lambda x: x IS NOT NULL) AS named FROM q)
+  list_filter([{", ".join(f"CASE WHEN list_contains({_WANTED}, '{t}') THEN '{t}' END" for t in T.TECHNIQUES)}], lambda x: x IS NOT NULL) AS named FROM q)
 SELECT id, CASE WHEN b <> '' THEN cast(b AS double) ELSE 100.0 END AS bpm, CASE WHEN mode <> '' THEN upper(root[1]) || root[2:] || ':' || mode WHEN id % 2 = 0 THEN 'G:major' END AS key, CASE WHEN id % 9 = 0 THEN 'cocreate' ELSE 'stack' END AS category,
   list_concat(['slow'], list_filter(named, lambda t: t <> 'slow')) AS techniques FROM a""".replace("\\\\", "\\"))
 def par7_overlay_plan(v):

@@ -19,6 +19,7 @@ _BUCKET = {"spark": "cast(conv(substr(sha2(concat('\"', source, '\"'), 256), 1,
 _WORDS = {"spark": r"size(regexp_extract_all(text, '\\S+', 0))", "duck": r"len(regexp_extract_all(text, '\S+'))"}
 _ARRAY = {"spark": "array({0})", "duck": "[{0}]"}
 _NO_NULLS = {"spark": "array_compact(array({0}))", "duck": "list_filter([{0}], lambda m: m IS NOT NULL)"}
+_PART = {"spark": "slice(embedding, {a}, {b} - {a} + 1)", "duck": "embedding[{a} : {b}]"}
 _ROWS = {"spark": "(VALUES {0}) AS t({1})", "duck": "(VALUES {0}) AS t({1})"}
 
 
@@ -46,7 +47,7 @@ def _views(e: str) -> dict[str, str]:
                   event_type IN ('view', 'purchase') AS pitched, 36 + event_id % 48 AS pitch, cast(floor(value * 40) AS bigint) AS gain_units FROM <events>) AS raw) AS typed) AS said""",
         "programs_v": f"""SELECT program_id, {dbl("20 + program_id % 20")} AS cpm,
             CASE program_id % 5 WHEN 1 THEN 'C:minor' WHEN 2 THEN 'G:major' WHEN 3 THEN 'A:dorian' WHEN 4 THEN 'F#:phrygian' END AS key,
-            {compact("'stack', CASE WHEN program_id % 2 = 0 THEN 'arrange' END, CASE WHEN program_id % 3 = 0 THEN 'lpf' END, CASE WHEN program_id % 7 = 0 THEN 'euclid' END")} AS methods,
+            {compact("'stack', CASE WHEN program_id % 2 = 0 THEN 'arrange' END, CASE WHEN program_id % 3 = 0 THEN 'lpf' END, CASE WHEN program_id % 7 = 0 THEN 'euclid' END, CASE WHEN program_id % 10 = 1 THEN 'cat' END")} AS methods,
             concat('<think>Play at ', cast(4 * (20 + program_id % 20) + CASE WHEN program_id % 4 = 1 THEN 9 ELSE 0 END AS string), ' bpm in ',
               CASE program_id % 5 WHEN 1 THEN 'C minor' WHEN 2 THEN 'G:major' WHEN 3 THEN 'D dorian' ELSE 'no key' END, '.</think>', chr(10), '```js', chr(10), 'stack(s(', cast(program_id AS string), '))', chr(10),
               CASE WHEN program_id % 7 = 5 THEN '' ELSE '```' END) AS completion
@@ -65,6 +66,12 @@ def _views(e: str) -> dict[str, str]:
             {dbl("vec_id % 16")} AS density_lo, {dbl("vec_id % 16 + 24")} AS density_hi, concat('fam', cast(vec_id % 20 AS string)) AS own_family,
             CASE vec_id % 3 WHEN 0 THEN {arr("'lpf'")} WHEN 1 THEN {arr("'lpf', 'jux'")} ELSE {arr("'stack', 'slow', 'fast'")} END AS techniques, embedding FROM <embeddings> WHERE vec_id % 50 = 0""",
         "clips_v": "SELECT vec_id AS clip_id, concat('model', cast(label AS string)) AS model, vec_id % 20 AS prompt_id, embedding FROM <embeddings>",
+        "frames_v": f"""SELECT vec_id AS clip_id, concat('model', cast(label AS string)) AS model, vec_id % 20 AS prompt_id, {_PART[e].format(a=1, b=32)} AS embedding,
+            {compact(", ".join([_PART[e].format(a=1, b=32), *(f"CASE WHEN vec_id % 3 >= {k} THEN {_PART[e].format(a=1 + 8 * k, b=32 + 8 * k)} END" for k in (1, 2))]))} AS frames FROM <embeddings>""",
+        "records_v": """SELECT doc_id AS id, CASE WHEN doc_id % 6 < 2 THEN doc_id % 3 END AS retry, CASE WHEN doc_id % 6 < 2 THEN doc_id % 6 = 0 END AS accepted, CASE WHEN doc_id % 6 = 2 THEN 'job' END AS task,
+            CASE WHEN doc_id % 6 = 3 THEN concat('house:m', cast(doc_id % 5 AS string)) END AS teacher, CASE doc_id % 12 WHEN 4 THEN 'sft' WHEN 10 THEN 'rl' END AS stage, CASE WHEN doc_id % 12 = 5 THEN 'stack()' WHEN doc_id % 36 = 11 THEN '' END AS code,
+            CASE WHEN doc_id % 4 = 0 THEN 'stack' END AS plan_category, CASE WHEN doc_id % 4 < 2 THEN 'atomic' END AS category, CASE doc_id % 5 WHEN 0 THEN 'musical' WHEN 1 THEN 'mood' WHEN 2 THEN 'technical' END AS prompt_style,
+            CASE doc_id % 7 WHEN 0 THEN 'acme-composer' WHEN 1 THEN 'M1' WHEN 2 THEN 'm12' END AS model_id FROM <documents>""",
         "jobs_v": "SELECT o_orderkey AS job_id, o_orderpriority AS model_id, o_orderkey AS job_index, o_custkey AS request_id FROM <orders>",
         "attempts_v": """SELECT l_orderkey AS job_id, cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS int) AS retry,
             l_returnflag = 'A' AND l_linestatus = 'F' AS accepted, concat('f', cast(l_partkey % 7 AS string)) AS feedback, l_quantity AS tokens FROM <lineitem>""",

@@ -386,3 +386,118 @@ def test_monitor_writes_closed_windows_once(spark, tmp_path):
     assert got == {(at(0), "a"): (2, 0.5), (at(1), "a"): (1, 0.5), (at(1), "b"): (1, 0.25), (at(2), "a"): (1, 1.0)}
     with pt.raises(ValueError):
         J.monitor(spark.createDataFrame(parts[0], schema), "x", "y")
+
+
+# --- requests, contracts, browser, histories and frames
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("Use lpf, jux(2) and a fast workout", ["jux", "lpf"]), ("use using  slow", ["slow"]), ("reuse fast; apply\nfast off (1)", ["off", "fast"]), ("using euclid.", ["euclid"]), ("use: lpf lpf2( myjux(", []), ("", []), (None, []),
+    ],
+)
+def test_named_techniques(spark, text, expected):
+    from millrace.functions.text import named_techniques
+
+    got = spark.createDataFrame([(text,)], "t string").select(named_techniques("t").alias("n")).first().n
+    assert sorted(got) == sorted(expected)
+
+
+@pytest.mark.parametrize(
+    ("text", "style", "reason"),
+    [
+        ("play Stack (x)", "mood", "api_call"), ("stacks(x) of sound", "mood", None), ("at 120.5BPM now", "mood", "precise"), ("a 440 hz tone", "musical", None), ("v120 bpm", "mood", None), ("in F#: Lydian", "mood", "precise"),
+        ("in Bb minor", "mood", "precise"), ("an A-minor minor thing", "mood", None), ("s(", "technical", None), ("12 bpms", "mood", None),
+    ],
+)
+def test_style_leaks(spark, text, style, reason):
+    from millrace.operators.validation import style_leak
+
+    assert spark.createDataFrame([(text, style)], "p string, style string").select(style_leak("p", "style").alias("r")).first().r == reason
+
+
+def test_literals_of_contracts(spark):
+    from millrace.operators import validation as V
+
+    rows = [(1, 120.0, "At 120 BPM", None, None), (2, 92.5, "92.5 bpm", "C:minor", "c  MINOR"), (3, 120.0, "a quick bpm", None, None), (4, 120.0, "120 beats", "C:minor", "sad"), (5, 120.0, None, "C:minor", None)]
+    df = spark.createDataFrame(rows, "id bigint, tempo double, tempo_quote string, key string, key_quote string")
+    rules = V.literal_reasons(**{n: F.col(n) for n in ("tempo", "tempo_quote", "key", "key_quote")})
+    assert {r.id: r.reasons for r in V.with_reasons(df, rules).collect()} == {1: [], 2: [], 3: ["tempo_quote"], 4: ["tempo_quote", "key_quote"], 5: ["tempo_quote", "key_quote"]}
+
+
+def _python_excerpt(code, limit):
+    if len(code) <= limit:
+        return code
+    tail = limit // 3
+    head, last = code[: limit - tail], code[-tail:]
+    return (head[: head.rfind("\n")] if head.rfind("\n") > 0 else head) + "\n[cut]\n" + (last[last.find("\n") + 1 :] if "\n" in last and last[last.find("\n") + 1 :] else last)
+
+
+def _python_history(turns, budget, fixed):
+    kept, used = [], fixed
+    for n, (turn, prompt, code) in enumerate(sorted(turns, reverse=True)):
+        versions = [(None, code)] + [(x, _python_excerpt(code, x)) for x in (4500, 2200, 1000, 350) if n == 0 and len(code) > x]
+        for limit, text in versions:
+            size = len(prompt.split()) + len(text.split())
+            if used + size <= budget:
+                used += size
+                kept.append((turn, limit, text, used - fixed))
+                break
+        else:
+            break
+    return kept
+
+
+def test_histories_take_excerpts_of_the_newest_turn(spark):
+    import random
+
+    from millrace.operators import retrieval as R
+
+    rng = random.Random(7)
+    rows, expected = [], {}
+    for conv in range(60):
+        budget = rng.choice([20, 80, 200, 500, 900, 1400, 3000])
+        turns = [(k, "please " * rng.randint(1, 3), rng.choice(["", "\n"]) + "".join(rng.choice(["ab ", "abc ", "d\n"]) if conv % 7 else "x y" for _ in range(rng.choice([5, 120, 500, 1200, 2500])))) for k in range(rng.randint(1, 5))]
+        rows += [(conv, budget, *t) for t in turns]
+        expected[conv] = _python_history(turns, budget, 7)
+    df = spark.createDataFrame(rows, "conv_id bigint, budget int, turn bigint, prompt string, code string").repartition(5)
+    got = {}
+    for r in R.packed_history(df, F.col("budget"), fixed=7).collect():
+        got.setdefault(r.conv_id, []).append((r.turn, r.limit, r.kept, r.total))
+    assert {k: sorted(v, reverse=True) for k, v in got.items()} == {k: v for k, v in expected.items() if v}
+    assert {x[1] for v in expected.values() for x in v} == {None, 350, 1000, 2200, 4500}
+
+
+def test_moments_over_ragged_frames(spark):
+    import numpy as np
+
+    from millrace.operators import evaluation as E
+    from millrace.operators.retrieval import frames_score
+
+    rng = np.random.default_rng(3)
+    clips = [("a" if k % 3 else None, rng.normal(size=(k % 5, 6)).astype(np.float32)) for k in range(40)]
+    rows = [(g, x.tolist()) for g, x in clips] + [("a", None)]
+    df = spark.createDataFrame(rows, "g string, frames array<array<float>>").repartition(4)
+    for r in E.moments(df, "g", "frames").collect():
+        x = np.concatenate([f for g, f in clips if g == r.g]).astype(np.float64)
+        assert r.n == len(x) and np.allclose(r.mean, x.mean(0)) and np.allclose(np.reshape(r["cov"], (6, 6)), np.cov(x, rowvar=False))
+    flat = spark.createDataFrame([(g, f.tolist()) for g, x in clips for f in x], "g string, frames array<float>")
+    assert {r.g: r.n for r in E.moments(flat, "g", "frames").collect()} == {r.g: r.n for r in E.moments(df, "g", "frames").collect()}
+    with pytest.raises(Exception, match="dimensions"):
+        E.moments(spark.createDataFrame([("a", [[1.0], [1.0, 2.0]])], "g string, frames array<array<float>>"), "g", "frames").collect()
+    text = rng.normal(size=6)
+    scored = df.withColumn("t", F.array(*map(F.lit, text.tolist()))).select("frames", frames_score(F.col("frames"), F.col("t")).alias("s")).collect()
+    for r in scored:
+        x = np.array(r.frames or [], np.float64)
+        assert (r.s is None) == (len(x) == 0) and (r.s is None or abs(r.s - np.mean(x @ text / (np.linalg.norm(x, axis=1) * np.linalg.norm(text)))) < 1e-6)
+
+
+def test_facets_count_under_the_other_choices(spark):
+    from millrace.operators import validation as V
+
+    rows = [("x", "p", 1), ("x", "q", 2), ("y", "p", 3), ("y", "p", 4), (None, "q", 5)]
+    df = spark.createDataFrame(rows, "a string, b string, n int")
+    got = {(r.facet, r.value): r.n for r in V.facet_counts(df, {"a": "y", "b": "q"}).collect()}
+    assert got == {("a", "x"): 1, ("a", None): 1, ("b", "p"): 2}
+    assert V.facet_counts(df.where("false"), {"a": None}).count() == 0
