@@ -95,6 +95,49 @@ def lineage(runs: DataFrame, run: int) -> DataFrame:
         found, length = grown, 2 * length
 
 
+def run_prints(rows: DataFrame, *, run: str = "run_id") -> DataFrame:
+    """(run, n, mixed, total): for each run how many rows it has, and two sums of their hashes, which no order or partitioning changes.
+
+    All runs are taken in one aggregation with map-side partials. Columns are hashed in the order of their names.
+    """
+    cells = sorted(c for c in rows.columns if c != run)
+    hashed = rows.select(run, F.xxhash64(*cells).alias("h"), F.xxhash64(F.lit(1), *cells).alias("g"))
+    return hashed.groupBy(run).agg(F.count(F.lit(1)).alias("n"), F.bit_xor("h").alias("mixed"), F.sum(F.col("g").cast("decimal(38,0)")).alias("total"))
+
+
+def snapshots(line: DataFrame, rows: DataFrame) -> DataFrame:
+    """(run_id, distance, snapshot) of a :func:`lineage`: one hash for the rows of a run and of all its ancestors.
+
+    Prints add up along the line, whose runs (one row each) are put in order by one task; rows are not.
+    """
+    up = W.orderBy(F.desc("distance")).rowsBetween(W.unboundedPreceding, 0)
+    own = line.join(run_prints(rows.join(F.broadcast(line.select("run_id")), "run_id", "left_semi")), "run_id", "left")
+    parts = [F.sum(F.coalesce("n", F.lit(0))).over(up), F.bit_xor(F.coalesce("mixed", F.lit(0))).over(up), F.sum(F.coalesce("total", F.lit(0))).over(up)]
+    return own.select("run_id", "distance", F.sha2(F.concat_ws(",", *(p.cast("string") for p in parts)), 256).alias("snapshot"))
+
+
+def frozen_lineage(runs: DataFrame, rows: DataFrame, run: int) -> DataFrame:
+    """(run_id, parent_id, parent_snapshot) of a run and its ancestors: what each run builds on, as it is now."""
+    line = lineage(runs, run)
+    parents = snapshots(line, rows).select(F.col("run_id").alias("parent_id"), F.col("snapshot").alias("parent_snapshot"))
+    return settle(runs.join(line.select("run_id"), "run_id", "left_semi").join(parents, "parent_id", "left").select("run_id", "parent_id", "parent_snapshot"))
+
+
+def checked_rows(frozen: DataFrame, rows: DataFrame, run: int, *, id: str | None = None) -> DataFrame:
+    """``rows`` of a run and its ancestors, if every ancestor still is as it was when the next run was frozen; else an error that
+    names the farthest that isn't. With ``id`` a repeated id among them is an error too.
+    """
+    line = settle(lineage(frozen.select("run_id", "parent_id"), run))
+    now = snapshots(line, rows).select(F.col("run_id").alias("parent_id"), "distance", "snapshot")
+    broken = frozen.join(now, "parent_id").where(~F.col("snapshot").eqNullSafe(F.col("parent_snapshot")))
+    if (worst := broken.orderBy(F.desc("distance")).first()) is not None:
+        raise ValueError(f"run {worst['parent_id']} has changed since run {worst['run_id']} was frozen")
+    kept = rows.join(F.broadcast(line.select("run_id")), "run_id", "left_semi")
+    if id and (twice := kept.groupBy(id).count().where("count > 1").first()):
+        raise ValueError(f"id {twice[0]} occurs {twice[1]} times in the lineage of run {run}")
+    return kept
+
+
 def replay(rows: DataFrame, seen: DataFrame, n: int, seed: int) -> DataFrame:
     """(id, h): ``n`` rows whose id and key ``seen`` doesn't have, one for each key, in seeded order. Fewer than ``n`` are an error."""
     fresh = rows.join(seen.select("key"), "key", "left_anti").join(seen.select("id"), "id", "left_anti")

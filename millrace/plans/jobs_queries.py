@@ -137,6 +137,15 @@ def set3_lineage_union(v):
     return accepted.join(J.lineage(runs, 13), "run_id", "left_semi").groupBy("run_id").agg(F.count_distinct("l_orderkey").alias("n_accepted"))
 
 
+@query("""SELECT l_partkey % 16 AS run_id, count(*) AS n, sum(l_linenumber)::BIGINT AS lines FROM lineitem WHERE l_partkey % 16 IN (13, 6, 3, 1, 0) GROUP BY 1""")
+def set3_checked_lineage(v):
+    """Rows of run 13 and its ancestors, which are as they were when the next run was frozen, though dealt out otherwise."""
+    rows = v("lineitem").withColumn("run_id", F.col("l_partkey") % 16)
+    runs = rows.select("run_id").distinct().withColumn("parent_id", F.when(F.col("run_id") > 0, F.expr("run_id div 2")))
+    frozen = J.frozen_lineage(runs, rows.repartition(5, "l_suppkey"), 13)
+    return J.checked_rows(frozen, rows, 13).groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").cast("bigint").alias("lines"))
+
+
 @query("SELECT id FROM <tasks_v> WHERE id NOT IN (SELECT id FROM <predictions_v>)")
 def set6_without_prediction(v):
     return v("tasks_v").select("id").join(v("predictions_v"), "id", "left_anti")

@@ -461,6 +461,9 @@ def test_histories_take_excerpts_of_the_newest_turn(spark):
         turns = [(k, "please " * rng.randint(1, 3), rng.choice(["", "\n"]) + "".join(rng.choice(["ab ", "abc ", "d\n"]) if conv % 7 else "x y" for _ in range(rng.choice([5, 120, 500, 1200, 2500])))) for k in range(rng.randint(1, 5))]
         rows += [(conv, budget, *t) for t in turns]
         expected[conv] = _python_history(turns, budget, 7)
+    long = [(0, "go", "a b\n" * 10), (1, "go", "ab " * 2000)]
+    rows += [(60, 1600, *t) for t in long]
+    expected[60] = _python_history(long, 1600, 7)
     df = spark.createDataFrame(rows, "conv_id bigint, budget int, turn bigint, prompt string, code string").repartition(5)
     got = {}
     for r in R.packed_history(df, F.col("budget"), fixed=7).collect():
@@ -501,3 +504,22 @@ def test_facets_count_under_the_other_choices(spark):
     got = {(r.facet, r.value): r.n for r in V.facet_counts(df, {"a": "y", "b": "q"}).collect()}
     assert got == {("a", "x"): 1, ("a", None): 1, ("b", "p"): 2}
     assert V.facet_counts(df.where("false"), {"a": None}).count() == 0
+
+
+def test_lineages_hold_their_snapshots(spark):
+    rows = [(r, 100 * r + k, f"text {k}") for r in (1, 2, 4, 9) for k in range(5)] + [(2, 201, "text 1")]
+    accepted = spark.createDataFrame(rows, "run_id bigint, id bigint, prompt string")
+    runs = spark.createDataFrame([(9, 4), (4, 2), (2, 1), (1, None), (3, 1)], "run_id bigint, parent_id bigint")
+    frozen = J.frozen_lineage(runs, accepted.repartition(7, "id"), 9)
+    assert {r.run_id: r.parent_snapshot is None for r in frozen.collect()} == {9: False, 4: False, 2: False, 1: True}
+    assert J.checked_rows(frozen, accepted, 9).count() == len(rows)
+    changed = accepted.withColumn("prompt", F.when(F.col("id") == 203, "other").otherwise(F.col("prompt")))
+    with pytest.raises(ValueError, match="run 2 has changed"):
+        J.checked_rows(frozen, changed, 9)
+    for other in (accepted.where("id <> 100"), accepted.unionAll(accepted.where("run_id = 1"))):
+        with pytest.raises(ValueError, match="run 1 has changed"):
+            J.checked_rows(frozen, other, 9)
+    # a run's own rows aren't frozen by itself
+    assert J.checked_rows(frozen, accepted.where("run_id <> 9"), 9).count() == 16
+    with pytest.raises(ValueError, match="id 201"):
+        J.checked_rows(frozen, accepted, 9, id="id")
