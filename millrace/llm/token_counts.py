@@ -9,7 +9,8 @@ The pre-tokens of a chunk that are not yet known fall into parts where no piece
 reach across two characters, and are held as one ragged array of symbols. Every round finds each sequence's lowest-rank pair and merges it at all
 its places at once, from the left without overlap, in all sequences. Where a
 merge would make a new pair of no higher rank beside it, that sequence merges
-its leftmost place alone in this round, as a queue of single merges would. What
+its leftmost place alone in this round, as a queue of single merges would; a long one
+(a run of spaces, whose pieces share one rank) is swept from left to right by itself. What
 remains is counted: one token for each symbol of the vocabulary, one for each
 UTF-8 byte of any other character.
 
@@ -19,6 +20,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import re
 
 import numpy as np
@@ -32,6 +34,8 @@ MARK = "▁"
 OVER_LIMIT = 4096
 REMEMBERED, SHORT = 400_000, 40
 NONE = np.iinfo(np.int32).max
+#: Symbols from which a sequence whose merges must go one by one is finished by itself, and its rounds before a queue takes over.
+ALONE, ROUNDS, GONE = 48, 64, -1 << 41
 
 
 class Vocabulary:
@@ -60,6 +64,7 @@ class Vocabulary:
         # which characters stand beside each other in a piece, and in threes: elsewhere no merge can cross
         self.twos = self._joined({p for p in pieces if len(p) == 2}, 2)
         self.threes = self._joined(set(pieces), 3)
+        self.pairs = {k: (int(rank[i]), i) for k, i in pairs.items()}
         self.keys = np.array(sorted(pairs), np.int64)
         self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
         self.ranks = rank[self.merged]
@@ -152,6 +157,15 @@ class Vocabulary:
             careful[own[early]] = True
             careful[seq[nxt[held]]] = True
             if careful.any():
+                gone = np.zeros(len(sym), bool)
+                for s in np.flatnonzero(careful).tolist():
+                    lo, hi = np.searchsorted(seq, [s, s + 1])
+                    if hi - lo > ALONE:
+                        counts[s] += self._alone(sym[lo:hi])
+                        gone[lo:hi] = True
+                if gone.any():
+                    sym, seq = sym[~gone], seq[~gone]
+                    continue
                 leftmost = np.zeros(len(hit), bool)
                 hits = np.flatnonzero(hit)
                 leftmost[hits[np.flatnonzero(np.diff(seq[hits], prepend=-1))]] = True
@@ -160,6 +174,53 @@ class Vocabulary:
             sym, seq = after, seq[kept]
         return np.bincount(owner, counts, len(tokens)).astype(np.int64)
 
+    def _alone(self, sym: np.ndarray) -> int:
+        """Number of tokens of one long sequence, by itself: each round merges one rank from left to right over a stack."""
+        left = np.where(sym < 0, -1 << 40, sym.astype(np.int64)).tolist()
+        for _ in range(ROUNDS):
+            lowest = int(self.pair(np.array(left[:-1]), np.array(left[1:]))[0].min()) if len(left) > 1 else NONE
+            if lowest == NONE:
+                return sum(s >= 0 for s in left)
+            left = self._swept(left, lowest)
+        return self._queued(left)
+
+    def _swept(self, sym: list[int], rank: int) -> list[int]:
+        """Merge the pairs of the lowest ``rank``, leftmost first, until none is left or one of a lower rank arises."""
+        find, size, none, out = self.pairs.get, self.size, (NONE, -1), []
+        for i, x in enumerate(sym):
+            stop = False
+            while out and not stop:
+                r, to = find(out[-1] * size + x, none)
+                if r > rank:
+                    break
+                stop = r < rank
+                if not stop:
+                    out.pop()
+                    x = to
+                    stop = i + 1 < len(sym) and find(x * size + sym[i + 1], none)[0] < rank
+            out.append(x)
+            if stop:
+                return out + sym[i + 1 :]
+        return out
+
+    def _queued(self, sym: list[int]) -> int:
+        """As :meth:`_alone`, by a queue of single merges."""
+        find, size, n = self.pairs.get, self.size, len(sym)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        queue = [(found[0], i, sym[i], sym[i + 1]) for i in range(n - 1) if (found := find(sym[i] * size + sym[i + 1]))]
+        heapq.heapify(queue)
+        while queue:
+            _, i, x, y = heapq.heappop(queue)
+            if sym[i] != x or (j := after[i]) >= n or sym[j] != y:
+                continue
+            sym[i], sym[j], after[i] = find(x * size + y)[1], GONE, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b < n and (found := find(sym[a] * size + sym[b])):
+                    heapq.heappush(queue, (found[0], a, sym[a], sym[b]))
+        return sum(s >= 0 for s in sym)
+
     @staticmethod
     def _apply(sym: np.ndarray, to: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         stays = np.ones(len(sym), bool)

@@ -255,6 +255,32 @@ def test_token_counts(awkward, nothing):
     assert token_counts.Vocabulary(path).count(texts) == [len(x) for x in model.encode(texts)]
 
 
+def test_long_runs_of_equal_ranks(monkeypatch):
+    import random
+    import time
+
+    import public_tokenizers
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model, own = sentencepiece.SentencePieceProcessor(model_file=path), token_counts.Vocabulary(path)
+    rng = random.Random(2)
+    tests = [" " * n for n in (1, 2, 13, 14, 15, 16, 29, 100, 2001)] + ["x" + " " * 999, " " * 500 + "x", "a  " * 400, " \t " * 300, "-" * 999, "\n " * 300]
+    tests += ["".join(rng.choice(letters) for _ in range(700)) for letters in ("  a", " -", "-=*", "aA ", "/ ", "▁ x", "aeiou", "  \n") for _ in range(5)]
+    expected = [len(x) for x in model.encode(tests)]
+    assert own.count(tests) == expected
+    for alone, rounds in ((0, 64), (0, 0), (10**9, 64)):  # all by sweeps, all by the queue, one merge a round
+        monkeypatch.setattr(token_counts, "ALONE", alone)
+        monkeypatch.setattr(token_counts, "ROUNDS", rounds)
+        assert token_counts.Vocabulary(path).count(tests) == expected
+    monkeypatch.undo()
+    for unit in (" ", "-", "\t", "x", "= ", "a  "):
+        text = unit * (1_000_000 // len(unit))
+        began = time.time()
+        got = own.count([text])
+        assert time.time() - began < 20 and got == [len(model.encode(text))]
+
+
 def test_long_runs_without_spaces():
     import time
 
