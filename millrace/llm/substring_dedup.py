@@ -1,15 +1,14 @@
-"""Removal of repeated passages with prefix-partitioned suffix trees.
+"""Removal of repeated passages with suffixes filed by prefixes.
 
 Suffixes start at words. A first pass counts, over all rows, how many suffixes
 start with each prefix of 1, 2, 4, 8 and 13 words (hashed to :data:`BUCKETS` buckets a
-length); a suffix is filed under its shortest prefix whose bucket holds at most
-``tree_suffixes`` suffixes, else under all 13 words. Prefixes are dealt over
-memory-sized groups. Each group orders its suffixes and so builds the part of the
-suffix tree below its prefixes down to depth 13; every node at that depth with
-leaves in more than one document is a repeat, and its leaves outside the smallest
-doc_id are windows to remove. Overlapping windows join into the maximal repeats
-that are cut out. Edges carry 64-bit fingerprints of their words, beside the
-group, instead of the words themselves.
+length); a suffix is filed under its shortest prefix whose bucket holds at most a
+sixteenth of ``tree_suffixes`` suffixes, else under all 13 words. Prefixes are
+dealt over groups of about ``tree_suffixes``. A group doesn't hold the words of its
+suffixes and builds no tree of them: it is sorted by 64-bit fingerprints of the
+first 13 words, and equal ones, which are the leaves below one node of depth 13, are a
+repeat if they lie in more than one document. Those outside the smallest doc_id
+are windows to remove. Overlapping windows join into the repeats that are cut out.
 
 Equal windows inside one chunk of rows are settled there: only those of its
 smallest doc_id travel on, so a passage found everywhere costs one entry a chunk.
