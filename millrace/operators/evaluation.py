@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.text import completion
+from millrace.operators.tables import settle, unsettle
 
 
 def scored_predictions(tasks: DataFrame, predictions: DataFrame) -> DataFrame:
@@ -45,12 +46,42 @@ def summary(scored: DataFrame, *groups: str) -> DataFrame:
     return by.agg(F.count(F.lit(1)).alias("tasks"), F.count_if("missing").alias("missing"), F.avg(F.col("valid").cast("double")).alias("execution_rate"), F.avg("reward").alias("mean_reward"))
 
 
+def exact_quantiles(rows: DataFrame, group: str, value: str, shares: list[float], *, bins: int = 1024) -> DataFrame:
+    """(group, share, quantile) of the finite values of each group, interpolated between ranks, without collecting values.
+
+    Every rank that is wanted lies in an interval, at first from least to greatest value. A round counts the values of each
+    interval in ``bins`` parts, with each part's least and greatest value, and goes on with the part that holds the
+    rank, until that holds one value. Counts are added up before the shuffle; the intervals, a few for each
+    group, are broadcast, so groups must be a short list of names.
+    """
+    known = rows.select(group, F.col(value).cast("double").alias("v")).where(F.abs("v") < float("inf"))
+    ends = known.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    asked = ends.withColumn("share", F.explode(F.array(*map(F.lit, shares)))).withColumn("at", F.col("share") * (F.col("n") - 1))
+    ranks = settle(asked.select(group, "share", "at", "lo", "hi", F.explode(F.array_distinct(F.array(F.floor("at"), F.ceil("at")))).alias("rank"), F.lit(0).cast("bigint").alias("below")))
+    state, made = ranks, [ranks]
+    while state.where("lo < hi").limit(1).count():
+        part = F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)).cast("int")
+        open_ = F.broadcast(state.where("lo < hi").select(group, "lo", "hi").distinct())
+        held = known.join(open_, group).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+        counted = held.groupBy(group, "lo", "hi", part.alias("part")).agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
+        upto = F.sum("c").over(W.partitionBy(group, "lo", "hi").orderBy("part").rowsBetween(W.unboundedPreceding, 0))
+        found = state.where("lo < hi").join(counted.withColumn("upto", upto), [group, "lo", "hi"])
+        found = found.where((F.col("rank") >= F.col("below") + F.col("upto") - F.col("c")) & (F.col("rank") < F.col("below") + F.col("upto")))
+        nearer = found.select(group, "share", "at", F.col("least").alias("lo"), F.col("most").alias("hi"), "rank", (F.col("below") + F.col("upto") - F.col("c")).alias("below"))
+        state = settle(state.where("lo = hi").unionByName(nearer))
+        made.append(state)
+    out = settle(state.groupBy(group, "share").agg(F.min("lo").alias("a"), F.max("lo").alias("b"), F.first("at").alias("at")).select(group, "share", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.floor("at"))).alias("quantile")))
+    for table in made:
+        unsettle(table)
+    return out
+
+
 def component_rates(rows: DataFrame, *, name: str = "component", value: str = "component_value") -> DataFrame:
     """Mean, pass share and number of each component, with its 2nd and 98th percentile."""
-    return rows.groupBy(name).agg(
-        F.avg(value).alias("mean"), F.avg((F.col(value) >= 1).cast("double")).alias("passed"), F.count(value).alias("n"),
-        F.percentile(value, F.lit(0.02)).alias("p2"), F.percentile(value, F.lit(0.98)).alias("p98"),
-    )
+    by = rows.groupBy(name).agg(F.avg(value).alias("mean"), F.avg((F.col(value) >= 1).cast("double")).alias("passed"), F.count(value).alias("n"))
+    edge = lambda share, out: F.max(F.when(F.col("share") == share, F.col("quantile"))).alias(out)
+    edges = exact_quantiles(rows, name, value, [0.02, 0.98]).groupBy(name).agg(edge(0.02, "p2"), edge(0.98, "p98"))
+    return by.join(F.broadcast(edges), name, "left")
 
 
 def flat_tasks(rollouts: DataFrame) -> DataFrame:

@@ -523,3 +523,37 @@ def test_lineages_hold_their_snapshots(spark):
     assert J.checked_rows(frozen, accepted.where("run_id <> 9"), 9).count() == 16
     with pytest.raises(ValueError, match="id 201"):
         J.checked_rows(frozen, accepted, 9, id="id")
+
+
+def test_exact_quantiles_by_narrowing(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    groups = {"a": rng.normal(size=2000), "b": np.repeat([0.25, 1.0], [3, 997]), "c": np.array([5.0]), "d": rng.lognormal(0, 12, size=500), "e": np.array([1.0, 2.0])}
+    rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("a", None), ("f", None), ("e", float("nan")), ("e", float("inf"))]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    for bins in (2, 1024):
+        got = {(r.g, r.share): r.quantile for r in E.exact_quantiles(df, "g", "x", [0.02, 0.5, 1.0], bins=bins).collect()}
+        assert set(got) == {(g, s) for g in groups for s in (0.02, 0.5, 1.0)}
+        assert all(np.isclose(v, np.quantile(groups[g], s), rtol=1e-12) for (g, s), v in got.items())
+
+
+@pytest.mark.parametrize("most", [7, 1000])
+def test_top_k_over_batches_and_blocks(spark, most):
+    import numpy as np
+
+    from millrace.operators import retrieval as R
+
+    rng = np.random.default_rng(2)
+    x = rng.integers(-2, 3, size=(120, 3)).astype(float) + 0.25
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "id bigint, embedding array<double>").repartition(6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    try:
+        got = {(r.query_id, r.place): (r.id, r.score) for r in R.top_k(df.where("id % 5 = 0"), df, 4, most_queries=most).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q in range(0, 120, 5):
+        order = sorted((-round(float(unit[q] @ unit[k]), 6), k) for k in range(120))[:4]
+        assert [got[q, place] for place in (1, 2, 3, 4)] == [(k, -s) for s, k in order]
+    assert R.top_k(df.where("false"), df, 4).count() == 0
