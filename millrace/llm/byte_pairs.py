@@ -20,17 +20,17 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from functools import lru_cache
 from itertools import chain
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes that are merged directly; characters of one run of the pattern; pre-tokens remembered by a worker, and their longest.
-LEAF, RUN, REMEMBERED, SHORT = 64, 1 << 18, 500_000, 40
+LEAF, RUN, REMEMBERED, SHORT = 64, 1 << 18, 400_000, 40
 NEVER = 1 << 31
 
 
@@ -45,7 +45,7 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         self.known: dict[str, tuple[int, ...]] = {}
         self.same = lru_cache(10_000)(lambda data: tuple(self.leaf(data)))
-        self.settled = lru_cache(100_000)(self._settled)
+        self.settled = lru_cache(20_000)(self._settled)
 
     def _merge(self, data: bytes) -> list[int]:
         """Merge the lowest-ranked pair, leftmost first, until none is left: a queue of pairs over linked parts."""
@@ -164,10 +164,11 @@ def encode(text: Column | str, path: str, pattern: str) -> Column:
     """``array<int>``: ids of each text under the ranks at ``path``, without special tokens."""
 
     def ids(texts: pa.Array) -> pa.Array:
-        own = encoder(path, pattern)
-        rows = [np.array(own.encode(t.as_py() or ""), np.int32) for t in texts]
-        ends = np.cumsum([0, *map(len, rows)])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int32)))
+        own, flat, ends = encoder(path, pattern), array("i"), [0]
+        for t in texts:
+            flat.extend(own.encode(t.as_py() or ""))
+            ends.append(len(flat))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)]))
 
     return F.arrow_udf(ids, "array<int>").asNondeterministic()(text)
 
