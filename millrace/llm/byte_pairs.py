@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes that are merged directly; characters of one run of the pattern; pre-tokens remembered by a worker, and their longest.
-LEAF, RUN, REMEMBERED, SHORT = 64, 1 << 18, 400_000, 40
+LEAF, RUN, REMEMBERED, SHORT = 64, 1 << 18, 300_000, 40
 NEVER = 1 << 31
 
 
@@ -43,7 +43,9 @@ class Encoder:
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
+        # the pre-tokens that were seen last, and those of the round before, from which they are taken over
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.same = lru_cache(10_000)(lambda data: tuple(self.leaf(data)))
         self.settled = lru_cache(20_000)(self._settled)
 
@@ -118,9 +120,10 @@ class Encoder:
         pieces = self.pattern.findall(text)
         new = {p for p in set(pieces) if p not in self.known}
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
+            self.older, self.known = self.known, {}
             new = set(pieces)
-        self.known.update((p, self.pre_token(p)) for p in new)
+        before = self.older.get
+        self.known.update((p, before(p) or self.pre_token(p)) for p in new)
         found = list(map(self.known.__getitem__, pieces))
         for p in new:
             if len(p) > SHORT:
