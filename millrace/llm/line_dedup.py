@@ -5,10 +5,12 @@ is one shingle). Equal lines are one node, known by a 64-bit hash. :data:`BANDS`
 :data:`ROWS` minima of the shingle hashes, under masks, are taken in one aggregation;
 lines that agree in all minima of a band are candidates: all pairs of a bucket of up to
 ``pairs_up_to`` lines. Larger buckets first link each line to the smallest
-and the largest one (by hash); then each line outside the bucket's largest component
-so far meets some lines drawn from that; then every such line meets
-all lines of other components. Buckets are dealt over parts of about :data:`PART_LINES`
-lines, so that none lands in one task. A bitmap of the shingles rules out pairs that can't
+and the largest one (by hash). Where that leaves several components, the shingles of more than
+half of the bucket's lines are its middle; lines near enough to it for any two of them to
+be similar are linked through the nearest one, without pairs. Then every line outside the largest
+component meets all lines of other components. Buckets are dealt over parts of about :data:`PART_LINES`
+lines, so that none lands in one task. A bitmap of the shingles, in the last step of those on which
+a line and the middle differ, rules out pairs that can't
 be similar as they meet, never others. The rest is verified by exact Jaccard similarity of the whole
 shingle sets, at least ``similarity``, and connected components of the verified pairs
 are found by star contractions, the same as those of all pairs of the buckets. A pair
@@ -34,7 +36,6 @@ from millrace.llm.graph import components
 
 BANDS, ROWS = 8, 4
 PART_LINES = 512
-DRAWS, DRAWN = 1, 8
 SIMILARITY, PAIRS_UP_TO = 0.8, 4
 BROADCAST_LINES = 1 << 20
 K, STEP, WORDS = 5, 16, 16
@@ -153,36 +154,60 @@ def _candidates(shared: DataFrame, similarity: float, pairs_up_to: int) -> DataF
     return _pair(paired, similarity).unionAll(_pair(through, similarity)).distinct()
 
 
-def _open(scratch: Scratch, shared: DataFrame, roots: DataFrame, pairs_up_to: int) -> DataFrame:
-    """(band, lid, map, salts, root, rest) of larger buckets that ``roots`` doesn't connect yet; ``rest``: outside the bucket's largest component."""
-    many = shared.where(F.col("size") > pairs_up_to)
-    rooted = scratch.cut(many.join(roots, many.lid == roots.node, "left").select("band", "lid", "map", "salts", F.coalesce("root", "lid").alias("root")))
+def _open(scratch: Scratch, rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those of ``rows`` (band, lid, ...), with (root, rest), whose bucket ``roots`` doesn't connect yet; ``rest``: outside its largest component."""
+    rooted = scratch.cut(rows.join(roots, rows.lid == roots.node, "left").select(*(rows[c] for c in rows.columns), F.coalesce(roots.root, rows.lid).alias("root")))
     parts = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = parts.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     return scratch.cut(rooted.join(largest, "band").withColumn("rest", F.col("root") != F.col("largest")).drop("largest", "parts"))
 
 
-def _drawn(open_: DataFrame, similarity: float, number: int) -> DataFrame:
-    """Distinct pairs (a, b), a > b, of every line outside its bucket's largest component and some lines drawn from that: so that
-    what remains for :func:`_left_over` isn't a family that one pair more would have connected."""
-    line = F.struct("lid", "map")
-    draws = open_.where("NOT rest").groupBy("band", "salts").agg(*(F.min_by(line, F.xxhash64("lid", F.lit(number), F.lit(k))).alias(f"p{k}") for k in range(DRAWN)))
-    chosen = draws.select("band", "salts", F.explode(F.array_distinct(F.transform(F.array(*(f"p{k}" for k in range(DRAWN))), lambda p: p["lid"]))).alias("x"))
-    chosen = chosen.join(open_.select("band", F.col("lid").alias("x"), F.col("map").alias("map_x")), ["band", "x"])
-    return _pair(_met(chosen, _as(open_.where("rest"), "y")), similarity).distinct()
+def _apart(scratch: Scratch, docs: DataFrame, open_: DataFrame, similarity: float) -> DataFrame:
+    """(band, salts, lid, apart, slack) of open buckets. ``apart``: the shingles that either the line or more than half of its
+    bucket has, but not both; ``slack``: how many more there might be. Two lines have at most as many shingles apart as
+    both ``apart`` together, so that those of slacks that add up to 0 or more are similar, whatever their shingles."""
+    sets = scratch.cut(_texts(docs, open_.select("lid").distinct()).select("lid", F.array_distinct(_shingles()).alias("set")))
+    rows = open_.select("band", "salts", "lid").join(sets, "lid")
+    sizes = open_.groupBy("band", "salts").agg(F.count(F.lit(1)).alias("lines"))
+    # a shingle of more than half of a bucket of over 2 lines is in 2 of them: single ones needn't meet the bucket's size
+    often = rows.select("band", F.explode("set").alias("h")).groupBy("band", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    usual = often.join(sizes, "band").where("2 * n > lines").groupBy("band").agg(F.collect_list("h").alias("usual"))
+    middles = scratch.cut(sizes.join(usual, "band", "left").select("band", "salts", F.coalesce("usual", F.array().cast("array<bigint>")).alias("usual")))
+    met = _met(middles, rows.withColumnRenamed("lid", "y").withColumn("parts", F.col("salts")))
+    apart = met.select("band", F.col("parts").alias("salts"), F.col("y").alias("lid"), F.size("set").alias("t"), F.concat(F.array_except("set", "usual"), F.array_except("usual", "set")).alias("apart"))
+    return apart.withColumn("slack", F.col("t") * F.lit((1 - similarity) / (1 + similarity)) - F.size("apart"))
+
 
+def _through_middle(apart: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b), a > b, of each line and the one of its bucket's highest slack, where their slacks make them similar.
+    They connect all lines whose slacks do: the higher one of two has no less than 0, and so has the highest."""
+    best = apart.groupBy("band", "salts").agg(F.max_by(F.struct("lid", "slack"), F.struct("slack", "lid")).alias("best"))
+    met = _met(best, apart.select("band", "salts", F.col("lid").alias("y"), "slack")).where("best.lid <> y AND best.slack + slack > 1e-9")
+    return met.select(F.greatest("best.lid", "y").alias("a"), F.least("best.lid", "y").alias("b")).distinct()
 
-def _left_over(open_: DataFrame, similarity: float) -> DataFrame:
+
+def _left_over(scratch: Scratch, open_: DataFrame, similarity: float) -> DataFrame:
     """Distinct pairs (a, b), a > b, of open buckets.
 
     Every line outside its bucket's largest component meets every line of another component. Pairs
     inside one component can't change the result, so this is as good as all pairs of the bucket.
+    What two lines have apart from each other is what only one has apart from the bucket: maps of
+    these few shingles seldom hide one, so that hardly any dissimilar pair is left to verify.
     """
-    named = lambda name: open_.select("band", "salts", *(F.col(c).alias(f"{c}_{name}") for c in ("map", "root", "rest")), F.col("lid").alias(name))
+    bit = "if((shiftrightunsigned(h, 6) & {1}) = {0}, shiftleft(1L, cast(h & 63 AS int)), 0L)".format
+    words = (F.expr(f"aggregate(apart, 0L, (w, h) -> w | {bit(w, WORDS - 1)}) AS w{w}") for w in range(WORDS))
+    mapped = scratch.cut(open_.select("band", "salts", "lid", "root", "rest", F.struct("t", *words).alias("map")))
+    named = lambda name: mapped.select("band", "salts", *(F.col(c).alias(f"{c}_{name}") for c in ("map", "root", "rest")), F.col("lid").alias(name))
     met = _met(named("x").where("rest_x"), named("y")).where("root_x <> root_y AND (NOT rest_y OR x > y)")
     return _pair(met, similarity).distinct()
 
 
+def _texts(docs: DataFrame, lids: DataFrame) -> DataFrame:
+    """(lid, line) of these distinct lines."""
+    few = lids.count() <= BROADCAST_LINES
+    return _lines(docs).select("lid", "line").join(F.broadcast(lids) if few else lids, "lid", "left_semi").groupBy("lid").agg(F.first("line").alias("line"))
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """A table of those pairs whose shingle sets have at least this Jaccard similarity."""
     with Scratch() as scratch:
@@ -190,10 +215,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
 
 
 def _similar(scratch: Scratch, docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    ends = scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct())
-    few = ends.count() <= BROADCAST_LINES
-    texts = _lines(docs).select("lid", "line").join(F.broadcast(ends) if few else ends, "lid", "left_semi")
-    lines = scratch.cut(texts.groupBy("lid").agg(F.first("line").alias("line")))
+    lines = scratch.cut(_texts(docs, scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct())))
     beside = lambda rows, c: rows.join(lines.select(F.col("lid").alias(c), F.col("line").alias(f"line_{c}")), c)
     both = beside(beside(pairs, "a"), "b")
     sets = F.array(F.struct(_shingles("line_a").alias("a"), _shingles("line_b").alias("b")))
@@ -202,19 +224,20 @@ def _similar(scratch: Scratch, docs: DataFrame, pairs: DataFrame, similarity: fl
 
 
 def _links(scratch: Scratch, docs: DataFrame, shared: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
-    """Verified pairs that connect all lines which verified pairs of shared buckets connect."""
+    """Pairs of similar lines that connect all lines which similar pairs of shared buckets connect."""
     with Scratch() as own:
         links = scratch.hold(_verified(docs, own.cut(_candidates(shared, similarity, pairs_up_to)), similarity))
-    if shared.where(F.col("size") > pairs_up_to).isEmpty():
+    many = shared.where(F.col("size") > pairs_up_to).select("band", "salts", "lid")
+    if many.isEmpty():
         return links
-    for number in range(DRAWS + 1):
-        with Scratch() as own:
-            open_ = _open(own, shared, own.hold(components(links)), pairs_up_to)
-            pairs = own.cut(_drawn(open_, similarity, number) if number < DRAWS else _left_over(open_, similarity))
-            if pairs.isEmpty():
-                continue
-            links = links.unionAll(scratch.hold(_verified(docs, pairs, similarity)))
-    return links
+    with Scratch() as own:
+        open_ = _open(own, many, own.hold(components(links)))
+        if open_.isEmpty():
+            return links
+        apart = own.cut(_apart(own, docs, open_, similarity))
+        links = links.unionAll(scratch.cut(_through_middle(apart)))
+        pairs = own.cut(_left_over(own, _open(own, apart, own.hold(components(links))), similarity))
+        return links if pairs.isEmpty() else links.unionAll(scratch.hold(_verified(docs, pairs, similarity)))
 
 
 def removed_lines(docs: DataFrame, *, similarity: float = SIMILARITY, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:

@@ -3,7 +3,8 @@ import random
 import pytest
 import xxhash
 
-from millrace.llm import line_dedup
+from millrace.llm import graph, line_dedup
+from millrace.llm.common import Scratch
 
 
 def word(rng):
@@ -78,3 +79,43 @@ def test_pieces_hold_every_shingle(spark):
         assert want == [p[i : i + k] for p in r.pieces for i in range(max(len(p) - k + 1, 1))]
         hashed = [xxhash.xxh64_intdigest(x.encode(), 42) for x in want]
         assert set(r.shingles) == {h - (h >> 63 << 64) for h in hashed}
+
+
+@pytest.mark.parametrize("part_lines", [512, 16])
+def test_buckets_near_the_threshold(spark, monkeypatch, part_lines):
+    """One bucket of a family whose lines are 0.72 to 0.85 alike, some of them by shared changes, and one of unlike lines: exactly the components of all pairs, from few pairs."""
+    rng = random.Random(12)
+    centre, alternative = [word(rng) for _ in range(60)], [word(rng) for _ in range(60)]
+    lines = []
+    for n in range(160):
+        changed = list(centre)
+        if n % 8 == 0:
+            changed[:9] = alternative[:9]
+        for k in rng.sample(range(60), rng.choice([2, 3, 4, 4, 5, 6])):
+            changed[k] = word(rng)
+        lines.append(" ".join(changed))
+    lines += [" ".join(word(rng) for _ in range(20)) for _ in range(9)]
+    sets, root = [shingles(x) for x in lines], list(range(len(lines)))
+    band = [0] * 160 + [1] * 9
+    for a in range(len(lines)):
+        for b in range(a):
+            if band[a] == band[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                root = [root[b] if r == root[a] else r for r in root]
+    monkeypatch.setattr(line_dedup, "PART_LINES", part_lines)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    lids = {r.line: r.lid for r in line_dedup._lines(docs).collect()}
+    bucket = spark.createDataFrame([(b, lids[x], max(-(-160 // part_lines) if b == 0 else 1, 1)) for b, x in zip(band, lines)], "band bigint, lid bigint, salts int")
+    none = spark.createDataFrame([], "node bigint, root bigint")
+    with Scratch() as scratch:
+        apart = scratch.cut(line_dedup._apart(scratch, docs, line_dedup._open(scratch, bucket, none), 0.8))
+        near = scratch.cut(line_dedup._through_middle(apart))
+        at = {lid: k for k, lid in enumerate(lids[x] for x in lines)}
+        for r in near.collect():
+            a, b = sets[at[r.a]], sets[at[r.b]]
+            assert len(a & b) >= 0.8 * len(a | b)
+        pairs = scratch.cut(line_dedup._left_over(scratch, line_dedup._open(scratch, apart, graph.components(near)), 0.8))
+        assert near.count() > 40 and pairs.count() < 1200
+        found = near.unionAll(line_dedup._verified(docs, pairs, 0.8))
+        got = {at[r.node]: at[r.root] for r in graph.components(found).collect()}
+    groups = lambda of: {frozenset(k for k in range(len(lines)) if of(k) == r) for r in {of(k) for k in range(len(lines))}}
+    assert groups(lambda k: got.get(k, k)) == groups(lambda k: root[k])
