@@ -5,8 +5,8 @@ is one shingle). Equal lines are one node, known by a 64-bit hash. :data:`BANDS`
 :data:`ROWS` minima of the shingle hashes, under masks, are taken in one aggregation;
 lines that agree in all minima of a band are candidates: all pairs of a bucket of up to
 ``pairs_up_to`` lines. Larger buckets first link each line to the smallest
-and the largest one (by hash). Where that leaves several components, the shingles of more than
-half of the bucket's lines are its middle; lines near enough to it for any two of them to
+and the largest one (by hash). Where that leaves several components, the shingles that most of
+:data:`DRAWN` of its lines have are the middle; lines near enough to it for any two of them to
 be similar are linked through the nearest one, without pairs. Then every line outside the largest
 component meets all lines of other components. Buckets are dealt over parts of about :data:`PART_LINES`
 lines, so that none lands in one task. A bitmap of the shingles, in the last step of those on which
@@ -36,6 +36,7 @@ from millrace.llm.graph import components
 
 BANDS, ROWS = 8, 4
 PART_LINES = 512
+DRAWN = 27
 SIMILARITY, PAIRS_UP_TO = 0.8, 4
 BROADCAST_LINES = 1 << 20
 K, STEP, WORDS = 5, 16, 16
@@ -50,7 +51,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.where(F.trim("line", F.lit(" \t\r\x0b\x0c")) != "").withColumn("lid", F.xxhash64("line"))
 
 
-def _shingles(line: str = "line") -> Column:
+def _shingles(line: str | Column = "line") -> Column:
     """The shingles of a line, with repeats, as hashes."""
 
     def of(piece: Column) -> Column:
@@ -155,26 +156,37 @@ def _candidates(shared: DataFrame, similarity: float, pairs_up_to: int) -> DataF
 
 
 def _open(scratch: Scratch, rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Those of ``rows`` (band, lid, ...), with (root, rest), whose bucket ``roots`` doesn't connect yet; ``rest``: outside its largest component."""
+    """Those of ``rows`` (band, lid, ...), with (root, largest, rest), whose bucket ``roots`` doesn't connect yet; ``rest``: outside its largest component."""
     rooted = scratch.cut(rows.join(roots, rows.lid == roots.node, "left").select(*(rows[c] for c in rows.columns), F.coalesce(roots.root, rows.lid).alias("root")))
     parts = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = parts.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    return scratch.cut(rooted.join(largest, "band").withColumn("rest", F.col("root") != F.col("largest")).drop("largest", "parts"))
+    return scratch.cut(rooted.join(largest, "band").withColumn("rest", F.col("root") != F.col("largest")).drop("parts"))
+
+
+def _majority(sets: list[Column]) -> Column:
+    """Shingles of two of three sets; of more, a power of three, of two of three such results."""
+    if len(sets) == 1:
+        return sets[0]
+    x, y, z = (_majority(sets[k :: 3]) for k in range(3))
+    return F.array_union(F.array_intersect(x, y), F.array_intersect(F.array_union(x, y), z))
 
 
 def _apart(scratch: Scratch, docs: DataFrame, open_: DataFrame, similarity: float) -> DataFrame:
-    """(band, salts, lid, apart, slack) of open buckets. ``apart``: the shingles that either the line or more than half of its
-    bucket has, but not both; ``slack``: how many more there might be. Two lines have at most as many shingles apart as
-    both ``apart`` together, so that those of slacks that add up to 0 or more are similar, whatever their shingles."""
-    sets = scratch.cut(_texts(docs, open_.select("lid").distinct()).select("lid", F.array_distinct(_shingles()).alias("set")))
-    rows = open_.select("band", "salts", "lid").join(sets, "lid")
-    sizes = open_.groupBy("band", "salts").agg(F.count(F.lit(1)).alias("lines"))
-    # a shingle of more than half of a bucket of over 2 lines is in 2 of them: single ones needn't meet the bucket's size
-    often = rows.select("band", F.explode("set").alias("h")).groupBy("band", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    usual = often.join(sizes, "band").where("2 * n > lines").groupBy("band").agg(F.collect_list("h").alias("usual"))
-    middles = scratch.cut(sizes.join(usual, "band", "left").select("band", "salts", F.coalesce("usual", F.array().cast("array<bigint>")).alias("usual")))
-    met = _met(middles, rows.withColumnRenamed("lid", "y").withColumn("parts", F.col("salts")))
-    apart = met.select("band", F.col("parts").alias("salts"), F.col("y").alias("lid"), F.size("set").alias("t"), F.concat(F.array_except("set", "usual"), F.array_except("usual", "set")).alias("apart"))
+    """(band, salts, lid, t, apart, slack) of open buckets; those of one largest component are one here, ``band``. ``apart``: the
+    shingles that either the line or the bucket's middle has, but not both; ``slack``: how many more there might be. Two lines
+    have at most as many shingles apart as both ``apart`` together, so that those of slacks that add up to 0 or more are
+    similar. This holds for any middle: it is read from DRAWN lines, and lines travel as text, an eighth of their shingles."""
+    texts = scratch.cut(_texts(docs, open_.select("lid").distinct()))
+    lines = scratch.cut(open_.select(F.col("largest").alias("band"), "lid").distinct())
+    drawn = lines.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / PART_LINES).cast("int").alias("salts"), F.array(*(F.min_by("lid", F.xxhash64("lid", F.lit(k))) for k in range(DRAWN))).alias("drawn"))
+    drawn = scratch.cut(drawn)
+    picked = drawn.select("band", "salts", F.explode("drawn").alias("lid")).join(texts, "lid").groupBy("band", "salts").agg(F.collect_list("line").alias("lines"))
+    few = F.transform(F.array(F.transform("lines", lambda line: F.array_distinct(_shingles(line)))), lambda sets: _majority([sets[k] for k in range(DRAWN)]))
+    middles = scratch.cut(picked.select("band", "salts", few[0].alias("middle")))
+    every = lines.join(drawn.select("band", "salts"), "band").join(texts, "lid").select("band", "salts", F.col("salts").alias("parts"), F.col("lid").alias("y"), "line")
+    met = _met(middles, every).select("band", F.col("parts").alias("salts"), F.col("y").alias("lid"), "middle", F.array(F.array_distinct(_shingles())).alias("set"))
+    found = F.transform("set", lambda x: F.struct(F.size(x).alias("t"), F.concat(F.array_except(x, "middle"), F.array_except("middle", x)).alias("apart")))
+    apart = met.select("band", "salts", "lid", F.inline(found))
     return apart.withColumn("slack", F.col("t") * F.lit((1 - similarity) / (1 + similarity)) - F.size("apart"))
 
 
@@ -186,17 +198,19 @@ def _through_middle(apart: DataFrame) -> DataFrame:
     return met.select(F.greatest("best.lid", "y").alias("a"), F.least("best.lid", "y").alias("b")).distinct()
 
 
-def _left_over(scratch: Scratch, open_: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b), a > b, of open buckets.
+def _left_over(scratch: Scratch, open_: DataFrame, apart: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b), a > b, of open buckets; ``middle``: the bucket's one of ``apart``.
 
     Every line outside its bucket's largest component meets every line of another component. Pairs
     inside one component can't change the result, so this is as good as all pairs of the bucket.
-    What two lines have apart from each other is what only one has apart from the bucket: maps of
+    What two lines have apart from each other is what only one has apart from the middle: maps of
     these few shingles seldom hide one, so that hardly any dissimilar pair is left to verify.
     """
-    bit = "if((shiftrightunsigned(h, 6) & {1}) = {0}, shiftleft(1L, cast(h & 63 AS int)), 0L)".format
-    words = (F.expr(f"aggregate(apart, 0L, (w, h) -> w | {bit(w, WORDS - 1)}) AS w{w}") for w in range(WORDS))
-    mapped = scratch.cut(open_.select("band", "salts", "lid", "root", "rest", F.struct("t", *words).alias("map")))
+    bit = "bit_or(if((shiftrightunsigned(h, 6) & {1}) = {0}, shiftleft(1L, cast(h & 63 AS int)), 0L)) AS w{0}".format
+    wanted = apart.withColumnRenamed("band", "middle").drop("salts").join(open_.select("middle", "lid").distinct(), ["middle", "lid"], "left_semi")
+    placed = wanted.select("middle", "lid", "t", F.explode_outer("apart").alias("h")).groupBy("middle", "lid").agg(F.min("t").alias("t"), *(F.expr(bit(w, WORDS - 1)) for w in range(WORDS)))
+    maps = scratch.cut(placed.select("middle", "lid", F.struct("t", *(f"w{w}" for w in range(WORDS))).alias("map")))
+    mapped = scratch.cut(open_.join(maps, ["middle", "lid"]).select("band", "salts", "lid", "root", "rest", "map"))
     named = lambda name: mapped.select("band", "salts", *(F.col(c).alias(f"{c}_{name}") for c in ("map", "root", "rest")), F.col("lid").alias(name))
     met = _met(named("x").where("rest_x"), named("y")).where("root_x <> root_y AND (NOT rest_y OR x > y)")
     return _pair(met, similarity).distinct()
@@ -236,7 +250,8 @@ def _links(scratch: Scratch, docs: DataFrame, shared: DataFrame, similarity: flo
             return links
         apart = own.cut(_apart(own, docs, open_, similarity))
         links = links.unionAll(scratch.cut(_through_middle(apart)))
-        pairs = own.cut(_left_over(own, _open(own, apart, own.hold(components(links))), similarity))
+        rows = open_.select("band", "salts", "lid", F.col("largest").alias("middle"))
+        pairs = own.cut(_left_over(own, _open(own, rows, own.hold(components(links))), apart, similarity))
         return links if pairs.isEmpty() else links.unionAll(scratch.hold(_verified(docs, pairs, similarity)))
 
 
