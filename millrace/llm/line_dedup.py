@@ -5,13 +5,12 @@ is one shingle). Equal lines are one node, known by a 64-bit hash. :data:`BANDS`
 :data:`ROWS` minima of the shingle hashes, under masks, are taken in one aggregation;
 lines that agree in all minima of a band are candidates: all pairs of a bucket of up to
 ``pairs_up_to`` lines. Larger buckets first link each line to the smallest
-and the largest one (by hash). Where that leaves several components, the shingles that most of
-:data:`DRAWN` of its lines have are the middle; lines near enough to it for any two of them to
-be similar are linked through the nearest one, without pairs. Then every line outside the largest
-component meets all lines of other components. Buckets are dealt over parts of about :data:`PART_LINES`
-lines, so that none lands in one task. A bitmap of the shingles, in the last step of those on which
-a line and the middle differ, rules out pairs that can't
-be similar as they meet, never others. The rest is verified by exact Jaccard similarity of the whole
+and the largest one (by hash). Where that leaves several components, :data:`DRAWN` lines meet
+those of other components, and at last every line outside the largest component
+meets all lines of other components. Buckets are dealt over parts of about :data:`PART_LINES`
+lines, so that none lands in one task. A map of the parities of a line's shingles rules out pairs
+that can't be similar as they meet, never others: the maps of two lines differ by what only one of
+them has, however much they share. The rest is verified by exact Jaccard similarity of the whole
 shingle sets, at least ``similarity``, and connected components of the verified pairs
 are found by star contractions, the same as those of all pairs of the buckets. A pair
 of similarity 0.8 is found with a probability of 0.985, of 0.9 with 0.9999.
@@ -36,12 +35,14 @@ from millrace.llm.graph import components
 
 BANDS, ROWS = 8, 4
 PART_LINES = 512
-DRAWN = 27
+DRAWN = 6
 SIMILARITY, PAIRS_UP_TO = 0.8, 4
 BROADCAST_LINES = 1 << 20
 K, STEP, WORDS = 5, 16, 16
 #: A line in pieces that hold STEP shingles each, so that most of the work is done by columns and not by rows.
 PIECE = rf"(?s)(?=(.{{{K},{K + STEP - 1}}}|^.{{1,{K - 1}}}(?!.))).{{1,{STEP}}}"
+#: Every shingle of a line.
+SHINGLE = rf"(?s)(?=(.{{{K}}}|^.{{1,{K - 1}}}(?!.)))."
 LAST = (1 << 63) - 1
 
 
@@ -53,11 +54,7 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _shingles(line: str | Column = "line") -> Column:
     """The shingles of a line, with repeats, as hashes."""
-
-    def of(piece: Column) -> Column:
-        return F.array(*_hashes(piece, piece.cast("binary"), F.length(piece)))
-
-    return F.flatten(F.transform(F.regexp_extract_all(line, F.lit(PIECE), F.lit(1)), of))
+    return F.transform(F.regexp_extract_all(line, F.lit(SHINGLE), F.lit(1)), lambda x: F.xxhash64(x))
 
 
 def _signed(x: int) -> int:
@@ -91,40 +88,42 @@ def _hashed(lines: DataFrame) -> DataFrame:
     return pieces.select(*rest, "i", "size", *(h.alias(f"h0_{i}") for i, h in enumerate(_hashes(F.col("piece"), F.col("raw"), F.col("size")))))
 
 
-def _size() -> Column:
-    """Aggregate of pieces: the number of a line's shingles, repeats included."""
-    return F.max(F.col("i") * STEP + F.greatest(F.col("size") - K + 1, F.lit(1))).alias("t")
-
-
-def _map() -> list[Column]:
-    """Aggregates of pieces: their shingles' places in WORDS words of bits."""
-    bit = "if((shiftrightunsigned(h0_{0}, 6) & {2}) = {1}, shiftleft(1L, cast(h0_{0} & 63 AS int)), 0L)".format
-    return [F.expr("bit_or(" + " | ".join(bit(i, w, WORDS - 1) for i in range(STEP)) + f") AS w{w}") for w in range(WORDS)]
+def _maps(docs: DataFrame, lids: DataFrame) -> DataFrame:
+    """(lid, map) of these distinct lines; ``map``: the number ``t`` of different shingles and, in WORDS words of bits, at
+    each place whether an odd number of them falls on it. The maps of two lines differ where an odd number of those
+    that only one of them has do: the shingles that both have, many as they are, hide none of these."""
+    odd = "bit_xor(if((shiftrightunsigned(h, 6) & {1}) = {0}, shiftleft(1L, cast(h & 63 AS int)), 0L)) AS w{0}".format
+    sets = _texts(docs, lids).select("lid", F.array_distinct(_shingles()).alias("set"))
+    placed = sets.select("lid", F.size("set").alias("t"), F.explode("set").alias("h"))
+    maps = placed.groupBy("lid").agg(F.min("t").alias("t"), *(F.expr(odd(w, WORDS - 1)) for w in range(WORDS)))
+    return maps.select("lid", F.struct("t", *(f"w{w}" for w in range(WORDS))).alias("map"))
 
 
 def _may_match(x: str, y: str, similarity: float) -> Column:
-    """False only where the shingle sets can't be so similar. Each place that only one line's map has stands for a shingle
-    that only it has, and of d such shingles among n in both sets the similarity is (n - d) / (n + d)."""
+    """False only where the shingle sets can't be so similar. Each place where the maps differ stands for a shingle that only
+    one line has, and of d such shingles among n in both sets the similarity is (n - d) / (n + d)."""
     apart = sum((F.bit_count(F.expr(f"{x}.w{w} ^ {y}.w{w}")) for w in range(WORDS)), F.lit(0))
     return apart <= (F.col(f"{x}.t") + F.col(f"{y}.t")) * F.lit((1 - similarity) / (1 + similarity) + 1e-9)
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    """(lid, doc, n, bands, map) of every distinct line: its smallest doc, its occurrences, its band keys
-    and what :func:`_may_match` reads. Lines are settled before they are cut into pieces."""
+    """(lid, doc, n, bands) of every distinct line: its smallest doc, its occurrences and its band keys.
+    Lines are settled before they are cut into pieces."""
     lines = _lines(docs).groupBy("lid").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
     swapped = (F.shiftleft(f"h0_{i}", 32).bitwiseOR(F.shiftrightunsigned(f"h0_{i}", 32)).alias(f"h1_{i}") for i in range(STEP))
-    signed = _hashed(lines).select("*", *swapped).groupBy("lid").agg(F.min("doc").alias("doc"), F.min("n").alias("n"), _size(), *_map(), *_minima())
+    signed = _hashed(lines).select("*", *swapped).groupBy("lid").agg(F.min("doc").alias("doc"), F.min("n").alias("n"), *_minima())
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
-    return signed.select("lid", "doc", "n", bands.alias("bands"), F.struct("t", *(f"w{w}" for w in range(WORDS))).alias("map"))
+    return signed.select("lid", "doc", "n", bands.alias("bands"))
 
 
-def _buckets(signed: DataFrame) -> DataFrame:
+def _buckets(scratch: Scratch, docs: DataFrame, signed: DataFrame) -> DataFrame:
     """(band, lid, size, map, salts) of every band that several lines share; a large one is split into ``salts`` parts."""
     banded = signed.select("lid", F.explode("bands").alias("band"))
     sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = banded.join(sizes, "band").join(signed.select("lid", "map"), "lid")
-    return shared.select("band", "lid", "size", "map", F.ceil(F.col("size") / PART_LINES).cast("int").alias("salts"))
+    with Scratch() as own:
+        shared = own.cut(banded.join(sizes, "band"))
+        maps = own.cut(_maps(docs, own.cut(shared.select("lid").distinct())))
+        return scratch.cut(shared.join(maps, "lid").select("band", "lid", "size", "map", F.ceil(F.col("size") / PART_LINES).cast("int").alias("salts")))
 
 
 def _met(some: DataFrame, every: DataFrame) -> DataFrame:
@@ -156,63 +155,34 @@ def _candidates(shared: DataFrame, similarity: float, pairs_up_to: int) -> DataF
 
 
 def _open(scratch: Scratch, rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Those of ``rows`` (band, lid, ...), with (root, largest, rest), whose bucket ``roots`` doesn't connect yet; ``rest``: outside its largest component."""
-    rooted = scratch.cut(rows.join(roots, rows.lid == roots.node, "left").select(*(rows[c] for c in rows.columns), F.coalesce(roots.root, rows.lid).alias("root")))
+    """Those of ``rows`` (band, salts, lid, map), with (root, rest), whose bucket ``roots`` doesn't connect yet; ``rest``: outside its largest component."""
+    rooted = scratch.cut(rows.join(roots, rows.lid == roots.node, "left").select("band", "salts", "lid", "map", F.coalesce(roots.root, rows.lid).alias("root")))
     parts = rooted.groupBy("band", "root").agg(F.count(F.lit(1)).alias("size"))
     largest = parts.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    return scratch.cut(rooted.join(largest, "band").withColumn("rest", F.col("root") != F.col("largest")).drop("parts"))
-
-
-def _majority(sets: list[Column]) -> Column:
-    """Shingles of two of three sets; of more, a power of three, of two of three such results."""
-    if len(sets) == 1:
-        return sets[0]
-    x, y, z = (_majority(sets[k :: 3]) for k in range(3))
-    return F.array_union(F.array_intersect(x, y), F.array_intersect(F.array_union(x, y), z))
-
-
-def _apart(scratch: Scratch, docs: DataFrame, open_: DataFrame, similarity: float) -> DataFrame:
-    """(band, salts, lid, t, apart, slack) of open buckets; those of one largest component are one here, ``band``. ``apart``: the
-    shingles that either the line or the bucket's middle has, but not both; ``slack``: how many more there might be. Two lines
-    have at most as many shingles apart as both ``apart`` together, so that those of slacks that add up to 0 or more are
-    similar. This holds for any middle: it is read from DRAWN lines, and lines travel as text, an eighth of their shingles."""
-    texts = scratch.cut(_texts(docs, open_.select("lid").distinct()))
-    lines = scratch.cut(open_.select(F.col("largest").alias("band"), "lid").distinct())
-    drawn = lines.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / PART_LINES).cast("int").alias("salts"), F.array(*(F.min_by("lid", F.xxhash64("lid", F.lit(k))) for k in range(DRAWN))).alias("drawn"))
-    drawn = scratch.cut(drawn)
-    picked = drawn.select("band", "salts", F.explode("drawn").alias("lid")).join(texts, "lid").groupBy("band", "salts").agg(F.collect_list("line").alias("lines"))
-    few = F.transform(F.array(F.transform("lines", lambda line: F.array_distinct(_shingles(line)))), lambda sets: _majority([sets[k] for k in range(DRAWN)]))
-    middles = scratch.cut(picked.select("band", "salts", few[0].alias("middle")))
-    every = lines.join(drawn.select("band", "salts"), "band").join(texts, "lid").select("band", "salts", F.col("salts").alias("parts"), F.col("lid").alias("y"), "line")
-    met = _met(middles, every).select("band", F.col("parts").alias("salts"), F.col("y").alias("lid"), "middle", F.array(F.array_distinct(_shingles())).alias("set"))
-    found = F.transform("set", lambda x: F.struct(F.size(x).alias("t"), F.concat(F.array_except(x, "middle"), F.array_except("middle", x)).alias("apart")))
-    apart = met.select("band", "salts", "lid", F.inline(found))
-    return apart.withColumn("slack", F.col("t") * F.lit((1 - similarity) / (1 + similarity)) - F.size("apart"))
-
-
-def _through_middle(apart: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b), a > b, of each line and the one of its bucket's highest slack, where their slacks make them similar.
-    They connect all lines whose slacks do: the higher one of two has no less than 0, and so has the highest."""
-    best = apart.groupBy("band", "salts").agg(F.max_by(F.struct("lid", "slack"), F.struct("slack", "lid")).alias("best"))
-    met = _met(best, apart.select("band", "salts", F.col("lid").alias("y"), "slack")).where("best.lid <> y AND best.slack + slack > 1e-9")
-    return met.select(F.greatest("best.lid", "y").alias("a"), F.least("best.lid", "y").alias("b")).distinct()
-
-
-def _left_over(scratch: Scratch, open_: DataFrame, apart: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b), a > b, of open buckets; ``middle``: the bucket's one of ``apart``.
+    return scratch.cut(rooted.join(largest, "band").withColumn("rest", F.col("root") != F.col("largest")).drop("parts", "largest"))
+
+
+def _named(open_: DataFrame, name: str) -> DataFrame:
+    return open_.select("band", "salts", *(F.col(c).alias(f"{c}_{name}") for c in ("map", "root", "rest")), F.col("lid").alias(name))
+
+
+def _through_drawn(open_: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b), a > b, of DRAWN lines of each open bucket with its lines of other components, so
+    that hardly any pair of a family of similar lines is left."""
+    line = F.struct("lid", "map", "root")
+    drawn = open_.groupBy("band", "salts").agg(F.array(*(F.min_by(line, F.xxhash64("lid", F.lit(k))) for k in range(DRAWN))).alias("drawn"))
+    chosen = drawn.select("band", "salts", F.explode(F.array_distinct("drawn")).alias("d")).select("band", "salts", F.col("d.lid").alias("x"), F.col("d.map").alias("map_x"), F.col("d.root").alias("root_x"))
+    return _pair(_met(chosen, _named(open_, "y")).where("root_x <> root_y"), similarity).distinct()
+
+
+def _left_over(open_: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (a, b), a > b, of open buckets.
 
     Every line outside its bucket's largest component meets every line of another component. Pairs
-    inside one component can't change the result, so this is as good as all pairs of the bucket.
-    What two lines have apart from each other is what only one has apart from the middle: maps of
-    these few shingles seldom hide one, so that hardly any dissimilar pair is left to verify.
+    inside one component can't change the result, so this is as good as all pairs of the bucket;
+    maps rule out nearly all dissimilar pairs as they meet.
     """
-    bit = "bit_or(if((shiftrightunsigned(h, 6) & {1}) = {0}, shiftleft(1L, cast(h & 63 AS int)), 0L)) AS w{0}".format
-    wanted = apart.withColumnRenamed("band", "middle").drop("salts").join(open_.select("middle", "lid").distinct(), ["middle", "lid"], "left_semi")
-    placed = wanted.select("middle", "lid", "t", F.explode_outer("apart").alias("h")).groupBy("middle", "lid").agg(F.min("t").alias("t"), *(F.expr(bit(w, WORDS - 1)) for w in range(WORDS)))
-    maps = scratch.cut(placed.select("middle", "lid", F.struct("t", *(f"w{w}" for w in range(WORDS))).alias("map")))
-    mapped = scratch.cut(open_.join(maps, ["middle", "lid"]).select("band", "salts", "lid", "root", "rest", "map"))
-    named = lambda name: mapped.select("band", "salts", *(F.col(c).alias(f"{c}_{name}") for c in ("map", "root", "rest")), F.col("lid").alias(name))
-    met = _met(named("x").where("rest_x"), named("y")).where("root_x <> root_y AND (NOT rest_y OR x > y)")
+    met = _met(_named(open_, "x").where("rest_x"), _named(open_, "y")).where("root_x <> root_y AND (NOT rest_y OR x > y)")
     return _pair(met, similarity).distinct()
 
 
@@ -232,27 +202,25 @@ def _similar(scratch: Scratch, docs: DataFrame, pairs: DataFrame, similarity: fl
     lines = scratch.cut(_texts(docs, scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct())))
     beside = lambda rows, c: rows.join(lines.select(F.col("lid").alias(c), F.col("line").alias(f"line_{c}")), c)
     both = beside(beside(pairs, "a"), "b")
-    sets = F.array(F.struct(_shingles("line_a").alias("a"), _shingles("line_b").alias("b")))
-    alike = F.transform(sets, lambda s: F.size(F.array_intersect(s["a"], s["b"])) >= similarity * F.size(F.array_union(s["a"], s["b"])))
-    return both.where(F.get(alike, F.lit(0))).select("a", "b")
+    sets = F.array(F.struct(F.array_distinct(_shingles("line_a")).alias("a"), F.array_distinct(_shingles("line_b")).alias("b")))
+    alike = F.transform(sets, lambda s: F.struct(F.size(F.array_intersect(s["a"], s["b"])).alias("both"), (F.size(s["a"]) + F.size(s["b"])).alias("sizes")))
+    counted = both.select("a", "b", F.inline(alike))
+    return counted.where(F.col("both") >= similarity * (F.col("sizes") - F.col("both"))).select("a", "b")
 
 
 def _links(scratch: Scratch, docs: DataFrame, shared: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
     """Pairs of similar lines that connect all lines which similar pairs of shared buckets connect."""
     with Scratch() as own:
         links = scratch.hold(_verified(docs, own.cut(_candidates(shared, similarity, pairs_up_to)), similarity))
-    many = shared.where(F.col("size") > pairs_up_to).select("band", "salts", "lid")
-    if many.isEmpty():
-        return links
-    with Scratch() as own:
-        open_ = _open(own, many, own.hold(components(links)))
+    open_ = shared.where(F.col("size") > pairs_up_to)
+    for found in (_through_drawn, _left_over):
         if open_.isEmpty():
             return links
-        apart = own.cut(_apart(own, docs, open_, similarity))
-        links = links.unionAll(scratch.cut(_through_middle(apart)))
-        rows = open_.select("band", "salts", "lid", F.col("largest").alias("middle"))
-        pairs = own.cut(_left_over(own, _open(own, rows, own.hold(components(links))), apart, similarity))
-        return links if pairs.isEmpty() else links.unionAll(scratch.hold(_verified(docs, pairs, similarity)))
+        with Scratch() as own:
+            open_ = _open(scratch, open_, own.hold(components(links)))
+            pairs = own.cut(found(open_, similarity))
+            links = links if pairs.isEmpty() else links.unionAll(scratch.hold(_verified(docs, pairs, similarity)))
+    return links
 
 
 def removed_lines(docs: DataFrame, *, similarity: float = SIMILARITY, pairs_up_to: int = PAIRS_UP_TO) -> DataFrame:
@@ -261,7 +229,7 @@ def removed_lines(docs: DataFrame, *, similarity: float = SIMILARITY, pairs_up_t
     with Scratch() as scratch:
         signed = scratch.cut(_signatures(docs))
         with Scratch() as own:
-            roots = scratch.hold(components(_links(own, docs, own.cut(_buckets(signed)), similarity, pairs_up_to)))
+            roots = scratch.hold(components(_links(own, docs, _buckets(own, docs, signed), similarity, pairs_up_to)))
         nodes = signed.join(roots, signed.lid == roots.node, "left").where("n > 1 OR root IS NOT NULL").select("lid", "doc", F.coalesce("root", "lid").alias("root"))
         least = nodes.groupBy("root").agg(F.min("doc").alias("least"))
         known = scratch.cut(nodes.select("lid", "root").join(least, "root"))

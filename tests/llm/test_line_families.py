@@ -107,14 +107,15 @@ def test_buckets_near_the_threshold(spark, monkeypatch, part_lines):
     bucket = spark.createDataFrame([(b, lids[x], max(-(-160 // part_lines) if b == 0 else 1, 1)) for b, x in zip(band, lines)], "band bigint, lid bigint, salts int")
     none = spark.createDataFrame([], "node bigint, root bigint")
     with Scratch() as scratch:
-        open_ = line_dedup._open(scratch, bucket, none)
-        apart = scratch.cut(line_dedup._apart(scratch, docs, open_, 0.8))
-        near = scratch.cut(line_dedup._through_middle(apart))
+        shared = scratch.cut(bucket.join(line_dedup._maps(docs, bucket.select("lid")), "lid"))
+        open_ = line_dedup._open(scratch, shared, none)
+        drawn = scratch.cut(line_dedup._through_drawn(open_, 0.8))
+        near = scratch.hold(line_dedup._verified(docs, drawn, 0.8))
         at = {lid: k for k, lid in enumerate(lids[x] for x in lines)}
         for r in near.collect():
             a, b = sets[at[r.a]], sets[at[r.b]]
             assert len(a & b) >= 0.8 * len(a | b)
-        pairs = scratch.cut(line_dedup._left_over(scratch, line_dedup._open(scratch, open_.selectExpr("band", "salts", "lid", "largest AS middle"), graph.components(near)), apart, 0.8))
+        pairs = scratch.cut(line_dedup._left_over(line_dedup._open(scratch, open_.drop("root", "rest"), graph.components(near)), 0.8))
         assert near.count() > 40 and pairs.count() < 1200
         found = near.unionAll(line_dedup._verified(docs, pairs, 0.8))
         got = {at[r.node]: at[r.root] for r in graph.components(found).collect()}
