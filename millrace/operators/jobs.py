@@ -26,9 +26,10 @@ def allocate(shares: DataFrame, count: Column | int, *, by: list[str] | None = N
 def positions(rows: DataFrame, order: str, *, name: str = "row_index", partitions: int = 64) -> DataFrame:
     """Rows with their exact 0-based place in a global order, without ordering all rows in one task.
 
-    Ranges of the order are numbered by task, then shifted by the sizes of those before.
+    Ranges of the order are numbered by task, then shifted by the sizes of those before. Their bounds come from a sample
+    that another run would draw anew, so the ranges are written once and read by both.
     """
-    ranged = rows.repartitionByRange(partitions, order).withColumn("_range", F.spark_partition_id())
+    ranged = settle(rows.repartitionByRange(partitions, order).withColumn("_range", F.spark_partition_id()))
     local = ranged.withColumn("_at", F.row_number().over(W.partitionBy("_range").orderBy(order)))
     sizes = local.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_range", (F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).alias("_offset"))

@@ -557,3 +557,10 @@ def test_top_k_over_batches_and_blocks(spark, most):
         order = sorted((-round(float(unit[q] @ unit[k]), 6), k) for k in range(120))[:4]
         assert [got[q, place] for place in (1, 2, 3, 4)] == [(k, -s) for s, k in order]
     assert R.top_k(df.where("false"), df, 4).count() == 0
+
+
+def test_positions_of_more_rows_than_are_sampled(spark):
+    """Bounds of ranges are drawn from a sample; places are exact whatever was drawn."""
+    rows = spark.range(300_000).select(((F.col("id") * 7919) % 300_007).alias("at"), F.col("id").alias("other")).repartition(6)
+    got = J.positions(rows, "at").toPandas().sort_values("at")
+    assert got["row_index"].tolist() == list(range(300_000))
