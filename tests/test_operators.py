@@ -564,3 +564,28 @@ def test_positions_of_more_rows_than_are_sampled(spark):
     rows = spark.range(300_000).select(((F.col("id") * 7919) % 300_007).alias("at"), F.col("id").alias("other")).repartition(6)
     got = J.positions(rows, "at").toPandas().sort_values("at")
     assert got["row_index"].tolist() == list(range(300_000))
+
+
+def test_similar_sets_over_many_blocks(spark, monkeypatch):
+    """Pairs are those of brute force, for sets of 4 to 900 words, in blocks of a few sets and in one; no word is joined on."""
+    import random
+
+    rng = random.Random(5)
+    texts = []
+    for k in range(160):
+        base = [f"w{rng.randrange(60 if k % 3 else 1500)}" for _ in range(rng.choice((5, 9, 30, 60, 200, 900)))]
+        texts += [base, [w if rng.random() < 0.8 else f"x{rng.randrange(9)}" for w in base]]
+    rows = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "id bigint, prompt string")
+    sets, first = {}, {}
+    for k, t in enumerate(texts):
+        if first.setdefault(tuple(t), k) == k and len(set(t)) >= D.LEAST_WORDS:
+            sets[k] = set(t)
+    share = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    want = {(a, b): share(a, b) for a in sets for b in sets if a > b and share(a, b) >= 0.5}
+    assert len(want) > 100
+    for most in (2048, D.BLOCK_BYTES):
+        monkeypatch.setattr(D, "BLOCK_BYTES", most)
+        assert {(r.a, r.b): r.similarity for r in D.jaccard_pairs(D.repeat_classes(rows)).collect()} == want
+    half = rows.where("id >= 160")
+    near = {r.id: r.repeats for r in D.repeats_of(half, rows.where("id < 160")).collect()}
+    assert all(near.get(a) is not None for (a, b) in want if a >= 160 > b)
