@@ -142,7 +142,7 @@ def set3_checked_lineage(v):
     """Rows of run 13 and its ancestors, which are as they were when the next run was frozen, though dealt out otherwise."""
     rows = v("lineitem").withColumn("run_id", F.col("l_partkey") % 16)
     runs = rows.select("run_id").distinct().withColumn("parent_id", F.when(F.col("run_id") > 0, F.expr("run_id div 2")))
-    frozen = J.frozen_lineage(runs, rows.repartition(5, "l_suppkey"), 13)
+    frozen = J.frozen_lineage(runs, rows.repartition("l_suppkey"), 13)
     return J.checked_rows(frozen, rows, 13).groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").cast("bigint").alias("lines"))
 
 

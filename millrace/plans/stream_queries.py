@@ -162,7 +162,7 @@ def src3_src4_bank_round_trip(spark, sf_dir):
 def src9_fingerprint(spark, sf_dir):
     """Line items summed up, if their fingerprint is still that of the same rows in another order."""
     rows = view(spark, sf_dir, "lineitem")
-    recorded = S.fingerprint(rows.repartition(7, "l_partkey"))
+    recorded = S.fingerprint(rows.repartition("l_partkey"))
     return S.require_fingerprint(rows, recorded).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
 
 

@@ -589,3 +589,29 @@ def test_similar_sets_over_many_blocks(spark, monkeypatch):
     half = rows.where("id >= 160")
     near = {r.id: r.repeats for r in D.repeats_of(half, rows.where("id < 160")).collect()}
     assert all(near.get(a) is not None for (a, b) in want if a >= 160 > b)
+
+
+def test_top_k_scores_come_in_tiles(spark, monkeypatch):
+    """Tiles of three by three, smaller than k: ties go to the smallest id, as in one tile."""
+    import numpy as np
+
+    from millrace.operators import retrieval as R
+
+    assert R.BLOCK_ROWS**2 * 8 <= 16 << 20
+    x = np.random.default_rng(3).integers(-1, 2, size=(60, 3)).astype(float) + 0.25
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "id bigint, embedding array<double>").repartition(3)
+    whole = sorted(R.top_k(df.where("id % 4 = 0"), df, 5).collect())
+    monkeypatch.setattr(R, "BLOCK_ROWS", 3)
+    assert sorted(R.top_k(df.where("id % 4 = 0"), df, 5).collect()) == whole and len(whole) == 75
+
+
+@pytest.mark.parametrize("name", ["src9_fingerprint", "set3_checked_lineage"])
+def test_shuffles_have_as_many_parts_as_the_session_asks_for(spark, monkeypatch, name):
+    from pyspark.sql import DataFrame
+
+    from millrace.plans.registry import QUERIES
+
+    asked, plain = [], DataFrame.repartition
+    monkeypatch.setattr(DataFrame, "repartition", lambda self, *to: asked.append(to) or plain(self, *to))
+    QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert asked and not any(isinstance(n, int) for to in asked for n in to)
