@@ -20,14 +20,12 @@ def joi1_candidates(v):
 
 @query(f"SELECT task_id, id, {SCORE} AS score FROM ({JOINED})")
 def par17_rank_score(v):
-    found = R.candidates(v("voices_v"), v("stems_v"))
-    c = F.col
-    return found.select("task_id", "id", F.round(R.rank_score(c("query_embedding"), c("embedding"), c("techniques"), c("methods"), c("structural_variation")), 5).alias("score"))
+    return R.ranked(v("voices_v"), v("stems_v")).select("task_id", "id", "score")
 
 
 @query(f"SELECT task_id, pos, arg_min(id, (-score, id)) AS id, max(score) AS score FROM (SELECT *, {SCORE} AS score FROM ({JOINED})) GROUP BY task_id, pos")
 def win4_best_stem(v):
-    return R.best_stem(R.candidates(v("voices_v"), v("stems_v")))
+    return R.best_stem(R.ranked(v("voices_v"), v("stems_v"), best=True))
 
 
 @query(f"SELECT task_id, role FROM <voices_v> WHERE task_id NOT IN (SELECT task_id FROM ({JOINED}) WHERE structural_variation > 0.8 AND id % 11 = 0)")

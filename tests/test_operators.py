@@ -615,3 +615,34 @@ def test_shuffles_have_as_many_parts_as_the_session_asks_for(spark, monkeypatch,
     monkeypatch.setattr(DataFrame, "repartition", lambda self, *to: asked.append(to) or plain(self, *to))
     QUERIES[name](spark, "/root/testdata/sf0.001")
     assert asked and not any(isinstance(n, int) for to in asked for n in to)
+
+
+def test_ranked_stems_against_a_loop(spark, monkeypatch):
+    from millrace.operators import retrieval as R
+
+    monkeypatch.setattr(R, "BLOCK_ROWS", 4)
+    voices = [(k, 0, "ab"[k % 2], 0.0, 6.0, f"f{k % 3}", ["x", "y"][: k % 3], [1.0, float(k)]) for k in range(9)]
+    stems = [(k, "ab"[k // 2 % 2], float(k % 8), f"f{k % 4}", ["y"] * (k % 2), 0.25, [float(k % 5), 1.0]) for k in range(40)]
+    v = spark.createDataFrame(voices, "task_id bigint, pos int, role string, density_lo double, density_hi double, own_family string, techniques array<string>, embedding array<float>")
+    s = spark.createDataFrame(stems, "id bigint, role string, density double, family string, methods array<string>, structural_variation double, embedding array<float>").repartition(3)
+    want = {}
+    for t, _, role, lo, hi, own, asked, x in voices:
+        for i, r, d, f, has, change, y in stems:
+            if r == role and lo <= d <= hi and f != own:
+                cosine = (x[0] * y[0] + x[1] * y[1]) / ((x[0] ** 2 + x[1] ** 2) * (y[0] ** 2 + y[1] ** 2)) ** 0.5
+                want[t, i] = round(0.65 * cosine + 0.25 * len({*asked} & {*has}) / max(1, len(asked)) + 0.1 * change, 5)
+    got = {(r.task_id, r.id): r.score for r in R.ranked(v, s, most_queries=4).collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 2e-5 for k in want)
+    first = {t: min((-score, i) for (u, i), score in got.items() if u == t)[1] for t in {t for t, _ in got}}
+    assert {r.task_id: r.id for r in R.best_stem(R.ranked(v, s, best=True)).collect()} == first
+
+
+@pytest.mark.parametrize("name", ["agg6_present_families", "agg7_voice_count", "sco10_evaluate"])
+def test_event_values_are_read_once(spark, monkeypatch, name):
+    from millrace.operators import events as V
+    from millrace.plans.registry import QUERIES
+
+    calls, plain = [], V.with_controls
+    monkeypatch.setattr(V, "with_controls", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1
