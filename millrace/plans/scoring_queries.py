@@ -26,7 +26,7 @@ ORIGINAL = "CASE WHEN program_id % 10 = 3 THEN concat(' stack(s(', cast(CASE WHE
 
 def facts(v, events=None):
     """One row per program: its run's summaries beside what was asked for. A program without an audible event hasn't run."""
-    events, programs = haps(v) if events is None else events, v("programs_v")
+    events, programs = settle(haps(v).drop("value")) if events is None else events, v("programs_v")
     prints = settle(E.fingerprints(events, CYCLES))
     windows = E.evolution(prints, CYCLES).groupBy("program_id").agg(F.array_sort(F.collect_list("variation")).alias("windows"))
     rows = programs.withColumn("parsed", T.completion("completion")["reason"].isNull()).withColumn("thinking", T.completion("completion")["thinking"])
@@ -207,7 +207,7 @@ def sco7_contract_checks(v):
 
 @query(f"SELECT program_id, ({_BUILD}) AS builds, ({_THIN}) AS thins, ({_BUILD} OR {_THIN} OR {_VARY}) AS contrasts FROM ({_SECTIONS})")
 def joi11_sco8_sections(v):
-    got = E.sections(haps(v), CYCLES)
+    got = E.sections(haps(v, every=False), CYCLES)
     shape = lambda s: S.takes_shape(F.col("sections"), F.lit(s))
     return got.select("program_id", shape("build").alias("builds"), shape("thin_out").alias("thins"), shape("contrast").alias("contrasts"))
 
@@ -221,8 +221,7 @@ def sco9_craft_guards(v):
 SELECT category, count(*) AS tasks, count(*) FILTER (valid) AS ran, round(avg(CASE WHEN program_id % 2 = 0 THEN total ELSE plan_total END), 6) AS mean_reward FROM c JOIN p USING (program_id) GROUP BY category""")
 def sco10_evaluate(v):
     """Programs with an even id have a contract and get its score, the others that of their plan."""
-    plan = plan_parts(facts(v))
-    plan = plan.select("program_id", S.gated(F.col("parsed"), F.col("ran"), S.mean_of(*map(F.col, ("mix_proxy", "instructions", "covered", "evolution", "harmony")))).alias("plan_total"))
-    rows = contract_totals(contract_checks(contract_rows(v))).join(plan, "program_id")
+    rows = plan_parts(contract_totals(contract_checks(contract_rows(v))))  # both scores of the same facts
+    rows = rows.withColumn("plan_total", S.gated(F.col("parsed"), F.col("ran"), S.mean_of(*map(F.col, ("mix_proxy", "instructions", "covered", "evolution", "harmony")))))
     reward = F.when(F.col("program_id") % 2 == 0, F.col("total")).otherwise(F.col("plan_total"))
     return rows.groupBy("category").agg(F.count(F.lit(1)).alias("tasks"), F.count_if(F.col("parsed") & F.col("ran")).alias("ran"), F.round(F.avg(reward), 6).alias("mean_reward"))
