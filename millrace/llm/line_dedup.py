@@ -26,6 +26,8 @@ as one. Empty tables give empty results; further columns are ignored, or kept by
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,8 @@ PART_LINES = 512
 DRAWN = 6
 SIMILARITY, PAIRS_UP_TO = 0.8, 4
 BROADCAST_LINES = 1 << 20
+#: Texts of more lines than can be broadcast are looked up in so many turns at most, each of which shuffles those of its own hashes only.
+TURNS = 4
 K, STEP, WORDS = 5, 16, 16
 #: A line in pieces that hold STEP shingles each, so that most of the work is done by columns and not by rows.
 PIECE = rf"(?s)(?=(.{{{K},{K + STEP - 1}}}|^.{{1,{K - 1}}}(?!.))).{{1,{STEP}}}"
@@ -88,12 +92,12 @@ def _hashed(lines: DataFrame) -> DataFrame:
     return pieces.select(*rest, "i", "size", *(h.alias(f"h0_{i}") for i, h in enumerate(_hashes(F.col("piece"), F.col("raw"), F.col("size")))))
 
 
-def _maps(docs: DataFrame, lids: DataFrame) -> DataFrame:
+def _maps(docs: DataFrame, lids: DataFrame, turn: tuple[int, int] = (0, 1)) -> DataFrame:
     """(lid, map) of these distinct lines; ``map``: the number ``t`` of different shingles and, in WORDS words of bits, at
     each place whether an odd number of them falls on it. The maps of two lines differ where an odd number of those
     that only one of them has do: the shingles that both have, many as they are, hide none of these."""
     odd = "bit_xor(if((shiftrightunsigned(h, 6) & {1}) = {0}, shiftleft(1L, cast(h & 63 AS int)), 0L)) AS w{0}".format
-    sets = _texts(docs, lids).select("lid", F.array_distinct(_shingles()).alias("set"))
+    sets = _texts(docs, lids, turn).select("lid", F.array_distinct(_shingles()).alias("set"))
     placed = sets.select("lid", F.size("set").alias("t"), F.explode("set").alias("h"))
     maps = placed.groupBy("lid").agg(F.min("t").alias("t"), *(F.expr(odd(w, WORDS - 1)) for w in range(WORDS)))
     return maps.select("lid", F.struct("t", *(f"w{w}" for w in range(WORDS))).alias("map"))
@@ -122,7 +126,7 @@ def _buckets(scratch: Scratch, docs: DataFrame, signed: DataFrame) -> DataFrame:
     sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     with Scratch() as own:
         shared = own.cut(banded.join(sizes, "band"))
-        maps = own.cut(_maps(docs, own.cut(shared.select("lid").distinct())))
+        maps = _in_turns(own, _maps, docs, own.cut(shared.select("lid").distinct()))
         return scratch.cut(shared.join(maps, "lid").select("band", "lid", "size", "map", F.ceil(F.col("size") / PART_LINES).cast("int").alias("salts")))
 
 
@@ -186,10 +190,20 @@ def _left_over(open_: DataFrame, similarity: float) -> DataFrame:
     return _pair(met, similarity).distinct()
 
 
-def _texts(docs: DataFrame, lids: DataFrame) -> DataFrame:
-    """(lid, line) of these distinct lines."""
+def _texts(docs: DataFrame, lids: DataFrame, turn: tuple[int, int] = (0, 1)) -> DataFrame:
+    """(lid, line) of those of these distinct lines whose turn it is: (k, n), the k-th of n."""
+    k, n = turn
+    of = lambda rows: rows.where(F.pmod("lid", F.lit(n)) == k) if n > 1 else rows
+    lids = of(lids)
     few = lids.count() <= BROADCAST_LINES
-    return _lines(docs).select("lid", "line").join(F.broadcast(lids) if few else lids, "lid", "left_semi").groupBy("lid").agg(F.first("line").alias("line"))
+    return of(_lines(docs)).select("lid", "line").join(F.broadcast(lids) if few else lids, "lid", "left_semi").groupBy("lid").agg(F.first("line").alias("line"))
+
+
+def _in_turns(scratch: Scratch, work: Callable[..., DataFrame], docs: DataFrame, lids: DataFrame) -> DataFrame:
+    """Tables of ``work(docs, lids, turn)`` of every turn, one written after the other, as one."""
+    n = max(1, min(TURNS, -(-lids.count() // BROADCAST_LINES)))
+    parts = [scratch.cut(work(docs, lids, (k, n))) for k in range(n)]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -199,7 +213,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame
 
 
 def _similar(scratch: Scratch, docs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
-    lines = scratch.cut(_texts(docs, scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct())))
+    lines = _in_turns(scratch, _texts, docs, scratch.cut(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct()))
     beside = lambda rows, c: rows.join(lines.select(F.col("lid").alias(c), F.col("line").alias(f"line_{c}")), c)
     both = beside(beside(pairs, "a"), "b")
     sets = F.array(F.struct(F.array_distinct(_shingles("line_a")).alias("a"), F.array_distinct(_shingles("line_b")).alias("b")))
