@@ -8,9 +8,11 @@ lines that agree in all minima of a band are candidates: all pairs of a bucket o
 and the largest one (by hash). Where that leaves several components, :data:`DRAWN` lines meet
 those of other components, and at last every line outside the largest component
 meets all lines of other components. Buckets are dealt over parts of about :data:`PART_LINES`
-lines, so that none lands in one task. A map of the parities of a line's shingles rules out pairs
-that can't be similar as they meet, never others: the maps of two lines differ by what only one of
-them has, however much they share. The rest is verified by exact Jaccard similarity of the whole
+lines, so that none lands in one task. Lines that share a bucket by chance are told apart as they meet, by
+how many of all their minima are equal (:func:`_least_equal`; a pair of the asked similarity is taken for such
+with a probability below 1e-7). Where lines of other components are left beside a line, a map of the parities
+of its shingles rules out pairs that can't be similar, never others: the maps of two lines differ by what only
+one of them has, however much they share. The rest is verified by exact Jaccard similarity of the whole
 shingle sets, at least ``similarity``, and connected components of the verified pairs
 are found by star contractions, the same as those of all pairs of the buckets. A pair
 of similarity 0.8 is found with a probability of 0.985, of 0.9 with 0.9999.
@@ -25,6 +27,7 @@ as one. Empty tables give empty results; further columns are ignored, or kept by
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable
 from functools import reduce
@@ -57,8 +60,11 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _shingles(line: str | Column = "line") -> Column:
-    """The shingles of a line, with repeats, as hashes."""
-    return F.transform(F.regexp_extract_all(line, F.lit(SHINGLE), F.lit(1)), lambda x: F.xxhash64(x))
+    """The shingles of a line, with repeats, as hashes. Those of a line of single bytes are cut out by places."""
+    text = F.col(line) if isinstance(line, str) else line
+    places = F.sequence(F.lit(1), F.greatest(F.length(text) - (K - 1), F.lit(1)))
+    cut_out = F.transform(F.array(text.cast("binary")), lambda raw: F.transform(places, lambda i: F.xxhash64(F.substring(raw, i, F.lit(K)))))[0]
+    return F.when(F.octet_length(text) == F.length(text), cut_out).otherwise(F.transform(F.regexp_extract_all(text, F.lit(SHINGLE), F.lit(1)), lambda x: F.xxhash64(x)))
 
 
 def _signed(x: int) -> int:
@@ -85,11 +91,18 @@ def _hashes(piece: Column, raw: Column, size: Column) -> list[Column]:
 
 
 def _hashed(lines: DataFrame) -> DataFrame:
-    """``lines`` with (i, size, h0_*) of every piece of their column line: number, characters, hashes of its shingles."""
+    """``lines`` with (i, size, h0_*) of every piece of their column line: number, characters, hashes of its shingles.
+    Lines of single bytes are cut by places, others by PIECE."""
     rest = [c for c in lines.columns if c != "line"]
-    pieces = lines.select(*rest, F.posexplode(F.regexp_extract_all("line", F.lit(PIECE), F.lit(1))).alias("i", "piece"))
-    pieces = pieces.withColumns({"size": F.length("piece"), "raw": F.col("piece").cast("binary")})
-    return pieces.select(*rest, "i", "size", *(h.alias(f"h0_{i}") for i, h in enumerate(_hashes(F.col("piece"), F.col("raw"), F.col("size")))))
+    single = F.octet_length("line") == F.length("line")
+    pieces = F.when(~single, F.regexp_extract_all("line", F.lit(PIECE), F.lit(1)))
+    rows = lines.select(*rest, F.col("line").cast("binary").alias("whole"), pieces.alias("pieces"))
+    last = F.when(F.col("pieces").isNull(), F.shiftright(F.greatest(F.octet_length("whole") - K, F.lit(0)), STEP.bit_length() - 1)).otherwise(F.size("pieces") - 1)
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), last)).alias("i"))
+    raw = F.when(F.col("pieces").isNull(), F.substring("whole", F.shiftleft("i", STEP.bit_length() - 1) + 1, F.lit(K + STEP - 1))).otherwise(F.element_at("pieces", F.col("i") + 1).cast("binary"))
+    rows = rows.select(*rest, "i", raw.alias("raw"))
+    rows = rows.select(*rest, "i", "raw", F.col("raw").cast("string").alias("piece")).withColumn("size", F.length("piece"))
+    return rows.select(*rest, "i", "size", *(h.alias(f"h0_{k}") for k, h in enumerate(_hashes(F.col("piece"), F.col("raw"), F.col("size")))))
 
 
 def _maps(docs: DataFrame, lids: DataFrame, turn: tuple[int, int] = (0, 1)) -> DataFrame:
@@ -110,24 +123,41 @@ def _may_match(x: str, y: str, similarity: float) -> Column:
     return apart <= (F.col(f"{x}.t") + F.col(f"{y}.t")) * F.lit((1 - similarity) / (1 + similarity) + 1e-9)
 
 
+def _least_equal(similarity: float) -> int:
+    """So many equal minima have two lines of this similarity, but for a probability below 1e-7."""
+    n, less, k = BANDS * ROWS, 0.0, 0
+    while k < n and (less := less + math.comb(n, k) * similarity**k * (1 - similarity) ** (n - k)) < 1e-7:
+        k += 1
+    return k
+
+
+def _may_agree(x: str, y: str, similarity: float) -> Column:
+    """False where fewer minima are equal than lines of this similarity have. A sketch holds six bits of each
+    minimum, in fields of seven: to add as many ones fills the seventh bit where minima differ."""
+    ones, seventh = (sum(b << 7 * i for i in range(8)) for b in (0x3F, 0x40))
+    fields = (F.col(f"{x}.s{k}").bitwiseXOR(F.col(f"{y}.s{k}")) + F.lit(ones) for k in range(BANDS * ROWS // 8))
+    apart = sum((F.bit_count(f.bitwiseAND(F.lit(seventh))) for f in fields), F.lit(0))
+    return apart <= BANDS * ROWS - _least_equal(similarity)
+
+
 def _signatures(docs: DataFrame) -> DataFrame:
-    """(lid, doc, n, bands) of every distinct line: its smallest doc, its occurrences and its band keys.
+    """(lid, doc, n, bands, sketch) of every distinct line: its smallest doc, its occurrences, its band keys and six bits of each minimum.
     Lines are settled before they are cut into pieces."""
     lines = _lines(docs).groupBy("lid").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n"), F.first("line").alias("line"))
     swapped = (F.shiftleft(f"h0_{i}", 32).bitwiseOR(F.shiftrightunsigned(f"h0_{i}", 32)).alias(f"h1_{i}") for i in range(STEP))
     signed = _hashed(lines).select("*", *swapped).groupBy("lid").agg(F.min("doc").alias("doc"), F.min("n").alias("n"), *_minima())
     bands = F.array(*(F.xxhash64(F.lit(b), *(f"m{b * ROWS + r}" for r in range(ROWS))) for b in range(BANDS)))
-    return signed.select("lid", "doc", "n", bands.alias("bands"))
+    sketch = (reduce(Column.bitwiseOR, (F.shiftleft(F.col(f"m{8 * k + i}").bitwiseAND(0x3F), 7 * i) for i in range(8))).alias(f"s{k}") for k in range(BANDS * ROWS // 8))
+    return signed.select("lid", "doc", "n", bands.alias("bands"), F.struct(*sketch).alias("sketch"))
 
 
-def _buckets(scratch: Scratch, docs: DataFrame, signed: DataFrame) -> DataFrame:
-    """(band, lid, size, map, salts) of every band that several lines share; a large one is split into ``salts`` parts."""
-    banded = signed.select("lid", F.explode("bands").alias("band"))
+def _buckets(scratch: Scratch, signed: DataFrame) -> DataFrame:
+    """(band, lid, size, map, salts) of every band that several lines share; a large one is split into ``salts`` parts. ``map``: the line's sketch."""
+    banded = signed.select("lid", F.explode("bands").alias("band")).repartition("band")
     sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     with Scratch() as own:
-        shared = own.cut(banded.join(sizes, "band"))
-        maps = _in_turns(own, _maps, docs, own.cut(shared.select("lid").distinct()))
-        return scratch.cut(shared.join(maps, "lid").select("band", "lid", "size", "map", F.ceil(F.col("size") / PART_LINES).cast("int").alias("salts")))
+        shared = own.cut(banded.join(sizes.hint("shuffle_hash"), "band"))
+        return scratch.cut(shared.join(signed.select("lid", F.col("sketch").alias("map")), "lid").select("band", "lid", "size", "map", F.ceil(F.col("size") / PART_LINES).cast("int").alias("salts")))
 
 
 def _met(some: DataFrame, every: DataFrame) -> DataFrame:
@@ -142,9 +172,9 @@ def _as(rows: DataFrame, name: str) -> DataFrame:
     return rows.select("band", "salts", F.col("lid").alias(name), F.col("map").alias(f"map_{name}"))
 
 
-def _pair(met: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs (a, b), a > b, of lines that met and may match."""
-    return met.where(_may_match("map_x", "map_y", similarity)).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+def _pair(met: DataFrame, similarity: float, may: Callable[..., Column] = _may_match) -> DataFrame:
+    """Pairs (a, b), a > b, of lines that met and may match."""
+    return met.where(may("map_x", "map_y", similarity)).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
 
 
 def _candidates(shared: DataFrame, similarity: float, pairs_up_to: int) -> DataFrame:
@@ -155,7 +185,7 @@ def _candidates(shared: DataFrame, similarity: float, pairs_up_to: int) -> DataF
     pivots = many.groupBy("band", "salts").agg(F.min_by(line, "lid").alias("least"), F.max_by(line, "lid").alias("most"))
     chosen = pivots.select("band", "salts", F.explode(F.array("least", "most")).alias("p")).select("band", "salts", F.col("p.lid").alias("x"), F.col("p.map").alias("map_x"))
     through = _met(chosen, _as(many, "y")).where("x <> y")
-    return _pair(paired, similarity).unionAll(_pair(through, similarity)).distinct()
+    return _pair(paired, similarity, _may_agree).unionAll(_pair(through, similarity, _may_agree)).distinct()
 
 
 def _open(scratch: Scratch, rows: DataFrame, roots: DataFrame) -> DataFrame:
@@ -179,6 +209,16 @@ def _through_drawn(open_: DataFrame, similarity: float) -> DataFrame:
     return _pair(_met(chosen, _named(open_, "y")).where("root_x <> root_y"), similarity).distinct()
 
 
+def _left(open_: DataFrame) -> DataFrame:
+    """Lines x outside the largest component of their bucket beside its lines y of other components, each pair once."""
+    return _met(_named(open_, "x").where("rest_x"), _named(open_, "y")).where("root_x <> root_y AND (NOT rest_y OR x > y)")
+
+
+def _close(open_: DataFrame, similarity: float) -> DataFrame:
+    """(lid) of the lines of open buckets whose sketches agree with that of a line of another component; ``map``: a sketch."""
+    return _pair(_left(open_), similarity, _may_agree).select(F.explode(F.array("a", "b")).alias("lid")).distinct()
+
+
 def _left_over(open_: DataFrame, similarity: float) -> DataFrame:
     """Distinct pairs (a, b), a > b, of open buckets.
 
@@ -186,17 +226,18 @@ def _left_over(open_: DataFrame, similarity: float) -> DataFrame:
     inside one component can't change the result, so this is as good as all pairs of the bucket;
     maps rule out nearly all dissimilar pairs as they meet.
     """
-    met = _met(_named(open_, "x").where("rest_x"), _named(open_, "y")).where("root_x <> root_y AND (NOT rest_y OR x > y)")
-    return _pair(met, similarity).distinct()
+    return _pair(_left(open_), similarity).distinct()
 
 
 def _texts(docs: DataFrame, lids: DataFrame, turn: tuple[int, int] = (0, 1)) -> DataFrame:
-    """(lid, line) of those of these distinct lines whose turn it is: (k, n), the k-th of n."""
+    """(lid, line) of those of these distinct lines whose turn it is: (k, n), the k-th of n. ``docs``: documents, or a table of such rows."""
     k, n = turn
     of = lambda rows: rows.where(F.pmod("lid", F.lit(n)) == k) if n > 1 else rows
     lids = of(lids)
     few = lids.count() <= BROADCAST_LINES
-    return of(_lines(docs)).select("lid", "line").join(F.broadcast(lids) if few else lids, "lid", "left_semi").groupBy("lid").agg(F.first("line").alias("line"))
+    settled = "line" in docs.columns
+    found = of(docs if settled else _lines(docs)).select("lid", "line").join(F.broadcast(lids) if few else lids, "lid", "left_semi")
+    return found if settled else found.groupBy("lid").agg(F.first("line").alias("line"))
 
 
 def _in_turns(scratch: Scratch, work: Callable[..., DataFrame], docs: DataFrame, lids: DataFrame) -> DataFrame:
@@ -226,14 +267,23 @@ def _links(scratch: Scratch, docs: DataFrame, shared: DataFrame, similarity: flo
     """Pairs of similar lines that connect all lines which similar pairs of shared buckets connect."""
     with Scratch() as own:
         links = scratch.hold(_verified(docs, own.cut(_candidates(shared, similarity, pairs_up_to)), similarity))
-    open_ = shared.where(F.col("size") > pairs_up_to)
-    for found in (_through_drawn, _left_over):
-        if open_.isEmpty():
+    large = shared.where(F.col("size") > pairs_up_to)
+    if large.isEmpty():
+        return links
+    with Scratch() as own:
+        open_ = _open(own, large, own.hold(components(links)))
+        lids = own.cut(_close(open_, similarity))
+        if lids.isEmpty():
             return links
-        with Scratch() as own:
-            open_ = _open(scratch, open_, own.hold(components(links)))
+        lines = _in_turns(own, _texts, docs, lids)
+        maps = _in_turns(own, _maps, lines, lids)
+        open_ = own.cut(open_.drop("map").join(maps, "lid"))
+        for found in (_through_drawn, _left_over):
             pairs = own.cut(found(open_, similarity))
-            links = links if pairs.isEmpty() else links.unionAll(scratch.hold(_verified(docs, pairs, similarity)))
+            if not pairs.isEmpty():
+                links = links.unionAll(scratch.hold(_verified(lines, pairs, similarity)))
+                if found is _through_drawn:
+                    open_ = _open(own, open_, own.hold(components(links)))
     return links
 
 
@@ -243,7 +293,7 @@ def removed_lines(docs: DataFrame, *, similarity: float = SIMILARITY, pairs_up_t
     with Scratch() as scratch:
         signed = scratch.cut(_signatures(docs))
         with Scratch() as own:
-            roots = scratch.hold(components(_links(own, docs, _buckets(own, docs, signed), similarity, pairs_up_to)))
+            roots = scratch.hold(components(_links(own, docs, _buckets(own, signed), similarity, pairs_up_to)))
         nodes = signed.join(roots, signed.lid == roots.node, "left").where("n > 1 OR root IS NOT NULL").select("lid", "doc", F.coalesce("root", "lid").alias("root"))
         least = nodes.groupBy("root").agg(F.min("doc").alias("least"))
         known = scratch.cut(nodes.select("lid", "root").join(least, "root"))
