@@ -124,7 +124,7 @@ def _may_match(x: str, y: str, similarity: float) -> Column:
 
 
 def _least_equal(similarity: float) -> int:
-    """So many equal minima have two lines of this similarity, but for a probability below 1e-7."""
+    """So many equal minima have two lines of this similarity, but for a probability below 1e-7 if minima are independent."""
     n, less, k = BANDS * ROWS, 0.0, 0
     while k < n and (less := less + math.comb(n, k) * similarity**k * (1 - similarity) ** (n - k)) < 1e-7:
         k += 1
