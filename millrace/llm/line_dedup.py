@@ -154,18 +154,21 @@ def _signatures(docs: DataFrame) -> DataFrame:
 def _buckets(scratch: Scratch, signed: DataFrame) -> DataFrame:
     """(band, lid, size, map, salts) of every band that several lines share; a large one is split into ``salts`` parts. ``map``: the line's sketch."""
     banded = signed.select("lid", F.explode("bands").alias("band")).repartition("band")
-    sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = banded.groupBy("band").agg(F.count("lid").alias("size")).where("size > 1")  # of the column that is joined, so that both read one shuffle
     with Scratch() as own:
         shared = own.cut(banded.join(sizes.hint("shuffle_hash"), "band"))
         return scratch.cut(shared.join(signed.select("lid", F.col("sketch").alias("map")), "lid").select("band", "lid", "size", "map", F.ceil(F.col("size") / PART_LINES).cast("int").alias("salts")))
 
 
-def _met(some: DataFrame, every: DataFrame) -> DataFrame:
-    """Rows of ``some`` (band, salts, ...) beside those of ``every`` (band, salts, y, ...) in their bands.
-    Rows of ``every`` are dealt over a band's parts; ``some`` is repeated in each of them."""
+def _met(some: DataFrame, every: DataFrame, only: Column | None = None) -> DataFrame:
+    """Rows of ``some`` (band, salts, ...) beside those of ``every`` (band, salts, y, ...) in their bands; with ``only``, those
+    of ``some`` alone that meet one for which it holds. Rows of ``every`` are dealt over a band's parts; ``some`` is repeated in each of them."""
     dealt = every.withColumn("salt", F.pmod(F.xxhash64("y"), F.col("salts"))).drop("salts")
     spread = some.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
-    return spread.join(dealt, ["band", "salt"])
+    if only is None:
+        return spread.join(dealt, ["band", "salt"])
+    x, y = spread.alias("some"), dealt.alias("every")
+    return x.join(y, (F.col("some.band") == F.col("every.band")) & (F.col("some.salt") == F.col("every.salt")) & only, "left_semi")
 
 
 def _as(rows: DataFrame, name: str) -> DataFrame:
@@ -215,8 +218,11 @@ def _left(open_: DataFrame) -> DataFrame:
 
 
 def _close(open_: DataFrame, similarity: float) -> DataFrame:
-    """(lid) of the lines of open buckets whose sketches agree with that of a line of another component; ``map``: a sketch."""
-    return _pair(_left(open_), similarity, _may_agree).select(F.explode(F.array("a", "b")).alias("lid")).distinct()
+    """(lid) of the lines of open buckets whose sketches agree with that of a line of another component; ``map``: a sketch.
+    A line is kept as soon as it meets one such line; no pair is made, however many there are."""
+    x, y, other = _named(open_, "x"), _named(open_, "y"), (F.col("root_x") != F.col("root_y")) & _may_agree("map_x", "map_y", similarity)
+    beside = (_met(x.where("rest_x"), y, other), _met(x.where("NOT rest_x"), y.where("rest_y"), other))
+    return reduce(DataFrame.unionAll, (lines.select(F.col("x").alias("lid")) for lines in beside)).distinct()
 
 
 def _left_over(open_: DataFrame, similarity: float) -> DataFrame:
