@@ -46,7 +46,7 @@ def top4_vector_top_k(v):
 SELECT x.id AS a, y.id AS b, round(sum(x.n * y.n) / (any_value(p.norm) * any_value(q.norm)), 6) AS cosine FROM c x JOIN c y ON x.word = y.word AND y.id % 50 = 0 JOIN m p ON p.id = x.id JOIN m q ON q.id = y.id GROUP BY x.id, y.id""")
 def par16_lexical_cosine(v):
     rows = v("requests_v").select("id", words("prompt").alias("words"))
-    return R.lexical_pairs(rows, rows.where("id % 50 = 0")).withColumn("cosine", F.round("cosine", 6))
+    return R.lexical_pairs(rows, rows.where("id % 50 = 0"), digits=6)
 
 
 @query("SELECT c.clip_id, round(greatest(-1.0, least(1.0, list_cosine_similarity(c.embedding::double[], t.embedding::double[]))), 6) AS score FROM <clips_v> c JOIN <clips_v> t ON t.clip_id = c.prompt_id")
